@@ -120,7 +120,7 @@ class _Frame:
             if self.on_fact(p) is None or p.tables() == {self.fact}:
                 refs.update(p.refs)
         for b in self.members:
-            refs.update(r for r in (b.column, b.times) if r)
+            refs.update(r for r in (b.column, b.times, b.each) if r)
             for p in b.where:
                 if self.on_fact(p) is None or p.tables() == {self.fact}:
                     refs.update(p.refs)
@@ -165,6 +165,8 @@ class _Frame:
         if all(looked_up.values()):
             df = df.filter(_any([_all(c) for c in looked_up.values()]))
 
+        if self.head.each:
+            return self._sum_of_max(df, names, sets, looked_up)
         aggregates = [
             self._final(b, i, _all(looked_up[b])).alias(names[b]) for i, b in enumerate(self.members)
         ]
@@ -174,6 +176,16 @@ class _Frame:
         grouped = df.groupingSets(own_sets, *[_q(r) for r in self.by])
         return grouped.agg(F.bit_count(F.grouping_id()).alias(LEVEL), *aggregates)
 
+    def _sum_of_max(self, df, names, sets, looked_up) -> DataFrame:
+        """Highest value per inner member first, then their sum per group."""
+        if sets is not None:
+            raise ValueError("totals are not defined for a sum of highest values")
+        keys, inner = [_q(r) for r in self.by], [_q(r) for r in dict.fromkeys([*self.by, self.head.each])]
+        highest = df.groupBy(*inner).agg(
+            *[F.max(_when(_all(looked_up[b]), F.col(f"p{i}"))).alias(names[b]) for i, b in enumerate(self.members)]
+        )
+        return highest.groupBy(*keys).agg(*[F.sum(names[b]).alias(names[b]) for b in self.members])
+
     def _joins(self, tables: set[str]) -> list[Relationship]:
         ordered: list[Relationship] = []
         reached = {self.fact}
@@ -194,6 +206,8 @@ class _Frame:
         foreign = any(b.column and split_ref(b.column)[0] != self.fact for b in self.members)
         subtotal = bool(large) and not foreign
         values: list[Column] = []
+        if self.head.each and self.head.each not in keys:
+            keys = keys + [self.head.each]
         if self.head.kind == "distinct":
             keys = keys + ([self.head.column] if self.head.column not in keys and not foreign else [])
         for i, b in enumerate(self.members):
@@ -209,7 +223,7 @@ class _Frame:
                 values.append((F.sum(one) if subtotal else one).alias(f"p{i}"))
                 continue
             value = _when(test, c)
-            fold = {"sum": F.sum, "avg": F.sum, "max": F.max, "min": F.min}[b.kind]
+            fold = {"sum": F.sum, "avg": F.sum, "max": F.max, "min": F.min, "sum_of_max": F.max}[b.kind]
             values.append((fold(value) if subtotal else value).alias(f"p{i}"))
             if b.kind == "avg":
                 one = F.when(value.isNotNull(), F.lit(1).cast("long"))
@@ -242,7 +256,7 @@ class _Frame:
         if b.kind == "distinct":
             counted = F.lit(True) if test is None else test
             marked = counted & p.isNotNull()
-            column = _q(b.column)
+            column = F.to_date(_q(b.column)) if b.days else _q(b.column)
             n = F.count_distinct(F.when(marked, column)) + F.coalesce(
                 F.max(F.when(marked & column.isNull(), F.lit(1))), F.lit(0)
             )
@@ -261,7 +275,7 @@ class _Frame:
 
 def _signature(b: Base) -> tuple:
     distinct = b.column if b.kind == "distinct" else None
-    return (b.table, b.via, b.without, b.ignore, b.keep, b.over, b.shift, distinct)
+    return (b.table, b.via, b.without, b.ignore, b.keep, b.over, b.shift, distinct, b.days, b.each)
 
 
 def _result(metric: Metric, names: dict[Base, str]) -> Column:

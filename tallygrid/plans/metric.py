@@ -124,7 +124,7 @@ def any_of(*preds: Pred) -> Pred:
 
 
 # kinds of base aggregate
-KINDS = ("sum", "count", "rows", "distinct", "avg", "max", "min")
+KINDS = ("sum", "count", "rows", "distinct", "avg", "max", "min", "sum_of_max")
 
 
 @dataclass(frozen=True)
@@ -133,6 +133,8 @@ class Base:
 
     ``column``  reference on the table itself (or on a dimension of it);
     ``times``   optional second factor, looked up on a dimension;
+    ``each``    inner grouping of ``sum_of_max``;
+    ``days``    count the days of a timestamp rather than its values;
     ``where``   conjunction of predicates, each on the table or on dimensions;
     ``via``     (from, to) relationships to use instead of the active ones;
     ``without`` dimensions whose relationship is switched off;
@@ -146,6 +148,8 @@ class Base:
     kind: str
     column: str | None = None
     times: str | None = None
+    each: str | None = None
+    days: bool = False
     where: tuple[Pred, ...] = ()
     via: tuple[tuple[str, str], ...] = ()
     without: frozenset[str] = frozenset()
@@ -182,6 +186,11 @@ def distinct_(ref: str, *where: Pred) -> Base:
     return Base(ref.split(".")[0], "distinct", ref, where=where)
 
 
+def distinct_days(ref: str, *where: Pred) -> Base:
+    """Number of different days in a date or timestamp column."""
+    return Base(ref.split(".")[0], "distinct", ref, days=True, where=where)
+
+
 def avg_(ref: str, *where: Pred) -> Base:
     return Base(ref.split(".")[0], "avg", ref, where=where)
 
@@ -199,6 +208,11 @@ def sum_expr(ref: str, times: str) -> Base:
     return Base(ref.split(".")[0], "sum", ref, times=times)
 
 
+def sum_of_max(ref: str, each: str, *where: Pred) -> Base:
+    """Highest value per member of ``each``, added up."""
+    return Base(ref.split(".")[0], "sum_of_max", ref, each=each, where=where)
+
+
 def constant(value: float) -> Derived:
     return Derived(lambda: F.lit(value), ())
 

@@ -52,6 +52,10 @@ class Model:
             self._cache[name] = self.loaders[name]()
         return self._cache[name]
 
+    def replacing(self, loaders: dict[str, Callable[[], DataFrame]]) -> "Model":
+        """The same model with some tables replaced, such as restricted ones."""
+        return Model({**self.loaders, **loaders}, self.relationships, self.date_tables, self.large)
+
     def path(
         self, start: str, goal: str, via: Iterable[tuple[str, str]] = (), without: Iterable[str] = ()
     ) -> list[Relationship] | None:
