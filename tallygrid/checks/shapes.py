@@ -120,7 +120,7 @@ SHAPES: dict[str, tuple[str, str | None, dict[str, str]]] = {
         "VerlofTypeKey": "CASE WHEN s_acctbal < 3000 THEN 1 ELSE 2 END",
     }),
     "FeitFormatieBezetting": ("supplier", None, {
-        "FTE": "CASE WHEN s_acctbal < 3000 THEN 0.5 ELSE 1.0 END * 1.0", "Medewerker": "s_name", "Naam": "s_name",
+        "FTE": "CAST(CASE WHEN s_acctbal < 3000 THEN 0.5 ELSE 1 END AS DOUBLE)", "Medewerker": "s_name", "Naam": "s_name",
         "Datum_in_dienst": _HIRED, "Datum_uit_dienst": _LEFT, "MedewerkerKey": "s_suppkey", "TeamKey": "s_nationkey",
     }),
     "FeitMedewerkerSkills": ("lineitem", None, {
