@@ -174,7 +174,12 @@ def calendar_levels(df: DataFrame, column: str = "Datum") -> DataFrame:
 def date_table(
     spark: SparkSession, start: dt.date | str, end: dt.date | str, as_of: dt.date | str
 ) -> DataFrame:
-    """The date dimension: one row per day with keys, labels, bounds and flags."""
+    """The date dimension between two days."""
+    return date_attributes(calendar(spark, start, end), as_of)
+
+
+def date_attributes(days: DataFrame, as_of: dt.date | str) -> DataFrame:
+    """Keys, labels, bounds and flags of every day of a calendar."""
     today = to_day(as_of)
     now = F.lit(today)
     d = F.col("Datum")
@@ -186,7 +191,7 @@ def date_table(
     start_week = iteration_start(d)
     span = lambda a: F.concat_ws("-", a.cast("string"), (a + 1).cast("string"))
     fiscal = fiscal_year(d)
-    return calendar(spark, start, end).select(
+    return days.select(
         d,
         date_number(d).alias("DatumKey"),
         day.alias("Dag"),

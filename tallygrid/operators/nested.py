@@ -50,7 +50,7 @@ def explode_list(df: DataFrame, column: str, target: str | None = None) -> DataF
 def expand_record(df: DataFrame, column: str, fields: Mapping[str, str]) -> DataFrame:
     """Fields of a struct (dotted paths) to columns; the struct itself goes."""
     rest = [quoted(c) for c in df.columns if c != column]
-    return df.select(*rest, *[F.col(f"{column}.{path}").alias(name) for path, name in fields.items()])
+    return df.select(*rest, *[F.col(f"`{column}`.{path}").alias(name) for path, name in fields.items()])
 
 
 def expand_teams(df: DataFrame, column: str, name: str = "TeamName") -> DataFrame:

@@ -48,6 +48,24 @@ def surrogate_key(df: DataFrame, order: Sequence[str | Column], name: str) -> Da
     return with_index(df, order, name)
 
 
+def row_number_by(df: DataFrame, part: Sequence[str], order: Sequence[str | Column], name: str = "RowNum") -> DataFrame:
+    """Number the rows of each key in order.
+
+    Rows are numbered over the whole table, sorted by key and then by the order;
+    a row's number within its key is the distance to the first of its key. A key
+    that holds a large part of the table is so spread over many tasks.
+    """
+    numbered = with_index(df, [*part, *order], "_row")
+    first = numbered.groupBy(*[F.col(f"`{c}`").alias(f"_p{i}") for i, c in enumerate(part)]).agg(
+        F.min("_row").alias("_first")
+    )
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"_p{i}")) for i, c in enumerate(part)]
+    joined = numbered.join(first, same)
+    return joined.withColumn(name, F.col("_row") - F.col("_first") + 1).drop(
+        "_row", "_first", *[f"_p{i}" for i in range(len(part))]
+    )
+
+
 def rank_dense(df: DataFrame, value: str, name: str = "rank", descending: bool = True) -> DataFrame:
     """Dense rank over all members: number the distinct values, then look them up.
 

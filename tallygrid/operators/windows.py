@@ -39,11 +39,6 @@ def cumulative_ytd(df: DataFrame, value: str, date: str, keys: Sequence[str] = (
     return df.withColumn(name, F.sum(value).over(frame))
 
 
-def row_number_by(df: DataFrame, part: Sequence[str], order: Sequence[str | Column], name: str = "RowNum") -> DataFrame:
-    """Number the versions of a business key in order."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
-
-
 def sort(df: DataFrame, columns: Sequence[str | Column]) -> DataFrame:
     return df.orderBy(*columns)
 
