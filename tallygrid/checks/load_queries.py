@@ -1 +1,446 @@
-"""Readers, writers and jobs."""
+"""Readers, writers, loads and builders over files derived from the driver's tables.
+
+Files are written below the shared folder (``spark.checkpoint.dir``), a fresh
+folder per run.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tallygrid.checks import shapes
+from tallygrid.checks.registry import query, rounded
+from tallygrid.checks.shapes import read, shape
+from tallygrid.operators import columns as co
+from tallygrid.operators import quality as qu
+from tallygrid.plans import builders
+from tallygrid.session import scratch_path
+from tallygrid.sources import costs, readers, writers
+
+LOADED_AT = "2024-02-01T06:00:00"
+FIRST, LAST = dt.date(2023, 11, 1), dt.date(2024, 2, 29)
+
+# error events form an export of their own: one month earlier and with one more column
+_EXPORT = {
+    "date": "date_format({day}, 'MM/dd/yyyy')", "servicePeriodStartDate": "date_format(trunc({day}, 'month'), 'MM/dd/yyyy')",
+    "subscriptionName": "concat('sub, \"', event_type, '\"')", "SubscriptionId": "concat('s-', event_type)",
+    "resourceGroupName": "concat('rg\\n', event_type)", "costInBillingCurrency": "CAST(value AS STRING)",
+    "event id": "CAST(event_id AS STRING)",
+    "tags": "concat('{{\"Debiteurnummer\": \"', user_id, '\", \"BusinessUnit\": \"', event_type, '\", \"hidden-link: x\": \"y\"}}')",
+}
+_DAY = "CASE WHEN event_type = 'error' THEN date_sub(to_date(ts), 31) ELSE to_date(ts) END"
+
+
+def land_costs(spark, sf_dir: str) -> str:
+    """Write the events as cost-export CSV files in month folders; returns their root."""
+    root = scratch_path(spark, "export")
+    events = read(spark, sf_dir, "events")
+    columns = [F.expr(e.format(day=f"({_DAY})")).alias(c) for c, e in _EXPORT.items()]
+    months = events.select(F.trunc(F.expr(_DAY), "month").alias("m"), (F.col("event_type") == "error").alias("e")).distinct()
+    for row in sorted(months.collect()):  # one row per month and export: bounded by the calendar
+        folder = readers.month_folders(row.m, row.m)[0]
+        part = events.filter((F.trunc(F.expr(_DAY), "month") == row.m) & ((F.col("event_type") == "error") == row.e))
+        extra = [F.lit("meter").alias("meterName")] if row.e else []
+        export = "export-2/errors" if row.e else "export-1/usage"
+        part.select(*columns, *extra).write.options(header=True, quote='"', escape='"', quoteAll=True).csv(f"{root}/{export}/{folder}")
+    return root
+
+
+_DAY_SQL = "CASE WHEN event_type = 'error' THEN CAST(ts AS DATE) - 31 ELSE CAST(ts AS DATE) END"
+
+
+@query("csv_export_reread", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, text FROM documents")
+def csv_export_reread(spark, sf_dir):
+    folder = scratch_path(spark, "csv")
+    documents = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    documents.write.options(header=True, quote='"', escape='"', quoteAll=True, **keep).csv(f"{folder}/a/b")
+    return readers.read_export_csv(spark, folder)
+
+
+@query(
+    "export_months_with_lineage",
+    f"""
+    SELECT CASE WHEN event_type = 'error' THEN 'export-2' ELSE 'export-1' END AS "ExportId",
+           CASE WHEN event_type = 'error' THEN 'errors' ELSE 'usage' END AS "ExportName",
+           strftime(date_trunc('month', {_DAY_SQL}), '%Y%m%d') || '-' || strftime(last_day({_DAY_SQL}), '%Y%m%d') AS "MonthFolder",
+           'csv' AS kind, count(*) AS rows, count(*) FILTER (WHERE event_type = 'error') AS meters
+    FROM events GROUP BY ALL
+    """,
+)
+def export_months(spark, sf_dir):
+    rows = readers.read_months(spark, land_costs(spark, sf_dir), FIRST, LAST)
+    kind = F.regexp_extract("FileName", r"\.([a-z]+)$", 1).alias("kind")
+    return rows.groupBy("ExportId", "ExportName", "MonthFolder", kind).agg(
+        F.count(F.lit(1)).alias("rows"), F.count("meterName").alias("meters")
+    )
+
+
+@query(
+    "schema_drift_between_months",
+    "SELECT 'metername' AS name, 'string' AS old_type, CAST(NULL AS VARCHAR) AS new_type, 'removed' AS change "
+    "FROM events HAVING count(*) FILTER (WHERE event_type = 'error') > 0 AND count(*) FILTER (WHERE event_type <> 'error') > 0",
+)
+def schema_drift(spark, sf_dir):
+    root, dictionary = land_costs(spark, sf_dir), scratch_path(spark, "dictionary")
+    before = readers.read_months(spark, root, "2023-12-01", "2023-12-31", lineage=False)
+    after = readers.read_months(spark, root, "2024-01-01", "2024-01-31", lineage=False)
+    qu.track_schema(before, dictionary, "2023-12-31", LOADED_AT)
+    qu.track_schema(after, dictionary, "2024-01-31", LOADED_AT)
+    versions = spark.read.parquet(dictionary)
+    return qu.schema_drift(qu.latest_version(versions), versions.filter("Version = 1"))
+
+
+_LOADED = f"""
+    SELECT {_DAY_SQL} AS parsed_date, CAST(event_id AS VARCHAR) AS event_id, 's-' || event_type AS "SubscriptionId",
+           'rg' || chr(10) || event_type AS "resourceGroupName", CAST(user_id AS VARCHAR) AS "Debiteurnummer", event_type AS "BusinessUnit",
+           CASE WHEN event_type = 'error' THEN 'meter' END AS "meterName", value AS cost
+    FROM events
+"""
+
+
+@query("costs_loaded_twice", _LOADED)
+def costs_loaded_twice(spark, sf_dir):
+    root, target, dictionary = land_costs(spark, sf_dir), scratch_path(spark, "costs"), scratch_path(spark, "dictionary")
+    for _ in range(2):
+        costs.load_costs(spark, root, target, dictionary, FIRST, LAST, LOADED_AT)
+    return readers.read_table(spark, target).select(
+        "parsed_date", "event_id", "SubscriptionId", "resourceGroupName", "Debiteurnummer", "BusinessUnit", "meterName",
+        F.col("costInBillingCurrency").cast("double").alias("cost"),
+    )
+
+
+_VIEW = f"""
+    SELECT strftime(date_trunc('month', {_DAY_SQL}), '%m/%d/%Y') AS "servicePeriodStartDate", strftime({_DAY_SQL}, '%m/%d/%Y') AS date,
+           'sub, "' || event_type || '"' AS "subscriptionName", 's-' || event_type AS "SubscriptionId", value AS "costInBillingCurrency",
+           CAST(user_id AS VARCHAR) AS "Debiteurnummer", event_type AS "BusinessUnit", 'rg' || chr(10) || event_type AS "resourceGroupName"
+    FROM events
+"""
+
+
+def _clean(spark, sf_dir: str):
+    raw = readers.read_months(spark, land_costs(spark, sf_dir), FIRST, LAST)
+    return costs.clean_costs(raw, ["Debiteurnummer", "BusinessUnit"]).withColumn(
+        "costInBillingCurrency", F.col("costInBillingCurrency").cast("double")
+    )
+
+
+@query(
+    "cost_view_backfilled",
+    f"""
+    SELECT * FROM ({_VIEW}) QUALIFY row_number() OVER (PARTITION BY date, "subscriptionName", "SubscriptionId", "resourceGroupName",
+        "costInBillingCurrency" ORDER BY "servicePeriodStartDate" DESC, "Debiteurnummer" DESC) = 1
+    """,
+)
+def cost_view_backfilled(spark, sf_dir):
+    target, cleaned = scratch_path(spark, "view"), _clean(spark, sf_dir)
+    costs.backfill_view(spark, cleaned.filter("BusinessUnit <> 'view'"), target)
+    costs.backfill_view(spark, cleaned, target)
+    return readers.read_table(spark, target).select(costs.VIEW_COLUMNS)
+
+
+@query(
+    "cost_view_appended",
+    f"SELECT * EXCLUDE (date), strptime(date, '%m/%d/%Y') :: DATE AS date FROM ({_VIEW})",
+)
+def cost_view_appended(spark, sf_dir):
+    target = scratch_path(spark, "view")
+    cleaned = _clean(spark, sf_dir).withColumn("date", F.try_to_date("date", "MM/dd/yyyy"))
+    costs.append_view(spark, cleaned.filter("date < DATE '2024-01-15'"), target)
+    for _ in range(2):
+        costs.append_view(spark, cleaned, target)
+    return readers.read_table(spark, target).select(costs.VIEW_COLUMNS)
+
+
+@query(
+    "table_appended_with_new_column",
+    """
+    SELECT c_custkey AS key, c_acctbal AS balance, CAST(NULL AS INTEGER) AS nation FROM customer
+    UNION ALL SELECT s_suppkey, s_acctbal, s_nationkey FROM supplier
+    """,
+)
+def table_appended(spark, sf_dir):
+    target = scratch_path(spark, "table")
+    customers = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.col("c_acctbal").alias("balance"))
+    suppliers = read(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("key"), F.col("s_acctbal").alias("balance"), F.col("s_nationkey").alias("nation")
+    )
+    writers.write_table(suppliers.select("nation"), target)
+    writers.write_table(customers, target)
+    writers.write_table(suppliers, target, "append")
+    return readers.read_table(spark, target)
+
+
+@query(
+    "days_replaced_once_more",
+    """
+    SELECT CAST(ts AS DATE) AS day, event_id, value FROM events
+    WHERE CAST(ts AS DATE) NOT IN (DATE '2024-01-10', DATE '2024-01-12')
+       OR (CAST(ts AS DATE) = DATE '2024-01-10' AND event_type = 'view')
+    """,
+)
+def days_replaced(spark, sf_dir):
+    target = scratch_path(spark, "days")
+    events = read(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), "event_id", "value", "event_type")
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=n) for n in range(31)]
+    writers.replace_partition(events.drop("event_type"), target, "day", days)
+    again = events.filter("day = DATE '2024-01-10' AND event_type = 'view'").drop("event_type")
+    for _ in range(2):
+        writers.replace_partition(again, target, "day", ["2024-01-10", "2024-01-12"])
+    return readers.read_table(spark, target)
+
+
+@query(
+    "written_only_with_rows",
+    "SELECT count(*) AS rows, false AS first, true AS second FROM supplier",
+)
+def written_only_with_rows(spark, sf_dir):
+    target = scratch_path(spark, "any")
+    suppliers = read(spark, sf_dir, "supplier")
+    first = writers.write_if_any(suppliers.filter("s_suppkey IS NULL"), target)
+    second = writers.write_if_any(suppliers, target)
+    return readers.read_table(spark, target).agg(
+        F.count(F.lit(1)).alias("rows"), F.lit(first).alias("first"), F.lit(second).alias("second")
+    )
+
+
+@query(
+    "copied_with_types",
+    """
+    SELECT o_orderkey, CAST(o_totalprice AS FLOAT) AS price, CAST(o_orderdate AS DATE) AS day, TRY_CAST(o_orderpriority AS INTEGER) AS priority
+    FROM orders
+    """,
+)
+def copied_with_types(spark, sf_dir):
+    target = scratch_path(spark, "copy")
+    orders = read(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_totalprice").cast("string").alias("price"), F.col("o_orderdate").cast("string").alias("day"),
+        F.col("o_orderpriority").alias("priority"), "o_custkey",
+    )
+    casts = {"price": "float", "day": "date", "priority": "int"}
+    writers.copy_table(orders, target, casts, ["o_orderkey", "price", "day", "priority"])
+    return readers.read_table(spark, target)
+
+
+@query("rows_counted_while_written", "SELECT count(*) AS rows, count(*) AS stored FROM orders")
+def rows_counted(spark, sf_dir):
+    target = scratch_path(spark, "orders")
+    counted, report = qu.load_report(read(spark, sf_dir, "orders"))
+    writers.write_table(counted, target)
+    stored = readers.read_table(spark, target)
+    return stored.agg(F.lit(report.get["rows"]).alias("rows"), F.count(F.lit(1)).alias("stored"))
+
+
+@query(
+    "layer_with_dimensions_then_facts",
+    """
+    SELECT d.PracticeNaam, round(sum(f.Subtotaal), 4) AS revenue FROM "FeitFacturen" f
+    LEFT JOIN "DimPractice" d ON d.PracticeKey = f.PracticeKey GROUP BY 1
+    """,
+)
+def layer(spark, sf_dir):
+    root = scratch_path(spark, "layers")
+
+    def fact():
+        practices = readers.read_table(spark, f"{root}/s3_ods/DimPractice")
+        bills = shape(spark, sf_dir, "FeitFacturen").select("PracticeKey", "Subtotaal")
+        return bills.join(practices, "PracticeKey", "left").select("PracticeNaam", "Subtotaal")
+
+    writers.build_layer(
+        spark, root, "s3_ods", {"DimPractice": lambda: shape(spark, sf_dir, "DimPractice")}, {"FeitFacturen": fact}
+    )
+    stored = readers.read_table(spark, f"{root}/s3_ods/FeitFacturen")
+    return rounded(stored.groupBy("PracticeNaam").agg(F.sum("Subtotaal").alias("revenue")))
+
+
+# --- issue tracker ------------------------------------------------------------------------
+_STATUS = "CASE role WHEN 'user' THEN 'Nog Doen' WHEN 'assistant' THEN 'Gereed' END"
+
+
+def land_issues(spark, sf_dir: str) -> str:
+    """Write conversations as issue pages: one JSON document per page of at most 50 turns."""
+    root = scratch_path(spark, "issues")
+    issue = f"""
+        named_struct('id', CAST(turn AS STRING), 'key', concat(conv_id, '-', turn), 'fields', named_struct(
+            'summary', text, 'status', named_struct('id', role, 'name', {_STATUS}),
+            'project', named_struct('id', role, 'key', concat('PRJ-', role), 'name', role),
+            'assignee', named_struct('displayName', role), 'sprint', named_struct('originBoardId', 1, 'name', concat('Sprint ', conv_id)),
+            'customfield_10028', CAST(turn + 1 AS DOUBLE),
+            'customfield_10067', CASE WHEN role = 'user' THEN array(named_struct('name', 'A'), named_struct('name', 'B'))
+                                      WHEN role = 'assistant' THEN array(named_struct('name', 'A')) END))
+    """
+    page = F.floor(F.col("turn") / readers.PAGE_SIZE)
+    turns = read(spark, sf_dir, "conversations").withColumn("issue", F.expr(issue))
+    pages = turns.groupBy("conv_id", page.alias("page")).agg(F.collect_list("issue").alias("issues"))
+    sprint = "named_struct('id', conv_id, 'self', concat('s/', conv_id), 'name', concat('Sprint ', conv_id)) AS sprint"
+    pages.selectExpr(sprint, f"page * {readers.PAGE_SIZE} AS startAt", "issues").write.json(root)
+    return root
+
+
+@query(
+    "sprint_issues_flattened",
+    f"""
+    WITH t AS (SELECT * FROM (VALUES ('user', 'A'), ('user', 'B'), ('assistant', 'A')) t(role, team))
+    SELECT 'Sprint ' || conv_id AS sprint, conv_id || '-' || turn AS key, text AS summary, {_STATUS.replace("role", "c.role", 1)} AS status, 'PRJ-' || c.role AS project,
+           CAST(turn + 1 AS DOUBLE) AS points, t.team, 7 AS board
+    FROM conversations c LEFT JOIN t ON t.role = c.role
+    """,
+)
+def sprint_issues(spark, sf_dir):
+    issues = builders.build_fact_sprint_issue((7, readers.read_issue_json(spark, land_issues(spark, sf_dir))))
+    names = {
+        "sprint.name": "sprint", "issue.key": "key", "summary": "summary", "status.name": "status", "project.key": "project",
+        "StoryPoints": "points", "TeamName": "team", "BoardId": "board",
+    }
+    return co.rename(co.select_columns(issues, list(names)), names)
+
+
+@query("statuses_of_issues", f"SELECT DISTINCT {_STATUS} AS \"Status\" FROM conversations WHERE role <> 'system'")
+def statuses_of_issues(spark, sf_dir):
+    return builders.build_dim_status(readers.read_issue_json(spark, land_issues(spark, sf_dir)))
+
+
+@query("projects_of_issues", "SELECT DISTINCT role AS id, 'PRJ-' || role AS key, role AS name FROM conversations")
+def projects_of_issues(spark, sf_dir):
+    issues = builders.build_fact_sprint_issue((7, readers.read_issue_json(spark, land_issues(spark, sf_dir))))
+    return builders.build_dim_project(issues).toDF("id", "key", "name")
+
+
+@query(
+    "sprints_of_board",
+    """
+    SELECT conv_id AS id, 'Sprint ' || conv_id || ' x' AS "SprintName", conv_id || ' x' AS "NaamZonderSprint",
+           CASE WHEN max(turn) > 2 THEN 'active' ELSE 'future' END AS "SprintStatus", TIMESTAMP '2024-01-01 08:00:00' AS "startDate", 7 AS "BoardId"
+    FROM conversations GROUP BY conv_id HAVING count(*) <> 4
+    """,
+)
+def sprints_of_board(spark, sf_dir):
+    root = scratch_path(spark, "sprints")
+    turns = read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.max("turn").alias("t"), F.count(F.lit(1)).alias("n"))
+    turns.selectExpr(
+        "array(named_struct('id', conv_id, 'self', concat('s/', conv_id), 'state', CASE WHEN t > 2 THEN 'active' ELSE 'future' END,"
+        " 'name', concat('Sprint  ', conv_id, ' x'), 'startDate', '2024-01-01T08:00:00', 'originBoardId', CASE WHEN n = 4 THEN 99 ELSE 7 END)) AS `values`"
+    ).write.json(root)
+    pages = readers.read_issue_json(spark, root, readers.SPRINT_PAGE)
+    sprints = builders.build_dim_sprint(pages, 7, 99)
+    named = sprints.withColumn("SprintName", F.regexp_replace("SprintName", " +", " "))
+    return named.select("id", "SprintName", "NaamZonderSprint", "SprintStatus", F.col("startDate").cast("timestamp_ntz").alias("startDate"), "BoardId")
+
+
+# --- dimensions and facts --------------------------------------------------------------------
+
+
+def _accounts(spark, sf_dir: str):
+    return read(spark, sf_dir, "customer").selectExpr(
+        "concat('C', c_custkey) AS Id", "c_name AS Name", "c_mktsegment AS Type", "CAST(c_nationkey AS STRING) AS Customer_ID__c",
+        "c_mktsegment AS Industry",
+    )
+
+
+@query(
+    "customer_dimension",
+    """
+    SELECT row_number() OVER (ORDER BY 'C' || c_custkey) AS "KlantKey", 'C' || c_custkey AS "KlantID", c_name AS "KlantNaam",
+           c_mktsegment AS "KlantType", CAST(c_nationkey AS VARCHAR) AS "Debiteurnummer", c_mktsegment AS "Branche" FROM customer
+    """,
+)
+def customer_dimension(spark, sf_dir):
+    return builders.build_dim_customer(_accounts(spark, sf_dir))
+
+
+@query(
+    "practice_dimension",
+    'SELECT row_number() OVER (ORDER BY r_name) AS "PracticeKey", r_name AS "PracticeID", \'p \' || r_name AS "PracticeNaam" FROM region',
+)
+def practice_dimension(spark, sf_dir):
+    return builders.build_dim_practice(read(spark, sf_dir, "region").selectExpr("r_name AS Id", "concat('p ', r_name) AS Name"))
+
+
+@query(
+    "skill_dimension",
+    'SELECT row_number() OVER (ORDER BY lpad(CAST(p_partkey AS VARCHAR), 12, \'0\')) AS "SkillKey", lpad(CAST(p_partkey AS VARCHAR), 12, \'0\') AS "SkillId", '
+    'p_name AS "SkillNaam", p_brand AS "SkillType" FROM part',
+)
+def skill_dimension(spark, sf_dir):
+    skills = read(spark, sf_dir, "part").selectExpr("lpad(CAST(p_partkey AS STRING), 12, '0') AS Id", "p_name AS Name", "p_brand AS Type__c")
+    return builders.build_dim_skill(skills)
+
+
+@query(
+    "leave_type_dimension",
+    'SELECT row_number() OVER (ORDER BY c) AS "VerloftypeKey", c AS "VerlofCode", \'type \' || c AS "VerlofType" '
+    "FROM (SELECT DISTINCT l_returnflag || l_linestatus AS c FROM lineitem)",
+)
+def leave_type_dimension(spark, sf_dir):
+    codes = read(spark, sf_dir, "lineitem").selectExpr("concat(l_returnflag, l_linestatus) AS Type_verlof_code").distinct()
+    return builders.build_dim_leave_type(codes.selectExpr("*", "concat('type ', Type_verlof_code) AS Type_verlof"))
+
+
+@query(
+    "task_dimension",
+    """
+    SELECT row_number() OVER (ORDER BY p_name, lpad(CAST(p_partkey AS VARCHAR), 12, '0')) AS "TaakregelKey", lpad(CAST(p_partkey AS VARCHAR), 12, '0') AS "TaakregelId",
+           p_brand AS "TaakStatus", p_type AS "TaakType", p_name AS "TaakNaam", p_size AS "Taakregel", p_size > 20 AS "IsFacturabel",
+           CAST(NULL AS VARCHAR) AS "DirectIndirect", CAST(NULL AS VARCHAR) AS "Uurtype", DATE '1998-01-01' AS "Begindatum", DATE '1998-02-01' AS "Einddatum",
+           DATE '1998-03-01' AS "DatumAfgerond", CAST(NULL AS INTEGER) AS "IsVooruitbetaald", p_retailprice AS "TotaalGeschrevenUren",
+           p_retailprice AS "TotaalGeschatteUren", p_size AS "Taakvolgorde", o.o_orderkey AS "ProjectKey", c.c_custkey AS "KlantKey"
+    FROM part p LEFT JOIN orders o ON o.o_orderkey = p.p_partkey * 10 LEFT JOIN customer c ON c.c_custkey = p.p_partkey
+    """,
+)
+def task_dimension(spark, sf_dir):
+    tasks = read(spark, sf_dir, "part").selectExpr(
+        "lpad(CAST(p_partkey AS STRING), 12, '0') AS Id", "p_brand AS Krow__Status__c", "p_type AS Krow__Task_Type__c", "p_name AS Name",
+        "p_size AS Krow__Project_Task_Order__c", "p_size > 20 AS Krow__Billable__c", "DATE '1998-01-01' AS Krow__Task_Start_Date__c",
+        "DATE '1998-02-01' AS Krow__Task_Due_Date__c", "DATE '1998-03-01' AS Krow__Completion_Date__c",
+        "p_retailprice AS Krow__Total_Hours_Logged__c", "p_retailprice AS Krow__Estimated_Hours__c",
+        "concat('P', p_partkey * 10) AS Krow__Project__c", "concat('C', p_partkey) AS Krow__Account__c",
+    )
+    return builders.build_dim_task(tasks, shape(spark, sf_dir, "DimProjecten"), shape(spark, sf_dir, "DimKlanten"))
+
+
+@query(
+    "satisfaction_fact",
+    """
+    WITH p AS (SELECT 'P' || CAST(o_custkey AS VARCHAR) AS "Id", 'n ' || o_orderkey AS "ProjectNaam", o_orderkey AS "ProjectNummer",
+                      CASE WHEN o_orderstatus <> 'P' THEN floor(o_totalprice / 50000) END AS "Score", o_orderdate + INTERVAL (o_orderkey) SECOND AS "Scoredatum",
+                      o_orderstatus AS "ProjectStatus", o_orderdate AS "CompletionDate", CASE WHEN o_totalprice < 50000 THEN 1 ELSE 0 END AS del,
+                      o_custkey, substring(o_orderpriority, 3) AS practice FROM orders)
+    SELECT row_number() OVER (PARTITION BY "Id" ORDER BY "Scoredatum") AS "RowNum", "Id", "ProjectNaam", "ProjectNummer", "Score", "Scoredatum", "ProjectStatus",
+           "CompletionDate", o.o_orderkey AS "ProjectKey", r.r_regionkey AS "PracticeKey", n.n_nationkey AS "TeamKey", c.c_custkey AS "KlantKey",
+           year("Scoredatum") * 10000 + month("Scoredatum") * 100 + day("Scoredatum") AS "DatumKey"
+    FROM p LEFT JOIN orders o ON o.o_orderkey = p.o_custkey LEFT JOIN region r ON r.r_name = CASE practice WHEN 'URGENT' THEN 'ASIA' WHEN 'HIGH' THEN 'AFRICA' END
+    LEFT JOIN nation n ON n.n_nationkey = p.o_custkey LEFT JOIN customer c ON c.c_custkey = p.o_custkey
+    WHERE "Score" IS NOT NULL AND del = 0
+    """,
+)
+def satisfaction_fact(spark, sf_dir):
+    projects = read(spark, sf_dir, "orders").selectExpr(
+        "concat('P', o_custkey) AS Id", "concat('n ', o_orderkey) AS Name", "o_orderkey AS Krow__Project_Number__c",
+        "CASE WHEN o_orderstatus <> 'P' THEN CAST(floor(o_totalprice / 50000) AS DOUBLE) END AS CSAT_Score__c",
+        "o_orderdate + make_interval(0, 0, 0, 0, 0, 0, o_orderkey) AS LastModifiedDate", "o_orderstatus AS Krow__Project_Status__c",
+        "o_orderdate AS Krow__Completion_Date__c", "o_totalprice < 50000 AS IsDeleted", "CAST(o_custkey AS STRING) AS Team__c",
+        "concat('C', o_custkey) AS Krow__Account__c",
+        "CASE substring(o_orderpriority, 3) WHEN 'URGENT' THEN 'ASIA' WHEN 'HIGH' THEN 'AFRICA' END AS Krow__Practice__c",
+    )
+    practices = shape(spark, sf_dir, "DimPractice").withColumnRenamed("PracticeNaam", "PracticeID")
+    teams = shape(spark, sf_dir, "DimTeam").withColumn("Id", F.col("TeamKey").cast("string"))
+    return builders.build_fact_satisfaction(
+        projects, shape(spark, sf_dir, "DimProjecten"), practices, teams, shape(spark, sf_dir, "DimKlanten"),
+        shape(spark, sf_dir, "DimDatum"),
+    )
+
+
+@query(
+    "budget_from_three_sources",
+    """
+    SELECT 'm' || o_custkey AS medewerker, CAST(o_orderdate AS DATE) AS datumweek, o_totalprice AS "Begroting" FROM orders
+    """,
+)
+def budget_from_three_sources(spark, sf_dir):
+    orders = read(spark, sf_dir, "orders")
+    named = orders.selectExpr("concat('m', o_custkey) AS medewerker", "o_orderdate AS datumweek", "o_totalprice AS `Aantal dagen`", "o_orderstatus")
+    parts = [named.filter(f"o_orderstatus = '{s}'").drop("o_orderstatus") for s in "FOP"]
+    parts[1] = parts[1].withColumnRenamed("Aantal dagen", "Begroting")
+    return builders.build_budget(*parts)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallygrid.functions.dates import to_day
 from tallygrid.operators.columns import cast_columns, select_columns
+from tallygrid.operators.quality import table_exists
 from tallygrid.session import scratch_path
 
 
@@ -41,16 +42,24 @@ def replace_partition(df: DataFrame, path: str, column: str, days: Sequence[dt.d
     Only the days named may occur in ``df``. A rerun gives the same table; other
     days are not touched; a named day without rows ends up empty.
     """
-    wanted = {to_day(d) for d in days}
-    # at most one row per named day comes back
-    present = {row[0] for row in df.select(F.col(column).cast("date")).distinct().limit(len(wanted) + 1).collect()}
+    spark, wanted = df.sparkSession, {to_day(d) for d in days}
+
+    def days_of(rows: DataFrame) -> set[dt.date]:
+        """At most one row per named day comes back."""
+        return {row[0] for row in rows.select(F.col(column).cast("date")).distinct().limit(len(wanted) + 1).collect()}
+
+    present = days_of(df)
     if not present <= wanted:
         raise ValueError(f"rows outside the days to replace: {sorted(map(str, present - wanted))}")
+    filled = set()
+    if wanted > present and table_exists(spark, path):
+        # only the partitions of the named days are opened
+        filled = days_of(spark.read.parquet(path).filter(F.col(column).isin(sorted(wanted - present))))
     if present:
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(column).parquet(path)
     nothing = df.drop(column).filter(F.lit(False))
-    for day in sorted(wanted - present):
+    for day in sorted(filled):
         nothing.coalesce(1).write.mode("overwrite").parquet(f"{path}/{column}={day.isoformat()}")
 
 
