@@ -1,9 +1,9 @@
 """Evaluate metrics by any grouping and filters, as one DataFrame plan.
 
-Per fact (and per choice of roles, ignored dimensions and date shift) the plan
-is: scan the needed columns, filter, look the dimensions up with left joins,
-aggregate every metric of that fact at once. Facts are added up first and only
-then brought together, so no fact is ever joined to another one.
+Per fact (and per effective grouping, lookups and date shift) the plan is: scan
+the needed columns, filter, look the dimensions up with left joins, aggregate
+every metric of that fact at once. Facts are added up first and only then
+brought together, so no fact is ever joined to another one.
 """
 
 from __future__ import annotations
@@ -79,24 +79,36 @@ class _Frame:
             return path[0].source
         return None
 
-    def on_fact(self, pred: Pred) -> Column | None:
-        """The predicate over fact columns only, or None if it needs a dimension."""
+    def needs_lookup(self, pred: Pred) -> bool:
+        """Can the predicate not be told from fact columns alone?"""
+        return pred.tables() != {self.fact} and self._date_source(pred) is None
+
+    def joins_date(self) -> bool:
+        """Does any grouping or predicate need the date dimension itself?"""
+        refs = set(self.by)
+        for p in self.filters + [p for b in self.members for p in b.where]:
+            if self.needs_lookup(p):
+                refs.update(p.refs)
+        needed = [step for r in refs for step in self.path(split_ref(r)[0]) or []]
+        return any(split_ref(step.target)[0] in self.model.date_tables for step in needed)
+
+    def on_fact(self, pred: Pred, shift: int | None = None) -> Column:
+        """A predicate that needs no lookup, over fact columns."""
         if pred.tables() == {self.fact}:
             if pred.days is not None and len(pred.refs) == 1:
                 return self._range(pred.refs[0], pred.days)
             return pred.build(*[_q(r) for r in pred.refs])
         source = self._date_source(pred)
-        if source is None:
-            return None
-        if not self.head.shift:
+        shift = self.head.shift if shift is None else shift
+        if not shift:
             return self._range(source, pred.days)
         # exact test on the shifted date, plus loose bounds that reach the scan
         low, high = pred.days
         loose = (
-            _months_before(low, self.head.shift + 1) if low else None,
-            _months_before(high, self.head.shift - 2) if high else None,
+            _months_before(low, shift + 1) if low else None,
+            _months_before(high, shift - 2) if high else None,
         )
-        return pred.build(self._shifted(source)) & self._range(source, loose)
+        return pred.build(self._shifted(source, shift)) & self._range(source, loose)
 
     @staticmethod
     def _range(ref: str, days: tuple[dt.date | None, dt.date | None]) -> Column:
@@ -108,21 +120,22 @@ class _Frame:
             tests.append(_q(ref) < F.lit(high + dt.timedelta(days=1)))
         return _all(tests)
 
-    def _shifted(self, ref: str) -> Column:
+    @staticmethod
+    def _shifted(ref: str, shift: int) -> Column:
         day = F.to_date(_q(ref))
-        return F.add_months(day, self.head.shift) if self.head.shift else day
+        return F.add_months(day, shift) if shift else day
 
     # -- plan ----------------------------------------------------------------
 
     def refs_needed(self) -> set[str]:
         refs = set(self.by)
         for p in self.filters:
-            if self.on_fact(p) is None or p.tables() == {self.fact}:
+            if self._date_source(p) is None:
                 refs.update(p.refs)
         for b in self.members:
             refs.update(r for r in (b.column, b.times, b.each) if r)
             for p in b.where:
-                if self.on_fact(p) is None or p.tables() == {self.fact}:
+                if self._date_source(p) is None:
                     refs.update(p.refs)
         return refs
 
@@ -138,11 +151,11 @@ class _Frame:
         df = self.model.table(self.fact)
         df = df.select(*[F.col(f"`{split_ref(r)[1]}`").alias(r) for r in sorted(fact_refs)])
 
-        own = [c for c in (self.on_fact(p) for p in self.filters) if c is not None]
+        own = [self.on_fact(p) for p in self.filters if not self.needs_lookup(p)]
         if own:
             df = df.filter(_all(own))
         own_by_member = {
-            b: [c for c in (self.on_fact(p) for p in b.where) if c is not None] for b in self.members
+            b: [self.on_fact(p, b.shift) for p in b.where if not self.needs_lookup(p)] for b in self.members
         }
         if all(own_by_member.values()):
             df = df.filter(_any([_all(c) for c in own_by_member.values()]))
@@ -150,16 +163,16 @@ class _Frame:
         keys = {r for r in self.by if split_ref(r)[0] == self.fact}
         keys |= {j.source for j in joins if split_ref(j.source)[0] == self.fact}
         for p in self.filters + [p for b in self.members for p in b.where]:
-            if self.on_fact(p) is None:
+            if self.needs_lookup(p):
                 keys |= {r for r in p.refs if split_ref(r)[0] == self.fact}
         df = self._partials(df, sorted(keys), own_by_member, joins)
         df = self._join(df, joins, refs)
 
-        outer = [p for p in self.filters if self.on_fact(p) is None]
+        outer = [p for p in self.filters if self.needs_lookup(p)]
         if outer:
             df = df.filter(_all([p.build(*[_q(r) for r in p.refs]) for p in outer]))
         looked_up = {
-            b: [p.build(*[_q(r) for r in p.refs]) for p in b.where if self.on_fact(p) is None]
+            b: [p.build(*[_q(r) for r in p.refs]) for p in b.where if self.needs_lookup(p)]
             for b in self.members
         }
         if all(looked_up.values()):
@@ -201,15 +214,21 @@ class _Frame:
         return ordered
 
     def _partials(self, df, keys, own_by_member, joins) -> DataFrame:
-        """Per-row values, or per-key subtotals when a large dimension follows."""
+        """Per-row values, or subtotals per key when a large dimension follows.
+
+        Subtotals pay when one key leads to that dimension: the rows are then
+        shuffled by it once, already added up, and the lookup that follows needs
+        no shuffle of its own; a hot key arrives as one row per task. With more
+        keys there is little to add up, and the lookup works on plain rows.
+        """
         large = {split_ref(j.target)[0] for j in joins} & self.model.large
         foreign = any(b.column and split_ref(b.column)[0] != self.fact for b in self.members)
-        subtotal = bool(large) and not foreign
         values: list[Column] = []
         if self.head.each and self.head.each not in keys:
             keys = keys + [self.head.each]
         if self.head.kind == "distinct":
             keys = keys + ([self.head.column] if self.head.column not in keys and not foreign else [])
+        subtotal = bool(large) and not foreign and len(keys) == 1
         for i, b in enumerate(self.members):
             test = _all(own_by_member[b])
             c = _q(b.column) if b.column and split_ref(b.column)[0] == self.fact else F.lit(1)
@@ -244,7 +263,7 @@ class _Frame:
             )
             source = _q(step.source)
             if target in self.model.date_tables and step.target.endswith(".Datum"):
-                source = self._shifted(step.source)
+                source = self._shifted(step.source, self.head.shift)
             df = df.join(dim, source == F.col("_key"), "left").drop("_key")
         return df
 
@@ -273,9 +292,27 @@ class _Frame:
         return {"sum": F.sum, "max": F.max, "min": F.min}[b.kind](value)
 
 
-def _signature(b: Base) -> tuple:
-    distinct = b.column if b.kind == "distinct" else None
-    return (b.table, b.via, b.without, b.ignore, b.keep, b.over, b.shift, distinct, b.days, b.each)
+def _tables_of(b: Base) -> set[str]:
+    refs = [r for r in (b.column, b.times, b.each) if r] + [r for p in b.where for r in p.refs]
+    return {split_ref(r)[0] for r in refs}
+
+
+def _frames(model: Model, wanted: list[Base], by: list[str], where: list[Pred]) -> list[_Frame]:
+    """As few fact scans as possible: bases share one when they see the same
+    grouping, filters and lookups, whatever choices led there."""
+    outer = {split_ref(r)[0] for r in by} | {t for p in where for t in p.tables()}
+    groups: dict[tuple, list[Base]] = {}
+    for fact in dict.fromkeys(b.table for b in wanted):
+        own = [b for b in wanted if b.table == fact]
+        tables = sorted(outer | {t for b in own for t in _tables_of(b)})
+        alone = {b: _Frame(model, [b], by, where) for b in own}
+        dated = any(f.joins_date() for f in alone.values())
+        for b, frame in alone.items():
+            paths = tuple(tuple(p) if (p := frame.path(t)) is not None else None for t in tables)
+            distinct = (b.column, b.days) if b.kind == "distinct" else None
+            key = (fact, tuple(frame.by), tuple(frame.filters), paths, distinct, b.each, b.shift if dated else None)
+            groups.setdefault(key, []).append(b)
+    return [_Frame(model, members, by, where) for members in groups.values()]
 
 
 def _result(metric: Metric, names: dict[Base, str]) -> Column:
@@ -304,9 +341,6 @@ def evaluate(
     by = list(by)
     wanted: list[Base] = list(dict.fromkeys(b for m in metrics.values() for b in bases(m)))
     names = {b: f"_m{i}" for i, b in enumerate(wanted)}
-    groups: dict[tuple, list[Base]] = {}
-    for b in wanted:
-        groups.setdefault(_signature(b), []).append(b)
     sets = None
     if totals == "rollup":
         sets = [by[:n] for n in range(len(by), -1, -1)]
@@ -314,9 +348,8 @@ def evaluate(
         sets = [by, []]
 
     full, partial = [], []
-    for members in groups.values():
-        frame = _Frame(model, members, by, list(where))
-        own = [names[b] for b in members]
+    for frame in _frames(model, wanted, by, list(where)):
+        own = [names[b] for b in frame.members]
         if frame.by == by:
             full.append((frame.build(names, sets), own))
         elif sets is not None and frame.by:

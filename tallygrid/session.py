@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # no call-site lookup for every column expression: plans here hold hundreds of them
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -56,7 +56,9 @@ def replace_partition(df: DataFrame, path: str, column: str, days: Sequence[dt.d
         # only the partitions of the named days are opened
         filled = days_of(spark.read.parquet(path).filter(F.col(column).isin(sorted(wanted - present))))
     if present:
-        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        # rebalanced by day: few files per day, while a day with very many rows is still split
+        placed = df.hint("rebalance", F.col(column))
+        writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(column).parquet(path)
     nothing = df.drop(column).filter(F.lit(False))
     for day in sorted(filled):
