@@ -22,7 +22,7 @@ def select_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def drop_columns(df: DataFrame, pattern: str) -> DataFrame:
     """Drop every column whose name contains the pattern."""
-    return df.select(*[quoted(c) for c in df.columns if pattern not in c])
+    return df.drop(*[c for c in df.columns if pattern in c])
 
 
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:

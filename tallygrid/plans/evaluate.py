@@ -18,6 +18,7 @@ from tallygrid.plans.metric import Base, Metric, Pred, bases
 from tallygrid.plans.model import Model, Relationship, split_ref
 
 LEVEL = "grouping_level"
+Span = tuple[str, dt.date | None, dt.date | None]
 
 
 def _q(ref: str) -> Column:
@@ -94,25 +95,47 @@ class _Frame:
 
     def on_fact(self, pred: Pred, shift: int | None = None) -> Column:
         """A predicate that needs no lookup, over fact columns."""
-        if pred.tables() == {self.fact}:
-            if pred.days is not None and len(pred.refs) == 1:
-                return self._range(pred.refs[0], pred.days)
-            return pred.build(*[_q(r) for r in pred.refs])
+        shift = self.head.shift if shift is None else shift
         source = self._date_source(pred)
+        if source is not None and shift:
+            return pred.build(self._shifted(source, shift))
+        span = self.span(pred, shift)
+        return self._range(*span) if span is not None else pred.build(*[_q(r) for r in pred.refs])
+
+    def span(self, pred: Pred, shift: int | None = None) -> Span | None:
+        """Range of the raw date column that holds every row the predicate keeps.
+
+        Exact without a shift, a little wider with one.
+        """
         shift = self.head.shift if shift is None else shift
-        if not shift:
-            return self._range(source, pred.days)
-        # exact test on the shifted date, plus loose bounds that reach the scan
+        if pred.days is None or len(pred.refs) != 1:
+            return None
         low, high = pred.days
-        loose = (
-            _months_before(low, shift + 1) if low else None,
-            _months_before(high, shift - 2) if high else None,
-        )
-        return pred.build(self._shifted(source, shift)) & self._range(source, loose)
+        if pred.tables() == {self.fact}:
+            return pred.refs[0], low, high
+        source = self._date_source(pred)
+        if source is None:
+            return None
+        if shift:
+            low = _months_before(low, shift + 1) if low else None
+            high = _months_before(high, shift - 2) if high else None
+        return source, low, high
+
+    def scan_range(self) -> Column | None:
+        """One range around the dates of all members: the scan can skip files by it."""
+        spans = []
+        for b in self.members:
+            own = [s for s in (self.span(p, b.shift) for p in b.where) if s is not None]
+            if not own:
+                return None
+            spans.append(own[0])
+        lows, highs = [s[1] for s in spans], [s[2] for s in spans]
+        if len({s[0] for s in spans}) != 1 or (None in lows and None in highs):
+            return None
+        return self._range(spans[0][0], None if None in lows else min(lows), None if None in highs else max(highs))
 
     @staticmethod
-    def _range(ref: str, days: tuple[dt.date | None, dt.date | None]) -> Column:
-        low, high = days
+    def _range(ref: str, low: dt.date | None, high: dt.date | None) -> Column:
         tests = []
         if low is not None:
             tests.append(_q(ref) >= F.lit(low))
@@ -151,6 +174,12 @@ class _Frame:
         df = self.model.table(self.fact)
         df = df.select(*[F.col(f"`{split_ref(r)[1]}`").alias(r) for r in sorted(fact_refs)])
 
+        spans = [self._range(*span) for span in (self.span(p) for p in self.filters) if span is not None]
+        around = self.scan_range()
+        if around is not None:
+            spans.append(around)
+        if spans:
+            df = df.filter(_all(spans))
         own = [self.on_fact(p) for p in self.filters if not self.needs_lookup(p)]
         if own:
             df = df.filter(_all(own))
