@@ -598,7 +598,7 @@ _CONTRACT_PARTS = """
     u0 AS (SELECT x.*, k."Contact Name" AS c FROM "niet_factureerbare_uren" x {c}),
     g0 AS (SELECT x.*, k."Contact Name" AS c FROM "s4_inf gefactureerde_uren" x {c}),
     t0 AS (SELECT x.*, k."Contact Name" AS c FROM "contract_opbrengsten" x {c}),
-    a0 AS (SELECT x.*, k."Contact Name" AS c FROM "bram_view_exported" x {c}),
+    a0 AS (SELECT x.*, k."Contact Name" AS c FROM "cost_view_exported" x {c}),
     h AS (SELECT c, sum("Billable Hours") AS hours, sum(Kosten) AS cost, sum(Opbrengsten) AS rev,
                  sum(Kosten) FILTER (WHERE CAST(Datum AS DATE) <= DATE '1998-06-15') AS duecost,
                  sum(Opbrengsten) FILTER (WHERE CAST(Datum AS DATE) <= DATE '1998-06-15') AS duerev FROM h0 GROUP BY 1),
@@ -652,13 +652,13 @@ _CLOUD = {
 _metrics(
     "cloud_cost_by_resource_group",
     f"""
-    WITH b AS (SELECT *, CAST(date AS DATE) AS dag FROM "bram_view_exported"),
+    WITH b AS (SELECT *, CAST(date AS DATE) AS dag FROM "cost_view_exported"),
     k AS (SELECT resourceGroupName, sum({_C}) AS cost, count(DISTINCT dag) AS days FROM b GROUP BY 1),
     x AS (SELECT {_sum(_YESTERDAY, _C)} AS g, {_sum(_DAY_BEFORE, _C)} AS e, {_sum(_THIS_WEEK, _C)} AS w, {_sum(_LAST_WEEK, _C)} AS v FROM b)
     SELECT resourceGroupName, {_cols(r, _CLOUD)} FROM k, x
     """,
     shapes.contracts, lambda: catalogue.contracts(COST_NOW), list(_CLOUD),
-    by=["bram_view_exported.resourceGroupName"],
+    by=["cost_view_exported.resourceGroupName"],
 )
 
 
@@ -668,7 +668,7 @@ _metrics(
     WITH c AS (SELECT * FROM "contract_opbrengsten" WHERE "Contact Name" = 'Contract 1-URGENT Complete'),
     k AS (SELECT DISTINCT "Debiteurnummer" AS d FROM c),
     p AS (SELECT year("Termijn Maand Datum") AS Jaar, sum("Total Price") AS p FROM c GROUP BY 1),
-    a AS (SELECT year(date) AS Jaar, sum(costInBillingCurrency) AS a FROM "bram_view_exported" WHERE "Debiteurnummer" IN (SELECT d FROM k) GROUP BY 1),
+    a AS (SELECT year(date) AS Jaar, sum(costInBillingCurrency) AS a FROM "cost_view_exported" WHERE "Debiteurnummer" IN (SELECT d FROM k) GROUP BY 1),
     u AS (SELECT year(Krow__Date__c) AS Jaar, sum("Sum of Cost Amount") AS u FROM "niet_factureerbare_uren" WHERE "Debiteurnummer" IN (SELECT d FROM k) GROUP BY 1),
     h AS (SELECT year(Datum) AS Jaar, sum(Kosten) AS h FROM "s4_inf billable_uren" WHERE "Debiteurnummer" IN (SELECT d FROM k) GROUP BY 1),
     j AS (SELECT Jaar FROM p UNION SELECT Jaar FROM a UNION SELECT Jaar FROM u UNION SELECT Jaar FROM h)

@@ -21,6 +21,8 @@ from tallygrid.operators import windows as wi
 from tallygrid.plans import metric as m
 from tallygrid.plans import period as t
 from tallygrid.plans.catalogue import operations as ops
+from tallygrid.plans.catalogue.sprint import sprint_old
+from tallygrid.plans.cumulative import evaluate_ytd
 from tallygrid.plans.evaluate import evaluate
 from tallygrid.plans.period import Period
 from tallygrid.sources.readers import literal_table
@@ -669,6 +671,48 @@ def cumulative_by_day(spark, sf_dir):
     return rounded(wi.cumulative_ytd(dense, "v", "day", ["PracticeKey"]).select("PracticeKey", "day", "v", "ytd"))
 
 
+@query(
+    "cumulative_revenue_and_budget_by_month",
+    """
+    WITH b AS (SELECT PracticeKey AS p, year(Factuurdatum) AS j, month(Factuurdatum) AS m, sum(Subtotaal) AS v FROM "FeitFacturen" GROUP BY ALL),
+    g AS (SELECT PracticeKey AS p, Jaar AS j, (MonthDateKey // 100) % 100 AS m, sum(FTE_x_MonthGoal) AS v FROM "FeitBudgetten" GROUP BY ALL),
+    k AS (SELECT DISTINCT p, j FROM b UNION SELECT DISTINCT p, j FROM g),
+    x AS (SELECT k.p, k.j, CAST(r.m AS INTEGER) AS m FROM k, range(1, 13) r(m))
+    SELECT d.PracticeNaam, x.j AS "Jaar", x.m AS "MaandNummer",
+           round(sum(b.v) OVER (PARTITION BY x.p, x.j ORDER BY x.m), 4) AS revenue,
+           round(sum(g.v) OVER (PARTITION BY x.p, x.j ORDER BY x.m), 4) AS goal
+    FROM x LEFT JOIN b ON b.p = x.p AND b.j = x.j AND b.m = x.m LEFT JOIN g ON g.p = x.p AND g.j = x.j AND g.m = x.m
+    LEFT JOIN "DimPractice" d ON d.PracticeKey = x.p
+    """,
+)
+def cumulative_by_month(spark, sf_dir):
+    metrics = {"revenue": m.sum_("FeitFacturen.Subtotaal"), "goal": m.sum_("FeitBudgetten.FTE_x_MonthGoal")}
+    return rounded(evaluate_ytd(shapes.operational(spark, sf_dir), metrics, by=["DimPractice.PracticeNaam"]))
+
+
+@query(
+    "relationship_switched_off",
+    """
+    SELECT f.OmzetCategorie, round(sum(f.BedragExclBTW), 4) AS everyone,
+           round(sum(f.BedragExclBTW) FILTER (WHERE e.IsExterneMedewerker = 1), 4) AS external
+    FROM "FeitFactuurregels" f LEFT JOIN "DimMedewerkers" e ON e.MedewerkerKey = f.MedewerkerKey GROUP BY 1
+    """,
+)
+def relationship_switched_off(spark, sf_dir):
+    revenue = m.sum_("FeitFactuurregels.BedragExclBTW")
+    metrics = {"everyone": m.without(revenue, "DimMedewerkers"), "external": revenue}
+    chosen = [m.eq("DimMedewerkers.IsExterneMedewerker", 1)]
+    return rounded(
+        evaluate(shapes.operational(spark, sf_dir), metrics, by=["FeitFactuurregels.OmzetCategorie"], where=chosen)
+    )
+
+
+@query("projects_by_name_on_older_board", "SELECT count(DISTINCT role) AS projects FROM conversations")
+def projects_by_name(spark, sf_dir):
+    model = shapes.sprint_older(spark, sf_dir)
+    return evaluate(model, {"projects": sprint_old()["Aantal Projecten (variant 3)"]})
+
+
 @query(
     "same_period_last_year",
     """
@@ -706,14 +750,14 @@ def cost_by_load_day(spark, sf_dir):
 @query(
     "resource_groups_ranked",
     """
-    WITH x AS (SELECT resourceGroupName, round(sum(costInBillingCurrency), 4) AS cost FROM "bram_view_exported" GROUP BY 1)
+    WITH x AS (SELECT resourceGroupName, round(sum(costInBillingCurrency), 4) AS cost FROM "cost_view_exported" GROUP BY 1)
     SELECT *, dense_rank() OVER (ORDER BY cost DESC) AS rank FROM x
     """,
 )
 def resource_groups_ranked(spark, sf_dir):
     model = shapes.contracts(spark, sf_dir)
-    cost = {"cost": m.sum_("bram_view_exported.costInBillingCurrency")}
-    return nu.rank_dense(rounded(evaluate(model, cost, by=["bram_view_exported.resourceGroupName"])), "cost")
+    cost = {"cost": m.sum_("cost_view_exported.costInBillingCurrency")}
+    return nu.rank_dense(rounded(evaluate(model, cost, by=["cost_view_exported.resourceGroupName"])), "cost")
 
 
 @query("parts_ranked_by_size", "SELECT p_partkey, p_size, dense_rank() OVER (ORDER BY p_size DESC) AS rank FROM part")
@@ -928,7 +972,7 @@ def text_functions(spark, sf_dir):
     SELECT CASE WHEN BusinessUnit IN ('BI', 'Business Intelligence', 'Business Inteligence') THEN 'BI'
                 WHEN BusinessUnit IN ('Applicatieontwikkeling', 'Applicatie-ontwikkeling') THEN 'Applicatieontwikkeling'
                 WHEN BusinessUnit = 'IT' THEN 'IT' END AS unit, count(*) AS rows, round(sum(costInBillingCurrency), 4) AS cost
-    FROM "bram_view_exported" GROUP BY 1
+    FROM "cost_view_exported" GROUP BY 1
     """,
 )
 def labels_standardised(spark, sf_dir):
@@ -936,7 +980,7 @@ def labels_standardised(spark, sf_dir):
         "Applicatieontwikkeling": ["Applicatieontwikkeling", "Applicatie-ontwikkeling"],
         "BI": ["BI", "Business Intelligence", "Business Inteligence"], "IT": ["IT"],
     }
-    costs = shape(spark, sf_dir, "bram_view_exported")
+    costs = shape(spark, sf_dir, "cost_view_exported")
     unit = text.standardise(F.col("BusinessUnit"), mapping).alias("unit")
     return rounded(costs.groupBy(unit).agg(F.count(F.lit(1)).alias("rows"), F.sum("costInBillingCurrency").alias("cost")))
 

@@ -156,7 +156,7 @@ SHAPES: dict[str, tuple[str, str | None, dict[str, str]]] = {
         "Krow__Date__c": "l_shipdate", "Debiteurnummer": "CAST(l_suppkey AS STRING)",
         "Sum of Cost Amount": "l_extendedprice * 0.6",
     }),
-    "bram_view_exported": ("events", None, {
+    "cost_view_exported": ("events", None, {
         "date": "ts", "costInBillingCurrency": "value", "resourceGroupName": "event_type",
         "Debiteurnummer": "CAST(user_id AS STRING)", "BusinessUnit": _UNIT,
         "SubscriptionId": "'sub-' || event_type", "tags": "props",
@@ -167,6 +167,7 @@ SHAPES: dict[str, tuple[str, str | None, dict[str, str]]] = {
         "status.name": _ROLE_STATUS, "project.key": "'PRJ-' || role", "sprint.name": "'Sprint ' || CAST(conv_id AS STRING)",
         "SprintNaam": "CAST(conv_id AS STRING)", "assignee.displayName": "role",
     }),
+    "DimProjectenOlder": ("conversations", None, {"Project": "role"}),
     "FeitSprintCapaciteit": ("conversations", None, {
         "SprintNaam": "CAST(conv_id AS STRING)", "TotaalUren": "CAST(8 * (turn + 1) AS DOUBLE)", "MedewerkerKey": "turn",
     }),
@@ -309,6 +310,10 @@ def sprint(spark: SparkSession, sf_dir: str) -> Model:
     return _model(spark, sf_dir, models.SPRINT, {"DimProjecten": "DimProjectenSprint"})
 
 
+def sprint_older(spark: SparkSession, sf_dir: str) -> Model:
+    return _model(spark, sf_dir, models.SPRINT_OLD, {"DimProjecten": "DimProjectenOlder"})
+
+
 def operational_old(spark: SparkSession, sf_dir: str) -> Model:
     return _model(spark, sf_dir, models.OPERATIONAL_OLD)
 

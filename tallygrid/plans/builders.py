@@ -99,7 +99,8 @@ def build_fact_satisfaction(
     found = lookup_keys(found, teams, {"Team__c": "Id"}, "TeamKey")
     found = lookup_keys(found, customers, {"Krow__Account__c": "KlantID"}, "KlantKey")
     found = with_date(found, "LastModifiedDate", days, ["DatumKey"])
-    numbered = row_number_by(found, ["Id"], ["LastModifiedDate"])
+    order = ["LastModifiedDate", "Krow__Project_Number__c", "CSAT_Score__c"]  # a total order: reruns agree
+    numbered = row_number_by(found, ["Id"], order)
     return select_columns(rename(numbered, SATISFACTION), SATISFACTION_COLUMNS)
 
 

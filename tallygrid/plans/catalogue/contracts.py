@@ -14,7 +14,7 @@ from tallygrid.plans.metric import Metric
 from tallygrid.plans.model import Model
 from tallygrid.plans.period import Period
 
-COST = "bram_view_exported"
+COST = "cost_view_exported"
 COST_DAY = f"{COST}.date"
 HOURS = "s4_inf billable_uren"
 BILLED = "s4_inf gefactureerde_uren"

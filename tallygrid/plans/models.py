@@ -85,8 +85,8 @@ s4_inf billable_uren.Datum > dim_datum.Datum
 s4_inf billable_uren.Debiteurnummer > KlantDim.Debiteurnummer
 s4_inf gefactureerde_uren.Datum > dim_datum.Datum
 s4_inf gefactureerde_uren.Debiteurnummer > KlantDim.Debiteurnummer
-bram_view_exported.Debiteurnummer > KlantDim.Debiteurnummer
-bram_view_exported.date > dim_datum.Datum
+cost_view_exported.Debiteurnummer > KlantDim.Debiteurnummer
+cost_view_exported.date > dim_datum.Datum
 """
 SPRINT_LINKS = """
 FeitSprintCapaciteit.MedewerkerKey > DimMedewerkers.MedewerkerKey
@@ -151,9 +151,12 @@ class Definition:
     def with_loaders(self, loaders: dict[str, Callable[[], DataFrame]]) -> Model:
         return Model(loaders, self.relationships, self.date_tables, self.large)
 
-    def on_catalog(self, spark: SparkSession, schema: str) -> Model:
-        """Bind to the tables of a catalog schema."""
-        return self.with_loaders({t: lambda t=t: spark.table(f"`{schema}`.`{t}`") for t in self.tables()})
+    def on_catalog(self, spark: SparkSession, schema: str, names: dict[str, str] | None = None) -> Model:
+        """Bind to the tables of a catalog schema; ``names`` gives those stored under another name."""
+        stored = names or {}
+        return self.with_loaders(
+            {t: lambda t=t: spark.table(f"`{schema}`.`{stored.get(t, t)}`") for t in self.tables()}
+        )
 
 
 _DATES = frozenset({"DimDatum", "DimDatumFilter"})
