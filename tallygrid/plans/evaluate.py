@@ -194,7 +194,7 @@ class _Frame:
         for p in self.filters + [p for b in self.members for p in b.where]:
             if self.needs_lookup(p):
                 keys |= {r for r in p.refs if split_ref(r)[0] == self.fact}
-        df = self._partials(df, sorted(keys), own_by_member, joins)
+        df = self._values(df, sorted(keys), own_by_member)
         df = self._join(df, joins, refs)
 
         outer = [p for p in self.filters if self.needs_lookup(p)]
@@ -242,47 +242,64 @@ class _Frame:
                     ordered.append(step)
         return ordered
 
-    def _partials(self, df, keys, own_by_member, joins) -> DataFrame:
-        """Per-row values, or subtotals per key when a large dimension follows.
+    @property
+    def foreign(self) -> bool:
+        """Does a value come from a dimension instead of the fact?"""
+        return any(b.column and split_ref(b.column)[0] != self.fact for b in self.members)
 
-        Subtotals pay when one key leads to that dimension: the rows are then
-        shuffled by it once, already added up, and the lookup that follows needs
-        no shuffle of its own; a hot key arrives as one row per task. With more
-        keys there is little to add up, and the lookup works on plain rows.
-        """
-        large = {split_ref(j.target)[0] for j in joins} & self.model.large
-        foreign = any(b.column and split_ref(b.column)[0] != self.fact for b in self.members)
+    def _values(self, df: DataFrame, keys: list[str], own_by_member: dict[Base, list[Column]]) -> DataFrame:
+        """One value column per metric (two for an average), empty where the row does not count."""
         values: list[Column] = []
-        if self.head.each and self.head.each not in keys:
-            keys = keys + [self.head.each]
-        if self.head.kind == "distinct":
-            keys = keys + ([self.head.column] if self.head.column not in keys and not foreign else [])
-        subtotal = bool(large) and not foreign and len(keys) == 1
+        extra = [self.head.each] if self.head.each else []
+        if self.head.kind == "distinct" and not self.foreign:
+            extra.append(self.head.column)
+        keys = list(dict.fromkeys([*keys, *extra]))
         for i, b in enumerate(self.members):
             test = _all(own_by_member[b])
-            c = _q(b.column) if b.column and split_ref(b.column)[0] == self.fact else F.lit(1)
+            own = b.column is not None and split_ref(b.column)[0] == self.fact
             if b.kind == "distinct":
-                flag = _when(test, F.lit(1))
-                values.append((F.max(flag) if subtotal else flag).alias(f"p{i}"))
-                continue
-            if b.kind in ("count", "rows"):
-                one = F.lit(1) if b.kind == "rows" or c is None else F.when(c.isNotNull(), F.lit(1))
-                one = _when(test, one.cast("long"))
-                values.append((F.sum(one) if subtotal else one).alias(f"p{i}"))
-                continue
-            value = _when(test, c)
-            fold = {"sum": F.sum, "avg": F.sum, "max": F.max, "min": F.min, "sum_of_max": F.max}[b.kind]
-            values.append((fold(value) if subtotal else value).alias(f"p{i}"))
+                values.append(_when(test, F.lit(1)).alias(f"p{i}"))
+            elif b.kind in ("count", "rows"):
+                one = F.when(_q(b.column).isNotNull(), F.lit(1)) if own and b.kind == "count" else F.lit(1)
+                values.append(_when(test, one.cast("long")).alias(f"p{i}"))
+            else:
+                value = _when(test, _q(b.column) if own else F.lit(1))
+                values.append(value.alias(f"p{i}"))
+                if b.kind == "avg":
+                    values.append(F.when(value.isNotNull(), F.lit(1).cast("long")).alias(f"n{i}"))
+        return df.select(*[_q(k) for k in keys], *values)
+
+    def _subtotal(self, df: DataFrame, key: str) -> DataFrame:
+        folds = {"max": F.max, "sum_of_max": F.max, "distinct": F.max, "min": F.min}
+        parts = []
+        for i, b in enumerate(self.members):
+            parts.append(folds.get(b.kind, F.sum)(f"p{i}").alias(f"p{i}"))
             if b.kind == "avg":
-                one = F.when(value.isNotNull(), F.lit(1).cast("long"))
-                values.append((F.sum(one) if subtotal else one).alias(f"n{i}"))
-        columns = [_q(k) for k in keys]
-        if subtotal:
-            return df.groupBy(*columns).agg(*values)
-        return df.select(*columns, *values)
+                parts.append(F.sum(f"n{i}").alias(f"n{i}"))
+        return df.groupBy(_q(key)).agg(*parts)
+
+    def _used_after_joins(self) -> set[str]:
+        used = set(self.by)
+        for p in self.filters + [p for b in self.members for p in b.where]:
+            if self.needs_lookup(p):
+                used.update(p.refs)
+        for b in self.members:
+            used.update(r for r in (b.times, b.each) if r)
+            if b.column and (b.kind == "distinct" or split_ref(b.column)[0] != self.fact):
+                used.add(b.column)
+        return used
 
     def _join(self, df: DataFrame, joins: list[Relationship], refs: set[str]) -> DataFrame:
-        for step in joins:
+        """Look the dimensions up one after the other.
+
+        Rows are added up per key before a lookup, if that key is all that is
+        still needed of them: they are then shuffled by it once, already added
+        up, the lookup needs no shuffle of its own, and a hot key arrives as one
+        row per task. With more columns still needed there is little to add up,
+        and the lookup works on plain rows.
+        """
+        used = self._used_after_joins()
+        for at, step in enumerate(joins):
             target, key = split_ref(step.target)
             wanted = {split_ref(r)[1] for r in refs if split_ref(r)[0] == target}
             wanted |= {split_ref(j.source)[1] for j in joins if split_ref(j.source)[0] == target}
@@ -290,10 +307,15 @@ class _Frame:
                 F.col(f"`{key}`").alias("_key"),
                 *[F.col(f"`{c}`").alias(f"{target}.{c}") for c in sorted(wanted)],
             )
-            source = _q(step.source)
-            if target in self.model.date_tables and step.target.endswith(".Datum"):
-                source = self._shifted(step.source, self.head.shift)
-            df = df.join(dim, source == F.col("_key"), "left").drop("_key")
+            source = step.source
+            later = used | {j.source for j in joins[at + 1 :]}
+            needed = {r for r in later | {source} if r in df.columns}
+            if target in self.model.date_tables and key == "Datum":
+                df = df.withColumn("_day", self._shifted(source, self.head.shift))
+                needed, source = (needed if source in later else needed - {source}) | {"_day"}, "_day"
+            if needed == {source} and not self.foreign:
+                df = self._subtotal(df, source)
+            df = df.join(dim, _q(source) == F.col("_key"), "left").drop("_key", "_day")
         return df
 
     def _final(self, b: Base, i: int, test: Column | None) -> Column:

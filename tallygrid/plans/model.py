@@ -35,16 +35,11 @@ class Relationship:
 
 @dataclass
 class Model:
-    """Tables (loaded on demand), relationships, and which dimensions may be large.
-
-    Metrics that look up a large dimension are first added up per key of the
-    fact, so a hot key reaches the join as one row per group.
-    """
+    """Tables (loaded on demand), the relationships between them, and which are date tables."""
 
     loaders: dict[str, Callable[[], DataFrame]]
     relationships: tuple[Relationship, ...]
     date_tables: frozenset[str] = frozenset({"DimDatum"})
-    large: frozenset[str] = frozenset()
     _cache: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     def table(self, name: str) -> DataFrame:
@@ -54,7 +49,7 @@ class Model:
 
     def replacing(self, loaders: dict[str, Callable[[], DataFrame]]) -> "Model":
         """The same model with some tables replaced, such as restricted ones."""
-        return Model({**self.loaders, **loaders}, self.relationships, self.date_tables, self.large)
+        return Model({**self.loaders, **loaders}, self.relationships, self.date_tables)
 
     def path(
         self, start: str, goal: str, via: Iterable[tuple[str, str]] = (), without: Iterable[str] = ()

@@ -142,14 +142,13 @@ class Definition:
 
     relationships: tuple[Relationship, ...]
     date_tables: frozenset[str]
-    large: frozenset[str] = frozenset()
 
     def tables(self) -> list[str]:
         refs = [r for link in self.relationships for r in link.pair]
         return sorted({split_ref(r)[0] for r in refs})
 
     def with_loaders(self, loaders: dict[str, Callable[[], DataFrame]]) -> Model:
-        return Model(loaders, self.relationships, self.date_tables, self.large)
+        return Model(loaders, self.relationships, self.date_tables)
 
     def on_catalog(self, spark: SparkSession, schema: str, names: dict[str, str] | None = None) -> Model:
         """Bind to the tables of a catalog schema; ``names`` gives those stored under another name."""
@@ -160,13 +159,8 @@ class Definition:
 
 
 _DATES = frozenset({"DimDatum", "DimDatumFilter"})
-OPERATIONAL = Definition(
-    parse_links(OPERATIONAL_LINKS), _DATES, frozenset({"DimProjecten", "DimKlanten", "DimTaakregels"})
-)
-CONTRACTS = Definition(parse_links(CONTRACT_LINKS), frozenset({"dim_datum"}), frozenset({"KlantDim"}))
+OPERATIONAL = Definition(parse_links(OPERATIONAL_LINKS), _DATES)
+CONTRACTS = Definition(parse_links(CONTRACT_LINKS), frozenset({"dim_datum"}))
 SPRINT = Definition(parse_links(SPRINT_LINKS), frozenset())
 SPRINT_OLD = Definition(parse_links(SPRINT_OLD_LINKS), _DATES)
-OPERATIONAL_OLD = Definition(
-    parse_links(OPERATIONAL_OLD_LINKS), _DATES,
-    frozenset({"Klient Project", "Klient Task", "Project Assignment", "Invoice"}),
-)
+OPERATIONAL_OLD = Definition(parse_links(OPERATIONAL_OLD_LINKS), _DATES)
