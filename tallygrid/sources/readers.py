@@ -7,10 +7,10 @@ import datetime as dt
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallygrid.functions.dates import to_day
-from tallygrid.functions.text import path_part
+from tallygrid.operators.columns import quoted
 from tallygrid.operators.sets import union_loose
 
 # --- fixed values: layout of the cost export <root>/<id>/<name>/<first>-<last>/<file> ---
@@ -19,10 +19,7 @@ CSV_OPTIONS = {
     # files of one folder that disagree on their header must fail, not shift columns
     "enforceSchema": "false",
 }
-EXPORT_ID = r"/([^/]+)/[^/]+/\d{8}-\d{8}/"
-EXPORT_NAME = r"/([^/]+)/\d{8}-\d{8}/"
-MONTH_FOLDER = r"/(\d{8}-\d{8})/"
-FILE_NAME = r"([^/]+)$"
+MONTH_FOLDER = r"^\d{8}-\d{8}$"
 # ----------------------------------------------------------------------------------------
 
 
@@ -48,13 +45,17 @@ def with_lineage(df: DataFrame) -> DataFrame:
     Apply it straight to a file read, before any union or join.
     """
     path = F.col("_metadata.file_path")
-    return df.select(
-        "*",
-        path.alias("SourcePath"),
-        path_part(path, EXPORT_ID).alias("ExportId"),
-        path_part(path, EXPORT_NAME).alias("ExportName"),
-        path_part(path, MONTH_FOLDER).alias("MonthFolder"),
-        path_part(path, FILE_NAME).alias("FileName"),
+    placed = df.select("*", path.alias("SourcePath"), F.split(path, "/").alias("_parts"))
+
+    def part(place: int) -> Column:
+        return F.try_element_at("_parts", F.lit(place))
+
+    in_month = part(-2).rlike(MONTH_FOLDER)
+    levels = {"ExportId": -4, "ExportName": -3, "MonthFolder": -2}
+    return placed.select(
+        *[quoted(c) for c in df.columns], "SourcePath",
+        *[F.when(in_month, part(place)).otherwise(F.lit("")).alias(name) for name, place in levels.items()],
+        part(-1).alias("FileName"),
     )
 
 
