@@ -32,11 +32,6 @@ def _margin_if_both(revenue, cost):
     return F.when(revenue.isNotNull() & cost.isNotNull(), blank.safe_div(revenue - cost, revenue, 0))
 
 
-def whole_table(metric: Metric) -> Metric:
-    """Drop every filter and grouping on the cost table and its dimensions."""
-    return m.ignoring(metric, COST, "KlantDim", DAYS)
-
-
 def total_cost() -> Metric:
     unbilled = m.sum_(f"{UNBILLED}.Sum of Cost Amount")
     return m.plus(m.plus(m.sum_(f"{COST}.costInBillingCurrency"), unbilled), m.sum_(f"{HOURS}.Kosten"))
@@ -53,21 +48,17 @@ def until(metric: Metric, as_of: dt.date) -> Metric:
 
 def cloud(p: Period) -> dict[str, Metric]:
     cost = m.sum_(f"{COST}.costInBillingCurrency")
-    day = dt.timedelta(days=1)
+    # these replace every filter on the cost table and its dimensions
     whole = (COST, "KlantDim", DAYS)
-
-    def on(n: int) -> Metric:
-        return m.where(whole_table(cost), m.between(COST_DAY, p.as_of - n * day, p.as_of - n * day))
-
-    start = t.week_start(p.as_of)
-    this_week = m.where(m.ignoring(cost, *whole), m.between(COST_DAY, start, p.as_of))
-    last_week = m.where(m.ignoring(cost, *whole), m.between(COST_DAY, start - 7 * day, start - day))
+    yesterday, before = (t.on_day(cost, p.as_of - dt.timedelta(days=n), COST_DAY, *whole) for n in (1, 2))
+    this_week = t.week_to_date(cost, p.as_of, COST_DAY, *whole)
+    last_week = t.last_week(cost, p.as_of, COST_DAY, *whole)
     return {
         "AzureKosten": cost,
         "azure kosten": cost,
-        "AzureKostenGisteren": on(1),
-        "AzureKostenEergisteren": on(2),
-        "AzureKostenVerschil": m.minus(on(1), on(2)),
+        "AzureKostenGisteren": yesterday,
+        "AzureKostenEergisteren": before,
+        "AzureKostenVerschil": m.minus(yesterday, before),
         "AzureKostenDezeWeek_RG": this_week,
         "Kosten_DezeWeek_RG": this_week,
         "AzureKostenVorigeWeek_RG": last_week,

@@ -109,17 +109,22 @@ def week_start(as_of: dt.date) -> dt.date:
     return as_of - dt.timedelta(days=as_of.isoweekday())
 
 
-def week_to_date(metric: m.Metric, as_of: dt.date, ref: str, ignore: str) -> m.Metric:
-    return m.where(m.ignoring(metric, ignore), m.between(ref, week_start(as_of), as_of))
+def in_days(metric: m.Metric, start: dt.date, end: dt.date, ref: str, *ignore: str) -> m.Metric:
+    """Days of a fact's own date column, dropping other filters on the named tables."""
+    return m.where(m.ignoring(metric, *ignore), m.between(ref, start, end))
 
 
-def last_week(metric: m.Metric, as_of: dt.date, ref: str, ignore: str) -> m.Metric:
+def week_to_date(metric: m.Metric, as_of: dt.date, ref: str, *ignore: str) -> m.Metric:
+    return in_days(metric, week_start(as_of), as_of, ref, *ignore)
+
+
+def last_week(metric: m.Metric, as_of: dt.date, ref: str, *ignore: str) -> m.Metric:
     start = week_start(as_of) - dt.timedelta(days=7)
-    return m.where(m.ignoring(metric, ignore), m.between(ref, start, start + dt.timedelta(days=6)))
+    return in_days(metric, start, start + dt.timedelta(days=6), ref, *ignore)
 
 
-def on_day(metric: m.Metric, day: dt.date, ref: str, ignore: str) -> m.Metric:
-    return m.where(m.ignoring(metric, ignore), m.between(ref, day, day))
+def on_day(metric: m.Metric, day: dt.date, ref: str, *ignore: str) -> m.Metric:
+    return in_days(metric, day, day, ref, *ignore)
 
 
 def due_to_date(metric: m.Metric, as_of: dt.date, ref: str) -> m.Metric:
