@@ -407,7 +407,7 @@ def task_dimension(spark, sf_dir):
                       CASE WHEN o_orderstatus <> 'P' THEN floor(o_totalprice / 50000) END AS "Score", o_orderdate + INTERVAL (o_orderkey) SECOND AS "Scoredatum",
                       o_orderstatus AS "ProjectStatus", o_orderdate AS "CompletionDate", CASE WHEN o_totalprice < 50000 THEN 1 ELSE 0 END AS del,
                       o_custkey, substring(o_orderpriority, 3) AS practice FROM orders)
-    SELECT row_number() OVER (PARTITION BY "Id" ORDER BY "Scoredatum") AS "RowNum", "Id", "ProjectNaam", "ProjectNummer", "Score", "Scoredatum", "ProjectStatus",
+    SELECT row_number() OVER (PARTITION BY "Id" ORDER BY "Scoredatum", "ProjectNummer", "Score") AS "RowNum", "Id", "ProjectNaam", "ProjectNummer", "Score", "Scoredatum", "ProjectStatus",
            "CompletionDate", o.o_orderkey AS "ProjectKey", r.r_regionkey AS "PracticeKey", n.n_nationkey AS "TeamKey", c.c_custkey AS "KlantKey",
            year("Scoredatum") * 10000 + month("Scoredatum") * 100 + day("Scoredatum") AS "DatumKey"
     FROM p LEFT JOIN orders o ON o.o_orderkey = p.o_custkey LEFT JOIN region r ON r.r_name = CASE practice WHEN 'URGENT' THEN 'ASIA' WHEN 'HIGH' THEN 'AFRICA' END
