@@ -189,13 +189,7 @@ class _Frame:
         if all(own_by_member.values()):
             df = df.filter(_any([_all(c) for c in own_by_member.values()]))
 
-        keys = {r for r in self.by if split_ref(r)[0] == self.fact}
-        keys |= {j.source for j in joins if split_ref(j.source)[0] == self.fact}
-        for p in self.filters + [p for b in self.members for p in b.where]:
-            if self.needs_lookup(p):
-                keys |= {r for r in p.refs if split_ref(r)[0] == self.fact}
-        df = self._values(df, sorted(keys), own_by_member)
-        df = self._join(df, joins, refs)
+        df, values = self._join(df, joins, refs, self._values(own_by_member))
 
         outer = [p for p in self.filters if self.needs_lookup(p)]
         if outer:
@@ -208,9 +202,9 @@ class _Frame:
             df = df.filter(_any([_all(c) for c in looked_up.values()]))
 
         if self.head.each:
-            return self._sum_of_max(df, names, sets, looked_up)
+            return self._sum_of_max(df, names, sets, looked_up, values)
         aggregates = [
-            self._final(b, i, _all(looked_up[b])).alias(names[b]) for i, b in enumerate(self.members)
+            self._final(b, i, _all(looked_up[b]), values).alias(names[b]) for i, b in enumerate(self.members)
         ]
         if sets is None:
             return df.groupBy(*[_q(r) for r in self.by]).agg(*aggregates)
@@ -218,13 +212,13 @@ class _Frame:
         grouped = df.groupingSets(own_sets, *[_q(r) for r in self.by])
         return grouped.agg(F.bit_count(F.grouping_id()).alias(LEVEL), *aggregates)
 
-    def _sum_of_max(self, df, names, sets, looked_up) -> DataFrame:
+    def _sum_of_max(self, df, names, sets, looked_up, values) -> DataFrame:
         """Highest value per inner member first, then their sum per group."""
         if sets is not None:
             raise ValueError("totals are not defined for a sum of highest values")
         keys, inner = [_q(r) for r in self.by], [_q(r) for r in dict.fromkeys([*self.by, self.head.each])]
         highest = df.groupBy(*inner).agg(
-            *[F.max(_when(_all(looked_up[b]), F.col(f"p{i}"))).alias(names[b]) for i, b in enumerate(self.members)]
+            *[F.max(_when(_all(looked_up[b]), values[f"p{i}"])).alias(names[b]) for i, b in enumerate(self.members)]
         )
         return highest.groupBy(*keys).agg(*[F.sum(names[b]).alias(names[b]) for b in self.members])
 
@@ -247,36 +241,34 @@ class _Frame:
         """Does a value come from a dimension instead of the fact?"""
         return any(b.column and split_ref(b.column)[0] != self.fact for b in self.members)
 
-    def _values(self, df: DataFrame, keys: list[str], own_by_member: dict[Base, list[Column]]) -> DataFrame:
-        """One value column per metric (two for an average), empty where the row does not count."""
-        values: list[Column] = []
-        extra = [self.head.each] if self.head.each else []
-        if self.head.kind == "distinct" and not self.foreign:
-            extra.append(self.head.column)
-        keys = list(dict.fromkeys([*keys, *extra]))
+    def _values(self, own_by_member: dict[Base, list[Column]]) -> dict[str, Column]:
+        """One value per metric (two for an average), empty where the row does not count.
+
+        They are expressions over fact columns: plain rows carry only those
+        columns through the lookups, however many metrics are computed from them.
+        """
+        values: dict[str, Column] = {}
         for i, b in enumerate(self.members):
             test = _all(own_by_member[b])
             own = b.column is not None and split_ref(b.column)[0] == self.fact
             if b.kind == "distinct":
-                values.append(_when(test, F.lit(1)).alias(f"p{i}"))
+                values[f"p{i}"] = _when(test, F.lit(1))
             elif b.kind in ("count", "rows"):
                 one = F.when(_q(b.column).isNotNull(), F.lit(1)) if own and b.kind == "count" else F.lit(1)
-                values.append(_when(test, one.cast("long")).alias(f"p{i}"))
+                values[f"p{i}"] = _when(test, one.cast("long"))
             else:
-                value = _when(test, _q(b.column) if own else F.lit(1))
-                values.append(value.alias(f"p{i}"))
+                values[f"p{i}"] = _when(test, _q(b.column) if own else F.lit(1))
                 if b.kind == "avg":
-                    values.append(F.when(value.isNotNull(), F.lit(1).cast("long")).alias(f"n{i}"))
-        return df.select(*[_q(k) for k in keys], *values)
+                    values[f"n{i}"] = F.when(values[f"p{i}"].isNotNull(), F.lit(1).cast("long"))
+        return values
 
-    def _subtotal(self, df: DataFrame, key: str) -> DataFrame:
+    def _subtotal(self, df: DataFrame, key: str, values: dict[str, Column]) -> tuple[DataFrame, dict[str, Column]]:
         folds = {"max": F.max, "sum_of_max": F.max, "distinct": F.max, "min": F.min}
-        parts = []
-        for i, b in enumerate(self.members):
-            parts.append(folds.get(b.kind, F.sum)(f"p{i}").alias(f"p{i}"))
-            if b.kind == "avg":
-                parts.append(F.sum(f"n{i}").alias(f"n{i}"))
-        return df.groupBy(_q(key)).agg(*parts)
+        parts = [
+            (F.sum if name[0] == "n" else folds.get(self.members[int(name[1:])].kind, F.sum))(value).alias(name)
+            for name, value in values.items()
+        ]
+        return df.groupBy(_q(key)).agg(*parts), {name: F.col(name) for name in values}
 
     def _used_after_joins(self) -> set[str]:
         used = set(self.by)
@@ -289,7 +281,9 @@ class _Frame:
                 used.add(b.column)
         return used
 
-    def _join(self, df: DataFrame, joins: list[Relationship], refs: set[str]) -> DataFrame:
+    def _join(
+        self, df: DataFrame, joins: list[Relationship], refs: set[str], values: dict[str, Column]
+    ) -> tuple[DataFrame, dict[str, Column]]:
         """Look the dimensions up one after the other.
 
         Rows are added up per key before a lookup, if that key is all that is
@@ -314,12 +308,12 @@ class _Frame:
                 df = df.withColumn("_day", self._shifted(source, self.head.shift))
                 needed, source = (needed if source in later else needed - {source}) | {"_day"}, "_day"
             if needed == {source} and not self.foreign:
-                df = self._subtotal(df, source)
+                df, values = self._subtotal(df, source, values)
             df = df.join(dim, _q(source) == F.col("_key"), "left").drop("_key", "_day")
-        return df
+        return df, values
 
-    def _final(self, b: Base, i: int, test: Column | None) -> Column:
-        p = F.col(f"p{i}")
+    def _final(self, b: Base, i: int, test: Column | None, values: dict[str, Column]) -> Column:
+        p = values[f"p{i}"]
         if b.column and split_ref(b.column)[0] != self.fact and b.kind != "distinct":
             # the value itself lives on a dimension; p marks the rows that count
             p = F.when(p.isNotNull(), _q(b.column))
@@ -339,7 +333,7 @@ class _Frame:
                 value = F.when(value.isNotNull(), F.lit(1).cast("long"))
             return F.nullif(F.sum(value), F.lit(0).cast("long"))
         if b.kind == "avg":
-            return F.try_divide(F.sum(value), F.sum(_when(test, F.col(f"n{i}"))))
+            return F.try_divide(F.sum(value), F.sum(_when(test, values[f"n{i}"])))
         return {"sum": F.sum, "max": F.max, "min": F.min}[b.kind](value)
 
 
