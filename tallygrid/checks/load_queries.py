@@ -230,7 +230,7 @@ def rows_counted(spark, sf_dir):
     counted, report = qu.load_report(read(spark, sf_dir, "orders"))
     writers.write_table(counted, target)
     stored = readers.read_table(spark, target)
-    return stored.agg(F.lit(report.get["rows"]).alias("rows"), F.count(F.lit(1)).alias("stored"))
+    return stored.agg(F.lit(report.get["rows"]).cast("long").alias("rows"), F.count(F.lit(1)).alias("stored"))
 
 
 @query(

@@ -694,7 +694,7 @@ _metrics(
         "Totaal Aantal storypoints": "p", "Totaal Aantal storypoints (variant 2)": "p", "Totaal Aantal storypoints KPI": "coalesce(p, 0)",
         "Procent Afgerond": "coalesce(d, 0) / p", "Procent Afgerond (variant 2)": "d / p", "Procent On Hold": "coalesce(w, 0) / p",
         "Procent On Hold (variant 2)": "w / p", "StoryPoints To Do": "t",
-    })}, 1 AS "Aantal_Projecten_variant_2" FROM s
+    })}, CAST(1 AS BIGINT) AS "Aantal_Projecten_variant_2" FROM s
     """,
     shapes.sprint, catalogue.sprint,
     [

@@ -677,7 +677,7 @@ def cumulative_by_day(spark, sf_dir):
     WITH b AS (SELECT PracticeKey AS p, year(Factuurdatum) AS j, month(Factuurdatum) AS m, sum(Subtotaal) AS v FROM "FeitFacturen" GROUP BY ALL),
     g AS (SELECT PracticeKey AS p, Jaar AS j, (MonthDateKey // 100) % 100 AS m, sum(FTE_x_MonthGoal) AS v FROM "FeitBudgetten" GROUP BY ALL),
     k AS (SELECT DISTINCT p, j FROM b UNION SELECT DISTINCT p, j FROM g),
-    x AS (SELECT k.p, k.j, CAST(r.m AS INTEGER) AS m FROM k, range(1, 13) r(m))
+    x AS (SELECT k.p, k.j, CAST(r.m AS BIGINT) AS m FROM k, range(1, 13) r(m))
     SELECT d.PracticeNaam, x.j AS "Jaar", x.m AS "MaandNummer",
            round(sum(b.v) OVER (PARTITION BY x.p, x.j ORDER BY x.m), 4) AS revenue,
            round(sum(g.v) OVER (PARTITION BY x.p, x.j ORDER BY x.m), 4) AS goal
@@ -857,7 +857,7 @@ def backfill_merged(spark, sf_dir):
            dayofweek(d) + 1 AS weekday_sunday, isodow(d) AS weekday_monday,
            (dayofyear(d) + dayofweek(make_date(year(d), 1, 1)) - 1) // 7 + 1 AS week_from_january_first,
            CAST(year(d) AS VARCHAR) || lpad(CAST((dayofyear(d) + dayofweek(make_date(year(d), 1, 1)) - 1) // 7 + 1 AS VARCHAR), 2, '0') AS year_week_text,
-           CAST(DATE '1998-06-15' - d AS INTEGER) AS days_between,
+           CAST(DATE '1998-06-15' - d AS BIGINT) AS days_between,
            ((DATE '1998-06-15' - CAST(dayofweek(DATE '1998-06-15') AS INTEGER)) - (d - CAST(dayofweek(d) AS INTEGER))) // 7 AS weeks_between,
            CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_number, strftime(d, '%d-%m-%y') AS short_date,
            (year(d) * 12 + month(d)) - (1998 * 12 + 6) AS rel_month,
@@ -871,7 +871,7 @@ def date_functions(spark, sf_dir):
     d = F.col("d")
     now = F.lit(AS_OF)
     df = read(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
-    return df.select(
+    return dates.whole_numbers(df.select(
         "o_orderkey", dates.month_start(d).alias("month_start"), dates.end_of_month(d).alias("month_end"),
         dates.end_of_month(d, 12).alias("month_end_next_year"), dates.iso_week(d).alias("iso_week"),
         dates.iso_year(d).alias("iso_year"), dates.weekday_sunday(d).alias("weekday_sunday"),
@@ -881,7 +881,7 @@ def date_functions(spark, sf_dir):
         dates.date_number(d).alias("date_number"), dates.short_date(d).alias("short_date"),
         dates.rel_month(d, AS_OF).alias("rel_month"), dates.fiscal_year(d).alias("fiscal_year"),
         dates.fiscal_month(d).alias("fiscal_month"), dates.iteration(d).alias("iteration"),
-    )
+    ))
 
 
 @query(
@@ -907,7 +907,7 @@ def dates_from_text(spark, sf_dir):
     WITH b AS (SELECT make_date(year(min(o_orderdate)), 1, 1) AS a, make_date(year(max(o_orderdate)), 12, 31) AS z FROM orders),
     x AS (SELECT CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(z AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d FROM b)
     SELECT d AS "Datum", CAST(strftime(d, '%Y%m%d') AS BIGINT) AS "DatumKey", day(d) AS "Dag", dayofweek(d) + 1 AS "Weekdag",
-           CASE WHEN isodow(d) >= 6 THEN 1 ELSE 0 END AS "IsWeekend", weekofyear(d) AS "ISOWeekNummer", month(d) AS "MaandNummer",
+           CASE WHEN isodow(d) >= 6 THEN 1 ELSE 0 END :: BIGINT AS "IsWeekend", weekofyear(d) AS "ISOWeekNummer", month(d) AS "MaandNummer",
            13 - month(d) AS "MaandNummerOmgekeerd", quarter(d) AS "KwartaalNummer", year(d) AS "Jaar", strftime(d, '%m%Y') AS "MMYYYY",
            year(d) * 100 + month(d) AS "JaarMaand", year(d) * 100 + weekofyear(d) AS "JaarWeek",
            date_trunc('month', d) :: DATE AS "EersteDagVanMaand", last_day(d) AS "LaatsteDagVanMaand",
@@ -916,13 +916,13 @@ def dates_from_text(spark, sf_dir):
            make_date(year(d), 12, 31) AS "LaatsteDagVanJaar", make_date(year(d) + 1, 1, 1) AS "EersteDagVanVolgendJaar",
            CAST(date_trunc('month', d) + INTERVAL 1 MONTH AS DATE) AS "EersteDagVanVolgendeMaand",
            (year(d) * 12 + month(d)) - (1998 * 12 + 6) AS "MaandNrRelatief",
-           CASE WHEN month(d) < 6 OR (month(d) = 6 AND day(d) < 15) THEN 1 ELSE 0 END AS "IsYTD",
-           CASE WHEN d > DATE '1998-06-15' THEN 1 ELSE 0 END AS "IsToekomst", CASE WHEN d = DATE '1998-06-15' THEN 1 ELSE 0 END AS "IsVandaag",
-           CASE WHEN year(d) = 1998 THEN 1 ELSE 0 END AS "IsHuidigJaar", CASE WHEN weekofyear(d) = 25 THEN 1 ELSE 0 END AS "IsHuidigeWeek",
-           CASE WHEN weekofyear(d) = 24 THEN 1 ELSE 0 END AS "IsVorigeWeek", CASE WHEN weekofyear(d) < 25 THEN 1 ELSE 0 END AS "IsYTDweek",
+           CASE WHEN month(d) < 6 OR (month(d) = 6 AND day(d) < 15) THEN 1 ELSE 0 END :: BIGINT AS "IsYTD",
+           CASE WHEN d > DATE '1998-06-15' THEN 1 ELSE 0 END :: BIGINT AS "IsToekomst", CASE WHEN d = DATE '1998-06-15' THEN 1 ELSE 0 END :: BIGINT AS "IsVandaag",
+           CASE WHEN year(d) = 1998 THEN 1 ELSE 0 END :: BIGINT AS "IsHuidigJaar", CASE WHEN weekofyear(d) = 25 THEN 1 ELSE 0 END :: BIGINT AS "IsHuidigeWeek",
+           CASE WHEN weekofyear(d) = 24 THEN 1 ELSE 0 END :: BIGINT AS "IsVorigeWeek", CASE WHEN weekofyear(d) < 25 THEN 1 ELSE 0 END :: BIGINT AS "IsYTDweek",
            CASE WHEN month(d) >= 5 THEN year(d) || '-' || (year(d) + 1) ELSE (year(d) - 1) || '-' || year(d) END AS "BoekjaarNaam",
-           CASE WHEN month(d) = 5 OR (month(d) = 6 AND day(d) < 15) THEN 1 ELSE 0 END AS "IsFYTD",
-           CASE WHEN weekofyear(d) IN (25, 26) THEN 1 ELSE 0 END AS "IsHuidigeIteratie"
+           CASE WHEN month(d) = 5 OR (month(d) = 6 AND day(d) < 15) THEN 1 ELSE 0 END :: BIGINT AS "IsFYTD",
+           CASE WHEN weekofyear(d) IN (25, 26) THEN 1 ELSE 0 END :: BIGINT AS "IsHuidigeIteratie"
     FROM x
     """,
 )

@@ -265,13 +265,13 @@ def shape(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         month = F.expr("year(o_orderdate) * 10000 + month(o_orderdate) * 100 + 1")
         return (
             read(spark, sf_dir, "orders")
-            .groupBy(F.expr(_PRACTICE).alias("TeamKey"), month.alias("MonthDateKey"))
+            .groupBy(F.expr(_PRACTICE).alias("TeamKey"), month.cast("long").alias("MonthDateKey"))
             .agg(
                 F.count(F.lit(1)).cast("double").alias("FTE"), (amount * 0.5).alias("FTE_x_MonthGoal"),
                 (amount * 0.01).alias("InternPerDag_FTE"), (amount * 0.4).alias("Intern"),
                 (amount * 0.02).alias("JaardoelPerDag_FTE"),
             )
-            .withColumns({"PracticeKey": F.col("TeamKey"), "Jaar": F.floor(F.col("MonthDateKey") / 10000).cast("int")})
+            .withColumns({"PracticeKey": F.col("TeamKey"), "Jaar": F.floor(F.col("MonthDateKey") / 10000).cast("long")})
         )
     if name == "KlantDim":
         return derive_dim(shape(spark, sf_dir, "contract_opbrengsten"), "Debiteurnummer", ["Contact Name"])

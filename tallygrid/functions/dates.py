@@ -157,10 +157,15 @@ def calendar_for(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def whole_numbers(df: DataFrame) -> DataFrame:
+    """Integer columns as ``bigint``, the type that models declare."""
+    return df.withColumns({c: F.col(f"`{c}`").cast("long") for c, t in df.dtypes if t == "int"})
+
+
 def calendar_levels(df: DataFrame, column: str = "Datum") -> DataFrame:
     """Year / quarter / month / day levels of a generated calendar."""
     d = F.col(column)
-    return df.select(
+    levels = df.select(
         "*",
         F.year(d).alias("Year"),
         F.month(d).alias("MonthNo"),
@@ -169,6 +174,7 @@ def calendar_levels(df: DataFrame, column: str = "Datum") -> DataFrame:
         F.concat(F.lit("Qtr "), F.quarter(d).cast("string")).alias("Quarter"),
         F.dayofmonth(d).alias("Day"),
     )
+    return whole_numbers(levels)
 
 
 def date_table(
@@ -191,7 +197,7 @@ def date_attributes(days: DataFrame, as_of: dt.date | str) -> DataFrame:
     start_week = iteration_start(d)
     span = lambda a: F.concat_ws("-", a.cast("string"), (a + 1).cast("string"))
     fiscal = fiscal_year(d)
-    return days.select(
+    attributes = days.select(
         d,
         date_number(d).alias("DatumKey"),
         day.alias("Dag"),
@@ -252,3 +258,4 @@ def date_attributes(days: DataFrame, as_of: dt.date | str) -> DataFrame:
         span(start_week - 2).alias("VorigeIteratie"),
         flag(this_week.between(start_week, start_week + 1)).alias("IsHuidigeIteratie"),
     )
+    return whole_numbers(attributes)

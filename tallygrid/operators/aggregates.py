@@ -112,6 +112,7 @@ def calendar_drill(df: DataFrame, date: str, level: str, *aggregates: Column, su
     """Aggregate by year[, quarter[, month[, day]]], optionally with subtotals."""
     d = F.col(date)
     parts = {"Year": F.year(d), "Quarter": F.quarter(d), "Month": F.month(d), "Day": F.dayofmonth(d)}
+    parts = {name: part.cast("long") for name, part in parts.items()}
     names = list(parts)[: list(parts).index(level) + 1]
     dated = df.withColumns({n: parts[n] for n in names})
     if not subtotals:

@@ -57,7 +57,7 @@ def sort_by(df: DataFrame, column: str, key: str, reverse: bool = False) -> Data
 
 def reversed_month(month: Column) -> Column:
     """13 - month: sorts month names from December to January."""
-    return F.lit(13) - month
+    return (F.lit(13) - month).cast("long")
 
 
 def share_of_total(df: DataFrame, value: str, name: str = "share") -> DataFrame:

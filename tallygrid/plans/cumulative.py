@@ -24,7 +24,7 @@ def evaluate_ytd(
     """
     monthly = evaluate(model, metrics, [*by, *[f"{date}.{c}" for c in MONTH_KEYS]], where)
     members = [c for c in monthly.columns if c not in [*metrics, *MONTH_KEYS]]
-    months = F.explode(F.sequence(F.lit(1), F.lit(12))).alias("MaandNummer")
+    months = F.explode(F.sequence(F.lit(1), F.lit(12)).cast("array<bigint>")).alias("MaandNummer")
     years = monthly.filter(F.col("Jaar").isNotNull()).select(*[F.col(f"`{c}`") for c in members], "Jaar").distinct()
     grid = years.select("*", months)
     keys = [*members, *MONTH_KEYS]
