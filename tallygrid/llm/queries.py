@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallygrid.llm import language, lexing, near, quality, tokens
+from tallygrid.llm import brown, classifier, language, lexing, near, quality, tokens
 from tallygrid.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,15 @@ def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
+def brown_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score(table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 7) == 2)
+
+
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    return classifier.score(table(spark, sf_dir, "documents"), labels, remainder(F.col("doc_id"), 3) == 1)
+
+
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -39,6 +48,8 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_brown_scores": brown_scores,
+    "op2_quality_scores": quality_scores,
     "op5_secret_scan": secret_scan,
     "op6_simhash_near_duplicates": near_duplicates,
     "op7_quality_outliers": quality_rules,
