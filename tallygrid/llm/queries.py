@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallygrid.llm import brown, classifier, language, lexing, near, quality, tokens
+from tallygrid.llm import brown, classifier, decontaminate, html_text, language, lexing, mixing, near, quality, tokens
 from tallygrid.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,18 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.score(table(spark, sf_dir, "documents"), labels, remainder(F.col("doc_id"), 3) == 1)
 
 
+def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -50,10 +62,13 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_brown_scores": brown_scores,
     "op2_quality_scores": quality_scores,
+    "op3_source_mix": source_mix,
+    "op4_benchmark_leaks": benchmark_leaks,
     "op5_secret_scan": secret_scan,
     "op6_simhash_near_duplicates": near_duplicates,
     "op7_quality_outliers": quality_rules,
     "op8_language_id": language_id,
+    "op9_page_text": page_text,
     "op10_token_counts": token_counts,
 }
 
