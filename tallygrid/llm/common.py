@@ -80,3 +80,24 @@ def map_batches(
 def settle(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later reads survive lost executors and do not repeat the work."""
     return cut_lineage(df)
+
+
+def row_key(*columns: str) -> Column:
+    """A 64-bit key of a row's identity, nulls included."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in columns])
+
+
+def one_row_each(docs: DataFrame, chosen: DataFrame, identity: tuple[str, ...], times: bool = False) -> DataFrame:
+    """The rows of ``docs`` whose ``row_key`` of ``identity`` is in ``chosen`` (row, n: how often the key occurs), each key once.
+
+    With ``times``, each row of ``chosen`` brings a number of that name, and its row comes so often. The other
+    columns of ``chosen`` are added. Texts are shuffled once; only rows that occur more than once are compared.
+    """
+    mark, n = "__row_key", "__row_count"
+    more = [c for c in chosen.columns if c not in ("row", "n", "times")]
+    right = chosen.select(F.col("row").alias(mark), F.col("n").alias(n), *more, *(["times"] if times else []))
+    met = docs.withColumn(mark, row_key(*identity)).repartition(mark).join(right.repartition(mark), mark)
+    out = met.where(F.col(n) == 1).unionByName(met.where(F.col(n) > 1).dropDuplicates([mark]))
+    if times:
+        out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).drop("times")
+    return out.drop(mark, n)

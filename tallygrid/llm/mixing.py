@@ -23,7 +23,7 @@ import random
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallygrid.llm.common import WORD, map_batches, settle, whole_text
+from tallygrid.llm.common import WORD, map_batches, one_row_each, row_key, settle, whole_text
 
 # The weights of sources, by code point, repeating; the most that a source is taken.
 WEIGHTS = (1, 2, 3)
@@ -175,3 +175,18 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -
         "doc_id", F.get_json_object("key", "$.source").alias("source"), "size", "source_size", "target",
         (F.col("size") * (F.col("copies") + F.col("more"))).cast("long").alias("taken"),
     )
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """The mix itself: the rows of ``docs`` as often as the mix takes them, with their number (``copy``), size, source_size and target.
+
+    Documents that are not taken, and those without words, are left out. Rows with equal doc_id, text and
+    source are interchangeable: what the mix takes of them comes as copies of one.
+    """
+    identity = ("doc_id", "text", "source")
+    units = docs.select(row_key(*identity).alias("doc_id"), "text", "source")
+    taken = mix(units, weights, most).where("size > 0").groupBy(F.col("doc_id").alias("row")).agg(
+        F.count("*").alias("n"), F.sum(F.expr("taken div size")).alias("times"),
+        *[F.any_value(c).alias(f"mix_{c}") for c in ("size", "source_size", "target")],
+    )
+    return one_row_each(docs, settle(taken.where("times > 0")), identity, times=True)

@@ -16,17 +16,31 @@ Groups. Exact copies share a fingerprint and are one entry, however many they ar
 a bucket links are found breadth-first: a fingerprint that is reached is not compared
 again, so a dense group of n fingerprints gives at most n - 1 links, never all pairs, and
 no connection is lost. Components come from alternating large-star and small-star steps.
+
+Documents that are similar rather than almost equal (``one_of_each``) get a wide fingerprint
+of ``WIDE`` words over different five-word shingles, whose share of differing bits tells the
+shingles' similarity. Its segments form one ring: who agrees in a segment meets in a bucket,
+the chain of the three following segments must stay within the proportional budgets, and
+what passes has its full distance checked.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallygrid.llm.common import lower_words, map_batches, settle, whole_text
+from tallygrid.llm.common import lower_words, map_batches, one_row_each, row_key, settle, whole_text
 
 BITS, DISTANCE, SHINGLE, SEED = 64, 4, 4, 42
+#: Words of a wide fingerprint, words of its shingles, and the similarity of shingle sets from which documents are copies.
+WIDE, WIDE_SHINGLE, SIMILAR = 24, 5, 0.8
+#: Three segments to a word of a wide fingerprint; a bit is left over.
+SEGMENT = 21
+#: Bits that a pair at the border may differ above the expected number, in standard deviations.
+SLACK = 1.0
 
 
 # ------------------------------------------------------------------ fingerprints
@@ -55,19 +69,14 @@ def fingerprint(found: list[bytes], seed: int = SEED) -> int:
     return int(bits.view(np.int64)[0])
 
 
-def with_fingerprints(
-    docs: DataFrame, carried: list[str], size: int = SHINGLE, distinct: bool = False, seeds: tuple[int, ...] = (SEED,)
-) -> DataFrame:
-    """The columns in ``carried`` and ``fps``, one fingerprint per seed."""
+def with_fingerprints(docs: DataFrame) -> DataFrame:
+    """(doc_id, fp) per row."""
 
     def rows(batches):
         for batch in batches:
-            found = (shingles(t, size, distinct) for t in batch["_text"])
-            yield {**{c: batch[c] for c in carried}, "fps": [[fingerprint(s, seed) for seed in seeds] for s in found]}
+            yield {"doc_id": batch["doc_id"], "fp": [fingerprint(shingles(t)) for t in batch["text"]]}
 
-    source = docs.select(*carried, whole_text().alias("_text"))
-    fields = "".join(f"{c} {source.schema[c].dataType.simpleString()}, " for c in carried)
-    return map_batches(source, f"{fields}fps array<long>", rows)
+    return map_batches(docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")), "doc_id long, fp long", rows)
 
 
 # ------------------------------------------------------------------ links
@@ -112,22 +121,26 @@ def _within(one: np.uint64, many: np.ndarray, start: int, distance: int) -> np.n
     return full
 
 
-def bucket_links(members: np.ndarray, start: int, distance: int = DISTANCE) -> list[tuple[int, int]]:
-    """Links that connect what is linked in one bucket, breadth-first; at most len(members) - 1."""
-    links, rest = [], members
+def spanned(members: np.ndarray, near_to: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
+    """Links (places in ``members``) that connect what ``near_to`` links, breadth-first; at most len(members) - 1."""
+    links, rest = [], np.arange(len(members))
     while len(rest) > 1:
         queue, rest = [rest[0]], rest[1:]
         while queue and len(rest):
             one = queue.pop()
-            hit = _within(one, rest, start, distance)
+            hit = near_to(members[one], members[rest])
             if hit.any():
-                found = rest[hit]
-                links += [(one, x) for x in found]
-                queue += list(found)
+                links += [(one, x) for x in rest[hit]]
+                queue += list(rest[hit])
                 rest = rest[~hit]
     return links
 
 
+def bucket_links(members: np.ndarray, start: int, distance: int = DISTANCE) -> list[tuple[int, int]]:
+    """Links between fingerprints that connect what is linked in one bucket."""
+    return [(members[i], members[j]) for i, j in spanned(members, lambda one, many: _within(one, many, start, distance))]
+
+
 def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """(a, b), a < b as signed integers: links that connect all fingerprints within ``distance``, from distinct ``fp``."""
     ordered = filed(fps, distance).repartition("key").sortWithinPartitions("key")
@@ -221,7 +234,137 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     Texts without words have fingerprint 0 and link like others. Rows with a null id get the
     least id of their component, null if it has none. Repeated rows each give a row.
     """
-    ids = with_fingerprints(docs.select(F.col("doc_id").cast("long"), "text"), ["doc_id"])
-    ids = settle(ids.select("doc_id", F.col("fps")[0].alias("fp")))
+    ids = settle(with_fingerprints(docs))
     found = grouped(ids, distance).withColumnRenamed("fp", "f")
     return ids.join(found, F.col("fp") == F.col("f"), "left").select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+# ------------------------------------------------------------------ similar documents
+
+#: Odd multipliers that draw one more hash per word of a wide fingerprint from a shingle's hash.
+_MULTIPLIERS = np.array([xxhash.xxh64_intdigest(b"word", i) | 1 for i in range(256)], dtype=np.uint64)
+
+
+def wide_fingerprint(found: list[bytes], words: int = WIDE) -> list[int]:
+    """A SimHash of ``words`` 64-bit words as signed integers; zeros without shingles."""
+    if not found:
+        return [0] * words
+    digest = xxhash.xxh64_intdigest
+    hashes = np.fromiter((digest(s, SEED) for s in found), dtype=np.uint64, count=len(found))
+    set_in = np.zeros(words * BITS, dtype=np.int64)
+    for at in range(0, len(hashes), 1020):
+        with np.errstate(over="ignore"):
+            drawn = hashes[at : at + 1020, None] * _MULTIPLIERS[:words]
+            drawn = (drawn ^ (drawn >> np.uint64(32))) * _MULTIPLIERS[-1]
+            drawn ^= drawn >> np.uint64(29)
+        bits = np.unpackbits(drawn.view(np.uint8), axis=1, bitorder="little")
+        # eight counters to an integer; none passes 255
+        sums = np.add.reduceat(bits.view(np.uint64), np.arange(0, len(bits), 255), axis=0)
+        set_in += sums.view(np.uint8).sum(axis=0, dtype=np.int64)
+    return np.packbits(set_in * 2 > len(hashes), bitorder="little").view(np.int64).tolist()
+
+
+def most_apart(similar: float = SIMILAR, words: int = WIDE) -> int:
+    """Differing bits up to which documents count as copies: those expected at that similarity, and SLACK more.
+
+    Sets with Jaccard similarity s and equal sizes have the cosine 2s / (1 + s); a bit differs with the angle's share of a half turn.
+    """
+    share = np.arccos(2 * similar / (1 + similar)) / np.pi
+    bits = words * BITS
+    return int(bits * share + SLACK * np.sqrt(bits * share * (1 - share)))
+
+
+def wide_filed(fps: DataFrame, words: int = WIDE) -> DataFrame:
+    """(key, chain, node): each fingerprint under each of its segments, with the three segments that follow on the ring."""
+    ring = 3 * words
+    mask = F.lit((1 << SEGMENT) - 1).cast("long")
+
+    def segment(k: int) -> Column:
+        at = (F.col("i") + k) % ring
+        word = F.get("w", F.floor(at / 3).cast("int"))
+        third = at % 3
+        shifted = F.when(third == 0, word).when(third == 1, F.shiftrightunsigned(word, SEGMENT)).otherwise(F.shiftrightunsigned(word, 2 * SEGMENT))
+        return shifted.bitwiseAND(mask)
+
+    key = F.col("i").cast("long") * (1 << SEGMENT) + segment(0)
+    chain = segment(1).bitwiseOR(F.shiftleft(segment(2), SEGMENT)).bitwiseOR(F.shiftleft(segment(3), 2 * SEGMENT))
+    placed = fps.select("node", "w", F.explode(F.sequence(F.lit(0), F.lit(ring - 1))).alias("i"))
+    return placed.select(key.alias("key"), chain.alias("chain"), "node")
+
+
+def chained(one: np.uint64, many: np.ndarray, budget: float) -> np.ndarray:
+    """Which chains after an equal segment stay within the proportional budgets of two, three and four segments."""
+    apart = many ^ one
+    good = np.ones(len(many), dtype=bool)
+    for k in (1, 2, 3):
+        part = apart & np.uint64((1 << k * SEGMENT) - 1)
+        good &= np.bitwise_count(part) <= (k + 1) * budget
+    return good
+
+
+def candidates(fps: DataFrame, apart: int, words: int = WIDE) -> DataFrame:
+    """(a, b) nodes whose chains stay within budget, each once; what is connected in a bucket is spanned, not paired."""
+    budget = apart / (words * BITS / SEGMENT)
+    ordered = wide_filed(fps, words).repartition("key").sortWithinPartitions("key")
+
+    def rows(batches):
+        held_key, held = None, []
+
+        def pairs(members):
+            both = np.concatenate(members, axis=1)
+            chain, node = both[0].view(np.uint64), both[1]
+            return [tuple(sorted((int(node[i]), int(node[j])))) for i, j in spanned(chain, lambda one, many: chained(one, many, budget))]
+
+        for batch in batches:
+            key = np.array(batch["key"], dtype=np.int64)
+            rest = np.array([batch["chain"], batch["node"]], dtype=np.int64)
+            cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
+            starts, ends = np.concatenate(([0], cuts)), np.concatenate((cuts, [len(key)]))
+            found = []
+            for i in np.flatnonzero((ends - starts > 1) | (starts == 0) | (ends == len(key))):
+                part = rest[:, starts[i] : ends[i]]
+                if key[starts[i]] == held_key:
+                    held.append(part)
+                    continue
+                if sum(p.shape[1] for p in held) > 1:
+                    found += pairs(held)
+                held_key, held = key[starts[i]], [part]
+            if found:
+                yield {"a": [a for a, _ in found], "b": [b for _, b in found]}
+        if sum(p.shape[1] for p in held) > 1 and (found := pairs(held)):
+            yield {"a": [a for a, _ in found], "b": [b for _, b in found]}
+
+    return map_batches(ordered, "a long, b long", rows).distinct()
+
+
+def similar_links(fps: DataFrame, apart: int, words: int = WIDE) -> DataFrame:
+    """(a, b) nodes whose whole fingerprints differ in at most ``apart`` bits."""
+    side = lambda n, w: fps.select(F.col("node").alias(n), F.col("w").alias(w)).repartition(n)
+    met = settle(candidates(fps, apart, words)).join(side("a", "wa"), "a").join(side("b", "wb"), "b")
+    differ = [F.bit_count(F.col("wa")[i].bitwiseXOR(F.col("wb")[i])) for i in range(words)]
+    return met.where(sum(differ[1:], differ[0]) <= apart).select("a", "b")
+
+
+def one_of_each(docs: DataFrame, similar: float = SIMILAR, words: int = WIDE) -> DataFrame:
+    """The rows of ``docs`` without copies: of each group of linked documents the one with the least doc_id stays.
+
+    Two documents link if their sets of five-word shingles are about ``similar`` or more alike.
+    Texts without words are copies of each other. A null doc_id stays only if its group has no
+    other; of rows with equal doc_id and text one stays. All columns are returned as they are.
+    """
+
+    def rows(batches):
+        for batch in batches:
+            w = [wide_fingerprint(shingles(t, WIDE_SHINGLE, distinct=True), words) for t in batch["text"]]
+            yield {"doc_id": batch["doc_id"], "row": batch["row"], "w": w}
+
+    source = docs.select(F.col("doc_id").cast("long"), row_key("doc_id", "text").alias("row"), whole_text().alias("text"))
+    ids = settle(map_batches(source, "doc_id long, row long, w array<long>", rows).withColumn("node", F.xxhash64("w")))
+    # the least id, nulls last; the row key breaks ties
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    fps = settle(ids.groupBy("node").agg(F.any_value("w").alias("w"), first))
+    roots = components(settle(similar_links(fps.select("node", "w"), most_apart(similar, words), words))).withColumnRenamed("node", "n")
+    rooted = fps.join(roots, F.col("node") == F.col("n"), "left").select("first", F.coalesce("root", "node").alias("root"))
+    stays = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"))
+    counts = ids.groupBy("row").agg(F.count("*").alias("n"))
+    return one_row_each(docs, settle(stays.join(counts, "row")), ("doc_id", "text"))
