@@ -210,7 +210,8 @@ def filtered(docs: DataFrame, lang: str = "lang", source: str = "source") -> Dat
         r = stats.ratios(c, stats.shape(text))
         return failed(c), [r[RATIO_AT[k]] for k in VECTOR]
 
-    seen = F.udf(verdict, "_failed boolean, _x array<double>", useArrow=True)
+    # pure, but declared otherwise: the optimiser would repeat the call for every use of its result
+    seen = F.udf(verdict, "_failed boolean, _x array<double>", useArrow=True).asNondeterministic()
     ready(docs.sparkSession)
     out = docs.withColumns({"_v": seen(whole_text()), "_pair": keys["_pair"]})
     out = _met(out, judged_pairs(vectors), ["_pair"])
