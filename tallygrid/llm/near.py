@@ -305,7 +305,8 @@ def chained(one: np.uint64, many: np.ndarray, budget: float) -> np.ndarray:
 def candidates(fps: DataFrame, apart: int, words: int = WIDE) -> DataFrame:
     """(a, b) nodes whose chains stay within budget, each once; what is connected in a bucket is spanned, not paired."""
     budget = apart / (words * BITS / SEGMENT)
-    ordered = wide_filed(fps, words).repartition("key").sortWithinPartitions("key")
+    # the order inside a bucket decides which links span it
+    ordered = wide_filed(fps, words).repartition("key").sortWithinPartitions("key", "node")
 
     def rows(batches):
         held_key, held = None, []
