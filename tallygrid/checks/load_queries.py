@@ -143,12 +143,12 @@ def cost_view_backfilled(spark, sf_dir):
 
 @query(
     "cost_view_appended",
-    f"SELECT * EXCLUDE (date), strptime(date, '%m/%d/%Y') :: DATE AS date FROM ({_VIEW})",
+    _VIEW,
 )
 def cost_view_appended(spark, sf_dir):
     target = scratch_path(spark, "view")
-    cleaned = _clean(spark, sf_dir).withColumn("date", F.try_to_date("date", "MM/dd/yyyy"))
-    costs.append_view(spark, cleaned.filter("date < DATE '2024-01-15'"), target)
+    cleaned = _clean(spark, sf_dir)
+    costs.append_view(spark, cleaned.filter("try_to_date(date, 'MM/dd/yyyy') < DATE '2024-01-15'"), target)
     for _ in range(2):
         costs.append_view(spark, cleaned, target)
     return readers.read_table(spark, target).select(costs.VIEW_COLUMNS)

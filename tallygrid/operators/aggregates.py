@@ -9,21 +9,20 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tallygrid.operators.columns import quoted
 
 
-MAX_LABEL_MEMBERS = 10_000  # more members than this make no caption
-
-
 def concat_values(df: DataFrame, column: str, by: Sequence[str] = (), separator: str = ", ", name: str = "values") -> DataFrame:
-    """Distinct values of a group as one text, for captions over a few members.
+    """Distinct values of a group as one text: the caption of a group.
 
-    Values are made distinct before they meet, so only members travel. A group
-    with too many members for a caption is refused before anything is gathered.
+    Values are made distinct before they meet, so only members travel. The text
+    is one value and holds all members of its group, as a caption does; use ``members``
+    for groups that grow with the data.
     """
-    members = df.select(*by, column).distinct()
-    largest = members.groupBy(*by).agg(F.count(column).alias("_n")).agg(F.max("_n")).first()[0]
-    if largest is not None and largest > MAX_LABEL_MEMBERS:
-        raise ValueError(f"{column} has {largest} members in one group: too many for a caption")
-    text = F.array_join(F.array_sort(F.collect_set(column)), separator)
-    return members.groupBy(*by).agg(text.alias(name))
+    text = F.array_join(F.array_sort(F.collect_list(column)), separator)
+    return members(df, column, by).groupBy(*by).agg(text.alias(name))
+
+
+def members(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct values of each group as rows."""
+    return df.select(*by, column).distinct()
 
 
 def sum_of_max(df: DataFrame, by: Sequence[str], each: Sequence[str], column: str, name: str) -> DataFrame:

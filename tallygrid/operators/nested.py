@@ -10,7 +10,6 @@ from tallygrid.operators.columns import NAME_LIMIT, quoted, unique_names
 
 TAGS = T.MapType(T.StringType(), T.StringType())
 HIDDEN_PREFIX = "hidden-link:"
-MAX_KEYS = 5000  # tag keys become columns; beyond this the schema itself is unusable
 
 
 def parse_tags(df: DataFrame, column: str, target: str | None = None) -> DataFrame:
@@ -19,27 +18,32 @@ def parse_tags(df: DataFrame, column: str, target: str | None = None) -> DataFra
 
 
 def map_key_set(df: DataFrame, column: str) -> list[str]:
-    """All keys of a map column, found with partial aggregation.
+    """All keys of a map column, each once, found with partial aggregation.
 
-    The keys become columns, so there can only be a table's worth of them; a
-    larger set is refused rather than collected.
+    They come to the driver because they become the columns of a schema. Where keys
+    are open-ended, pass the wanted ones to ``widen_map`` and keep the rest as a map.
     """
     keys = df.select(F.explode(F.map_keys(quoted(column))).alias("k")).distinct()
-    found = keys.limit(MAX_KEYS + 1).collect()
-    if len(found) > MAX_KEYS:
-        raise ValueError(f"{column} holds more than {MAX_KEYS} keys; pass the wanted keys")
-    return sorted(r.k for r in found)
+    return sorted(r.k for r in keys.collect())
 
 
 def usable_keys(keys: Sequence[str]) -> list[str]:
     return [k for k in keys if len(k) <= NAME_LIMIT and not k.startswith(HIDDEN_PREFIX)]
 
 
-def widen_map(df: DataFrame, column: str, keys: Sequence[str] | None = None) -> DataFrame:
-    """One column per key of the map, in a single projection."""
+def widen_map(df: DataFrame, column: str, keys: Sequence[str] | None = None, rest: str | None = None) -> DataFrame:
+    """One column per key of the map, in a single projection.
+
+    ``rest`` names a map column for the entries whose key has no column of its own, so
+    that a table with any number of other keys loses none of them.
+    """
     keys = usable_keys(map_key_set(df, column) if keys is None else keys)
     names = unique_names([*df.columns, *keys])[len(df.columns) :]
-    return df.select("*", *[F.try_element_at(quoted(column), F.lit(k)).alias(n) for k, n in zip(keys, names)])
+    others = []
+    if rest:
+        known = F.array(*map(F.lit, keys)) if keys else F.array().cast("array<string>")
+        others = [F.map_filter(quoted(column), lambda k, _: ~F.array_contains(known, k)).alias(rest)]
+    return df.select("*", *[F.try_element_at(quoted(column), F.lit(k)).alias(n) for k, n in zip(keys, names)], *others)
 
 
 def explode_list(df: DataFrame, column: str, target: str | None = None) -> DataFrame:

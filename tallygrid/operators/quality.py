@@ -38,7 +38,9 @@ def schema_drift(current: DataFrame, previous: DataFrame) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Does a folder-based table hold readable data?"""
+    """Is there a catalog table of that name, or does the folder (a name with a slash) hold readable data?"""
+    if "/" not in path:
+        return spark.catalog.tableExists(path)
     try:
         spark.read.parquet(path).schema
         return True

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallygrid.functions.dates import parse_date, to_day
 from tallygrid.operators.aggregates import dedupe, high_water
 from tallygrid.operators.columns import drop_columns, safe_names, select_columns
-from tallygrid.operators.filters import newer_than
 from tallygrid.operators.nested import parse_tags, widen_map
 from tallygrid.operators.quality import table_exists, track_schema
 from tallygrid.operators.sets import merge_backfill
@@ -73,9 +72,16 @@ def backfill_view(spark: SparkSession, costs: DataFrame, target: str) -> None:
 
 
 def append_view(spark: SparkSession, costs: DataFrame, target: str, column: str = "date") -> bool:
-    """Add the rows newer than what the view holds; a second run adds nothing."""
-    highest = high_water(read_table(spark, target), column) if table_exists(spark, target) else None
-    new = newer_than(cost_view(costs), column, highest)
+    """Add the rows of days after the last one in the view; a second run adds nothing.
+
+    Days are compared as dates, also where the column holds their text. Rows whose day
+    cannot be read come with the first load only.
+    """
+    new, day = cost_view(costs), parse_date(F.col(column))
+    if table_exists(spark, target):
+        highest = high_water(read_table(spark, target).select(day.alias("day")), "day")
+        if highest is not None:
+            new = new.filter(day > F.lit(highest))
     if new.isEmpty():
         return False
     write_table(new, target, "append")

@@ -16,9 +16,11 @@ from tallygrid.session import scratch_path
 def write_table(df: DataFrame, target: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
     """Write to a catalog table, or to a parquet folder when the target is a path.
 
-    ``overwrite`` replaces the schema too; ``append`` may bring new columns to a
-    folder, which readers merge.
+    ``overwrite`` replaces the schema too. ``append`` may bring new columns: readers merge those of
+    a folder, a catalog table is widened first; columns that the rows lack stay empty.
     """
+    if mode == "append" and "/" not in target and table_exists(df.sparkSession, target):
+        df = _widened(df, target)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -28,6 +30,18 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite", partition_b
         writer.option("overwriteSchema", "true").format("parquet").saveAsTable(target)
 
 
+def _widened(df: DataFrame, target: str) -> DataFrame:
+    """Adds the columns of ``df`` that a catalog table lacks to the table, and the table's others to ``df``."""
+    spark = df.sparkSession
+    before = {f.name.lower() for f in spark.table(target).schema}
+    new = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name.lower() not in before]
+    if new:
+        spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({', '.join(new)})")
+    present = {c.lower() for c in df.columns}
+    empty = {f.name: F.lit(None).cast(f.dataType) for f in spark.table(target).schema if f.name.lower() not in present}
+    return df.withColumns(empty) if empty else df
+
+
 def write_if_any(df: DataFrame, target: str, mode: str = "append") -> bool:
     """Write only when there are rows; tells whether it did."""
     if df.isEmpty():
@@ -65,12 +79,12 @@ def replace_partition(df: DataFrame, path: str, column: str, days: Sequence[dt.d
         nothing.coalesce(1).write.mode("overwrite").parquet(f"{path}/{column}={day.isoformat()}")
 
 
-def overwrite_in_place(df: DataFrame, path: str) -> None:
-    """Overwrite a folder that ``df`` itself reads, by way of a staged copy."""
+def overwrite_in_place(df: DataFrame, target: str) -> None:
+    """Overwrite a folder or catalog table that ``df`` itself reads, by way of a staged copy."""
     spark = df.sparkSession
     staged = scratch_path(spark, "staged")
     df.write.parquet(staged)
-    spark.read.parquet(staged).write.mode("overwrite").parquet(path)
+    write_table(spark.read.parquet(staged), target)
 
 
 def copy_table(src: DataFrame, target: str, casts: Mapping[str, str], columns: Sequence[str] | None = None) -> None:

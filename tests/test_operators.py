@@ -98,8 +98,17 @@ def test_tags_widen_and_rebuild(spark):
     wide = ne.widen_map(df, "t")
     assert wide.columns == ["i", "t", "a_b", "c"]
     assert [(r.a_b, r.c) for r in wide.orderBy("i").collect()] == [("1", None), (None, None), (None, None), ("2", None), (None, None), (None, None)]
-    with pytest.raises(ValueError):
-        ne.map_key_set(spark.range(ne.MAX_KEYS + 1).select(F.create_map(F.col("id").cast("string"), F.lit("x")).alias("m")), "m")
+    kept = ne.widen_map(df, "t", ["a b"], rest="others").orderBy("i").collect()
+    assert [(r.a_b, r.others) for r in kept[:4]] == [("1", {"c": None}), (None, None), (None, None), ("2", {"hidden-link: z": "9"})]
+    assert ne.widen_map(df, "t", [], rest="others").where("size(others) = 2").count() == 2
+
+
+def test_any_number_of_tags(spark, folder):
+    many = spark.range(6000).select(F.create_map(F.concat(F.lit("k"), "id"), F.lit("x")).alias("m"))
+    assert len(ne.map_key_set(many, "m")) == 6000
+    wide = ne.widen_map(many.limit(3), "m", [f"k{i}" for i in range(6000)]).drop("m")
+    wide.write.parquet(f"{folder}/wide")
+    assert len(spark.read.parquet(f"{folder}/wide").columns) == 6000
 
 
 def test_missing_lists_and_teams(spark):
@@ -128,9 +137,11 @@ def test_cumulative_restarts_each_year(spark):
     assert [r.ytd for r in rows] == [None, None, None, None, 7.0, 1.0, 1.0, 5.0, 5.0, 5.0]
 
 
-def test_concat_refuses_what_is_no_caption(spark):
-    with pytest.raises(ValueError):
-        ag.concat_values(spark.range(ag.MAX_LABEL_MEMBERS + 1).select(F.col("id").cast("string").alias("n")), "n")
+def test_captions_hold_all_members(spark):
+    names = spark.range(60_000).select((F.col("id") % 20_000).cast("string").alias("n"))
+    text = ag.concat_values(names, "n", separator=",", name="all").first()["all"]
+    assert text.split(",") == sorted(map(str, range(20_000)))
+    assert ag.members(names, "n").count() == 20_000
 
 
 def test_schema_versions(spark, folder):

@@ -84,6 +84,31 @@ def test_view_backfill_and_append(spark, root, folder):
     assert spark.read.parquet(view).columns == costs.VIEW_COLUMNS
 
 
+@pytest.mark.parametrize("catalog", [False, True])
+def test_view_over_a_year_end(spark, folder, catalog):
+    """Days as text, over a year end: 01/01 comes after 12/31, and both kinds of targets keep every row."""
+    days = ["12/30/2023", "12/31/2023", "01/01/2024", "01/02/2024"]
+    rows = spark.createDataFrame([(d, str(i)) for i, d in enumerate(days)], "date string, costInBillingCurrency string")
+    rows = rows.select(*[F.col(c) if c in rows.columns else F.lit("x").alias(c) for c in costs.VIEW_COLUMNS])
+    old = rows.filter("date LIKE '12/%'")
+    if catalog:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS views LOCATION '{folder}/db'")
+    try:
+        appended, filled = ("views.appended", "views.filled") if catalog else (f"{folder}/appended", f"{folder}/filled")
+        assert costs.append_view(spark, old, appended) and costs.append_view(spark, rows, appended)
+        assert not costs.append_view(spark, rows, appended)
+        for part in (old, rows, rows):
+            costs.backfill_view(spark, part, filled)
+        for target in (appended, filled):
+            assert sorted(r.date for r in readers.read_table(spark, target).collect()) == sorted(days)
+        writers.write_table(rows.limit(1).withColumn("more", F.lit(1)).drop("BusinessUnit"), appended, "append")
+        got = readers.read_table(spark, appended)
+        assert got.count() == 5 and [r.BusinessUnit for r in got.where("more = 1").collect()] == [None]
+    finally:
+        if catalog:
+            spark.sql("DROP DATABASE views CASCADE")
+
+
 def test_incremental_files_are_read_once(spark, root, folder):
     schema = "date string, subscriptionName string, SubscriptionId string, resourceGroupName string, costInBillingCurrency string, servicePeriodStartDate string, tags string"
     run = lambda: append_new_exports(spark, root, schema, f"{folder}/out", f"{folder}/state", ["Debiteurnummer", "BusinessUnit"])
