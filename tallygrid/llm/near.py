@@ -17,16 +17,18 @@ a bucket links are found breadth-first: a fingerprint that is reached is not com
 again, so a dense group of n fingerprints gives at most n - 1 links, never all pairs, and
 no connection is lost. Components come from alternating large-star and small-star steps.
 
-Documents that are similar rather than almost equal (``one_of_each``) get a wide fingerprint
-of ``WIDE`` words over different five-word shingles, whose share of differing bits tells the
-shingles' similarity. Its segments form one ring: who agrees in a segment meets in a bucket,
-the chain of the three following segments must stay within the proportional budgets, and
-what passes has its full distance checked.
+Documents that are similar rather than almost equal (``one_of_each``) are compared by their
+sets of five-word shingles. Prefix filtering finds every pair at or above the similarity: of
+each set the first shingles in one order, rare ones first, are filed, and similar sets meet in
+one of them. Each pair is confirmed on the whole sets. First all who share a leading shingle
+meet one hub there; then whoever still is in different components meets in every prefix
+shingle, so a link that fails costs no other link.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 import numpy as np
 import xxhash
@@ -37,10 +39,10 @@ from tallygrid.llm.common import lower_words, map_batches, one_row_each, row_key
 BITS, DISTANCE, SHINGLE, SEED = 64, 4, 4, 42
 #: Words of a wide fingerprint, words of its shingles, and the similarity of shingle sets from which documents are copies.
 WIDE, WIDE_SHINGLE, SIMILAR = 24, 5, 0.8
-#: Three segments to a word of a wide fingerprint; a bit is left over.
-SEGMENT = 21
-#: Bits that a pair at the border may differ above the expected number, in standard deviations.
-SLACK = 1.0
+#: One set in so many is asked for frequent shingles, and so many of these are kept; they order the prefixes.
+SAMPLED, MOST_FREQUENT = 50, 100_000
+#: So many shingles at the front of a prefix bring a set to a hub.
+HEADS = 3
 
 
 # ------------------------------------------------------------------ fingerprints
@@ -264,107 +266,118 @@ def wide_fingerprint(found: list[bytes], words: int = WIDE) -> list[int]:
     return np.packbits(set_in * 2 > len(hashes), bitorder="little").view(np.int64).tolist()
 
 
-def most_apart(similar: float = SIMILAR, words: int = WIDE) -> int:
-    """Differing bits up to which documents count as copies: those expected at that similarity, and SLACK more.
-
-    Sets with Jaccard similarity s and equal sizes have the cosine 2s / (1 + s); a bit differs with the angle's share of a half turn.
-    """
-    share = np.arccos(2 * similar / (1 + similar)) / np.pi
-    bits = words * BITS
-    return int(bits * share + SLACK * np.sqrt(bits * share * (1 - share)))
-
-
-def wide_filed(fps: DataFrame, words: int = WIDE) -> DataFrame:
-    """(key, chain, node): each fingerprint under each of its segments, with the three segments that follow on the ring."""
-    ring = 3 * words
-    mask = F.lit((1 << SEGMENT) - 1).cast("long")
+def shingle_set(text: str, size: int = WIDE_SHINGLE) -> list[int]:
+    """Hashes of the different shingles, in order."""
+    digest = xxhash.xxh64_intdigest
+    found = shingles(text, size, distinct=True)
+    return np.unique(np.fromiter((digest(s, SEED) for s in found), dtype=np.uint64, count=len(found)).view(np.int64)).tolist()
 
-    def segment(k: int) -> Column:
-        at = (F.col("i") + k) % ring
-        word = F.get("w", F.floor(at / 3).cast("int"))
-        third = at % 3
-        shifted = F.when(third == 0, word).when(third == 1, F.shiftrightunsigned(word, SEGMENT)).otherwise(F.shiftrightunsigned(word, 2 * SEGMENT))
-        return shifted.bitwiseAND(mask)
 
-    key = F.col("i").cast("long") * (1 << SEGMENT) + segment(0)
-    chain = segment(1).bitwiseOR(F.shiftleft(segment(2), SEGMENT)).bitwiseOR(F.shiftleft(segment(3), 2 * SEGMENT))
-    placed = fps.select("node", "w", F.explode(F.sequence(F.lit(0), F.lit(ring - 1))).alias("i"))
-    return placed.select(key.alias("key"), chain.alias("chain"), "node")
+def frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that a sample of the sets holds often, and how often.
 
+    They only order the prefixes, rare shingles first: every order finds the same pairs, so a sample does.
+    """
+    sample = sets.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLED)) == 0).select(F.explode("s").alias("key"))
+    often = sample.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= 4).orderBy(F.desc("n"), "key").limit(MOST_FREQUENT)
+    rows = sorted(map(tuple, often.collect()))
+    return np.array([k for k, _ in rows], dtype=np.int64), np.array([n for _, n in rows], dtype=np.int64)
 
-def chained(one: np.uint64, many: np.ndarray, budget: float) -> np.ndarray:
-    """Which chains after an equal segment stay within the proportional budgets of two, three and four segments."""
-    apart = many ^ one
-    good = np.ones(len(many), dtype=bool)
-    for k in (1, 2, 3):
-        part = apart & np.uint64((1 << k * SEGMENT) - 1)
-        good &= np.bitwise_count(part) <= (k + 1) * budget
-    return good
 
+def prefixed(sets: DataFrame, similar: Fraction) -> DataFrame:
+    """(key, node, size, at): the first shingles of each set, as many as must hold one that a similar set shares.
 
-def candidates(fps: DataFrame, apart: int, words: int = WIDE) -> DataFrame:
-    """(a, b) nodes whose chains stay within budget, each once; what is connected in a bucket is spanned, not paired."""
-    budget = apart / (words * BITS / SEGMENT)
-    # the order inside a bucket decides which links span it
-    ordered = wide_filed(fps, words).repartition("key").sortWithinPartitions("key", "node")
+    A set of n that is similar to another shares at least similar * n of its shingles with it. Both have
+    their shingles in one order, so the first one they share is among the first n - similar * n + 1 of each.
+    """
+    shared = sets.sparkSession.sparkContext.broadcast(frequent(sets))
 
     def rows(batches):
-        held_key, held = None, []
-
-        def pairs(members):
-            both = np.concatenate(members, axis=1)
-            chain, node = both[0].view(np.uint64), both[1]
-            return [tuple(sorted((int(node[i]), int(node[j])))) for i, j in spanned(chain, lambda one, many: chained(one, many, budget))]
-
+        often, times = shared.value
         for batch in batches:
-            key = np.array(batch["key"], dtype=np.int64)
-            rest = np.array([batch["chain"], batch["node"]], dtype=np.int64)
-            cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
-            starts, ends = np.concatenate(([0], cuts)), np.concatenate((cuts, [len(key)]))
-            found = []
-            for i in np.flatnonzero((ends - starts > 1) | (starts == 0) | (ends == len(key))):
-                part = rest[:, starts[i] : ends[i]]
-                if key[starts[i]] == held_key:
-                    held.append(part)
-                    continue
-                if sum(p.shape[1] for p in held) > 1:
-                    found += pairs(held)
-                held_key, held = key[starts[i]], [part]
-            if found:
-                yield {"a": [a for a, _ in found], "b": [b for _, b in found]}
-        if sum(p.shape[1] for p in held) > 1 and (found := pairs(held)):
-            yield {"a": [a for a, _ in found], "b": [b for _, b in found]}
-
-    return map_batches(ordered, "a long, b long", rows).distinct()
+            out = {k: [] for k in ("key", "node", "size", "at")}
+            for node, s in zip(batch["node"], batch["s"]):
+                s, n = np.array(s, dtype=np.int64), len(s)
+                rank = np.zeros(n, dtype=np.int64)
+                if len(often) and n:
+                    entry = np.minimum(np.searchsorted(often, s), len(often) - 1)
+                    rank = np.where(often[entry] == s, times[entry], 0)
+                most = n - -(-similar.numerator * n // similar.denominator) + 1 if n else 0
+                out["key"] += s[np.lexsort((s, rank))[:most]].tolist()
+                out["node"] += [node] * most
+                out["size"] += [n] * most
+                out["at"] += range(most)
+            yield out
+
+    filed = map_batches(sets, "key long, node long, size int, at int", rows).repartition("key")
+    met = filed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    return filed.join(met, "key")
+
+
+def _hopeful(similar: Fraction) -> Column:
+    """Whether the sets of a and b, which share a shingle at ``a.at`` and ``b.at``, can be similar if it is their first."""
+    num, den = similar.numerator, similar.denominator
+    most = F.least(F.col("a.size") - F.col("a.at"), F.col("b.size") - F.col("b.at")).cast("long")
+    return most * (num + den) >= num * (F.col("a.size") + F.col("b.size")).cast("long")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, similar: Fraction) -> DataFrame:
+    """The (a, b) pairs whose shingle sets have a Jaccard similarity of ``similar`` or more."""
+    side = lambda n, s: sets.select(F.col("node").alias(n), F.col("s").alias(s)).repartition(n)
+    met = pairs.join(side("a", "sa"), "a").join(side("b", "sb"), "b")
+    met = met.select("a", "b", (F.size("sa") + F.size("sb")).cast("long").alias("n"), F.size(F.array_intersect("sa", "sb")).cast("long").alias("both"))
+    return met.where(F.col("both") * similar.denominator >= similar.numerator * (F.col("n") - F.col("both"))).select("a", "b")
+
+
+def hub_pairs(filed: DataFrame, similar: Fraction) -> DataFrame:
+    """(a, b): who shares one of the first shingles, each with the least node there."""
+    filed = filed.where(F.col("at") < HEADS)
+    hub = filed.groupBy("key").agg(F.min(F.struct("node", "size", "at")).alias("b")).select(F.col("key").alias("k"), F.struct("b.*").alias("b"))
+    met = filed.select("key", F.struct("node", "size", "at").alias("a")).join(hub, F.col("key") == F.col("k"))
+    return met.where("a.node > b.node").where(_hopeful(similar)).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+
+
+def open_pairs(filed: DataFrame, roots: DataFrame, similar: Fraction) -> DataFrame:
+    """(a, b): all that share a prefix shingle and are not yet in one component.
+
+    Components meet first and their members then, so a group that is connected already makes no pairs.
+    """
+    named = filed.join(roots.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")
+    named = settle(named.select("key", F.coalesce("root", "node").alias("root"), F.struct("node", "size", "at").alias("x")))
+    there = named.select("key", "root").distinct()
+    apart = there.select("key", F.col("root").alias("ra")).join(there.select("key", F.col("root").alias("rb")), "key").where("ra < rb")
+    member = lambda r, x: named.select("key", F.col("root").alias(r), F.col("x").alias(x))
+    met = apart.join(member("ra", "a"), ["key", "ra"]).join(member("rb", "b"), ["key", "rb"]).where(_hopeful(similar))
+    return met.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
 
 
-def similar_links(fps: DataFrame, apart: int, words: int = WIDE) -> DataFrame:
-    """(a, b) nodes whose whole fingerprints differ in at most ``apart`` bits."""
-    side = lambda n, w: fps.select(F.col("node").alias(n), F.col("w").alias(w)).repartition(n)
-    met = settle(candidates(fps, apart, words)).join(side("a", "wa"), "a").join(side("b", "wb"), "b")
-    differ = [F.bit_count(F.col("wa")[i].bitwiseXOR(F.col("wb")[i])) for i in range(words)]
-    return met.where(sum(differ[1:], differ[0]) <= apart).select("a", "b")
+def similar_links(sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """(a, b) nodes that connect all sets (node, s) of a Jaccard similarity of ``similar`` or more, and no others."""
+    least = Fraction(str(similar))
+    filed = settle(prefixed(sets, least))
+    first = settle(confirmed(hub_pairs(filed, least), sets, least))
+    rest = confirmed(open_pairs(filed, components(first), least), sets, least)
+    return first.unionByName(rest)
 
 
-def one_of_each(docs: DataFrame, similar: float = SIMILAR, words: int = WIDE) -> DataFrame:
+def one_of_each(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """The rows of ``docs`` without copies: of each group of linked documents the one with the least doc_id stays.
 
-    Two documents link if their sets of five-word shingles are about ``similar`` or more alike.
+    Two documents link if their sets of five-word shingles have a Jaccard similarity of ``similar`` or more.
     Texts without words are copies of each other. A null doc_id stays only if its group has no
     other; of rows with equal doc_id and text one stays. All columns are returned as they are.
     """
 
     def rows(batches):
         for batch in batches:
-            w = [wide_fingerprint(shingles(t, WIDE_SHINGLE, distinct=True), words) for t in batch["text"]]
-            yield {"doc_id": batch["doc_id"], "row": batch["row"], "w": w}
+            yield {"doc_id": batch["doc_id"], "row": batch["row"], "s": [shingle_set(t) for t in batch["text"]]}
 
     source = docs.select(F.col("doc_id").cast("long"), row_key("doc_id", "text").alias("row"), whole_text().alias("text"))
-    ids = settle(map_batches(source, "doc_id long, row long, w array<long>", rows).withColumn("node", F.xxhash64("w")))
+    ids = settle(map_batches(source, "doc_id long, row long, s array<long>", rows).withColumn("node", F.xxhash64("s")))
     # the least id, nulls last; the row key breaks ties
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
-    fps = settle(ids.groupBy("node").agg(F.any_value("w").alias("w"), first))
-    roots = components(settle(similar_links(fps.select("node", "w"), most_apart(similar, words), words))).withColumnRenamed("node", "n")
+    fps = settle(ids.groupBy("node").agg(F.any_value("s").alias("s"), first))
+    roots = components(similar_links(fps.select("node", "s"), similar)).withColumnRenamed("node", "n")
     rooted = fps.join(roots, F.col("node") == F.col("n"), "left").select("first", F.coalesce("root", "node").alias("root"))
     stays = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"))
     counts = ids.groupBy("row").agg(F.count("*").alias("n"))

@@ -133,3 +133,33 @@ def test_empty_tables(docs, benchmark):
     for f in (near.one_of_each, near.near_duplicates, quality.filtered, quality.rules, lexing.redact, lexing.scan, mixing.mix, mixing.mixed):
         assert f(none).count() == 0
     assert decontaminate.clean(none, benchmark).count() == 0
+
+
+def sets_of(texts):
+    return [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+
+
+def brute_groups(texts, similar=0.8):
+    found, group = sets_of(texts), list(range(len(texts)))
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if group[i] != group[j] and len(found[i] & found[j]) * 5 >= 4 * len(found[i] | found[j]):
+            group = [group[i] if g == group[j] else g for g in group]
+    return group
+
+
+def edited(text, seed, n):
+    w = text.split()
+    for k in range(n):
+        w[xxhash.xxh32_intdigest(f"{seed}:at:{k}") % len(w)] = f"new{seed}x{k}"
+    return " ".join(w)
+
+
+def test_every_similar_pair_is_found(spark):
+    """Pairs of 200 words with 2 to 7 words changed, so that their similarity lies on both sides of 0.8."""
+    texts = []
+    for i in range(240):
+        texts += [(base := sentence(1000 + i, 200)), edited(base, i, 2 + i % 6)]
+    group = brute_groups(texts)
+    assert 100 < len(set(group)) - 240 < 200
+    out = near.one_of_each(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sorted(r.doc_id for r in out.collect()) == sorted({g: i for i, g in reversed(list(enumerate(group)))}.values())
