@@ -163,3 +163,18 @@ def test_every_similar_pair_is_found(spark):
     assert 100 < len(set(group)) - 240 < 200
     out = near.one_of_each(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     assert sorted(r.doc_id for r in out.collect()) == sorted({g: i for i, g in reversed(list(enumerate(group)))}.values())
+
+
+def test_a_hub_that_fails_costs_no_link(spark):
+    """Two true copies and a third text, 0.6 to 0.75 similar to both, that comes before them in every bucket or after them."""
+    texts = []
+    for i in range(120):
+        base = sentence(5000 + i, 150)
+        texts += [edited(base, f"a{i}", 5), base, edited(base, f"b{i}", 2), edited(base, f"c{i}", 6)]
+    group = brute_groups(texts)
+    rows = [(i, t) for i, t in enumerate(texts)]
+    want = sorted({g: i for i, g in reversed(list(enumerate(group)))}.values())
+    assert len(want) > 200
+    for frame in (rows, rows[::-1]):
+        out = near.one_of_each(spark.createDataFrame(frame, "doc_id long, text string"))
+        assert sorted(r.doc_id for r in out.collect()) == want
