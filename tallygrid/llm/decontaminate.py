@@ -4,8 +4,8 @@ Texts are folded (case-folded words joined by single blanks). A window of w fold
 a benchmark item leaks if a document holds it with at most k edits. By the q-gram lemma such
 a region shares at least w + 1 - q * (k + 1) q-grams with the window, all within k diagonals of
 each other. So a document's q-grams are looked up in the benchmark's; hits are counted per item
-in overlapping bands of diagonals, every k + 1 diagonals wide twice over; only where a window's
-length holds enough hits in one band, a banded alignment verifies the window.
+in overlapping bands of diagonals, every k + 1 diagonals wide twice over; where a window's
+length holds enough hits in one band, a banded alignment verifies every window around them.
 
 The benchmark is the stated query set. It is indexed in blocks of ``BLOCK_CHARS`` characters,
 which bounds what a task holds; every block passes over all documents. Documents are never
@@ -25,6 +25,7 @@ Q = 12
 #: Length of a window and its edit budget. A shorter item is one window, its budget cut until the lemma bounds it.
 WINDOW, EDITS = 80, 5
 BLOCK_CHARS = 2_000_000
+WINDOWS_AT_ONCE = 512
 PIECE = 65_536
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 22
@@ -63,28 +64,27 @@ def as_chars(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
 
 
-def banded_distance(a: np.ndarray, b: np.ndarray, k: int) -> int:
-    """Least edits between all of ``a`` and some part of ``b``, both near one diagonal; k + 1 if over k.
+def banded_distances(own: np.ndarray, starts: np.ndarray, window: int, chars: np.ndarray, low: int, high: int) -> tuple[np.ndarray, ...]:
+    """For every window own[j : j + window] of ``starts``: its least edits against a part of ``chars``, and that part's start and end.
 
-    ``b`` reaches k characters beyond ``a`` on either side, so 3k diagonals suffice.
+    The alignments stay within the diagonals (place in chars - place in own) from ``low`` to ``high``.
     """
-    n, m = len(a), len(b)
-    big = k + 1
-    previous = np.zeros(m + 1, dtype=np.int64)
-    step = np.arange(m + 1)
-    for i in range(1, n + 1):
-        low, high = max(0, i - k), min(m, i + 3 * k)
-        current = np.full(m + 1, big, dtype=np.int64)
-        current[0] = min(i, big)
-        change = previous[:-1] + (b != a[i - 1])
-        current[1:] = np.minimum(change, previous[1:] + 1)
-        current[:low] = big
-        current[high + 1 :] = big
-        current = np.minimum.accumulate(current - step) + step  # insertions
-        previous = np.minimum(current, big)
-        if previous.min() > k:
-            return big
-    return int(previous.min())
+    step = np.arange(high - low + 1, dtype=np.int64)
+    # beyond either end stand characters that nothing equals; one of them costs what leaving it out costs
+    at = np.clip(starts[:, None] + low + np.arange(len(step) + window)[None, :], -1, len(chars))
+    inside = (at >= 0) & (at < len(chars))
+    there = np.where(inside, chars[np.clip(at, 0, len(chars) - 1)], np.uint64(2**63))
+    # edits times the number of diagonals, plus the diagonal of the start
+    unit = len(step)
+    cost = np.tile(step, (len(starts), 1))
+    for i in range(window):
+        change = cost + unit * (there[:, i : i + len(step)] != own[starts + i][:, None])
+        change[:, :-1] = np.minimum(change[:, :-1], cost[:, 1:] + unit)
+        cost = np.minimum.accumulate(change - unit * step, axis=1) + unit * step  # insertions
+    last = cost.argmin(axis=1)
+    edits, first = np.divmod(cost[np.arange(len(starts)), last], unit)
+    begin, stop = starts + low + first, starts + low + window + last
+    return edits, np.clip(begin, 0, len(chars)), np.clip(stop, 0, len(chars))
 
 
 class Index:
@@ -152,42 +152,32 @@ class Index:
         diagonal = at - place
         for number in np.unique(item):
             mine = item == number
-            yield from self._item(chars, int(number), at[mine], place[mine], diagonal[mine], int(least[number]), first_only)
+            yield from self._item(chars, int(number), place[mine], diagonal[mine], int(least[number]), first_only)
 
-    def _item(self, chars, number, at, place, diagonal, least, first_only):
+    def _item(self, chars, number, place, diagonal, least, first_only):
         window, k, own = self.windows[number], self.budgets[number], self.chars[number]
+        least = max(1, least)
         bands = diagonal // (k + 1)
-        tried = set()
         for band in np.unique(np.concatenate((bands, bands - 1))):
             inside = (bands == band) | (bands == band + 1)
             if inside.sum() < least:
                 continue
-            order = np.lexsort((at[inside], place[inside]))
-            p, d = place[inside][order], diagonal[inside][order]
+            p = np.sort(place[inside])
             dense = np.flatnonzero(p[least - 1 :] - p[: len(p) - least + 1] <= window - Q)
-            last = -1
-            for i in dense:
-                j = int(min(p[i], len(own) - window))
-                if j < last + window // 4 and last >= 0:
-                    continue  # the windows tried overlap by three quarters
-                middle = int(np.median(d[i : i + least]))
-                if (j, middle) in tried:
-                    continue
-                tried.add((j, middle))
-                start = max(0, j + middle - k)
-                region = chars[start : j + middle + window + k]
-                edits = self._edits(own[j : j + window], region, chars, j + middle, k)
-                if edits <= k:
-                    last = j
-                    yield number, max(0, j + middle), min(len(chars), j + middle + window), edits
-                    if first_only:
-                        return
-
-    @staticmethod
-    def _edits(window, region, chars, start, k):
-        if start >= 0 and np.array_equal(window, chars[start : start + len(window)]):
-            return 0
-        return banded_distance(window, region, k)
+            # every window that holds the hits of a dense stretch, wherever in the window they lie
+            opens = np.zeros(len(own) - window + 2, dtype=np.int64)
+            np.add.at(opens, np.maximum(0, p[dense + least - 1] + Q - window), 1)
+            np.add.at(opens, np.minimum(p[dense], len(own) - window) + 1, -1)
+            starts = np.flatnonzero(np.cumsum(opens)[:-1] > 0)
+            # an alignment with at most k edits leaves its hits' diagonals by at most k
+            low, high = int(band) * (k + 1) - k, (int(band) + 2) * (k + 1) - 1 + k
+            for at in range(0, len(starts), WINDOWS_AT_ONCE):
+                some = starts[at : at + WINDOWS_AT_ONCE]
+                for edits, start, end in zip(*(x.tolist() for x in banded_distances(own, some, window, chars, low, high))):
+                    if edits <= k and start < end:
+                        yield number, start, end, edits
+                        if first_only:
+                            return
 
 
 def blocks(benchmark: DataFrame, most: int = BLOCK_CHARS):

@@ -178,3 +178,31 @@ def test_a_hub_that_fails_costs_no_link(spark):
     for frame in (rows, rows[::-1]):
         out = near.one_of_each(spark.createDataFrame(frame, "doc_id long, text string"))
         assert sorted(r.doc_id for r in out.collect()) == want
+
+
+def best_edits(window, text):
+    """Least edits between the window and some part of the text (Sellers)."""
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(window, 1):
+        new = [i]
+        for j, b in enumerate(text, 1):
+            new.append(min(row[j - 1] + (a != b), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+@pytest.mark.parametrize("length, edits", [(80, (11,)), (90, (5, 16)), (100, (5, 16, 27)), (84, (3, 40, 78)), (80, (2, 15, 30, 45, 60)), (79, (40,)), (110, (8, 20, 32, 44, 56, 68, 80, 92, 104))])
+@pytest.mark.parametrize("kind", ["change", "drop", "add"])
+def test_leaks_agree_with_all_windows(length, edits, kind):
+    """A passage with edits near its start, where no hit marks the window's own start."""
+    item = decontaminate.folded(sentence(900, 70))
+    index = decontaminate.Index([(1, item)])
+    for at in (0, 100, len(item) - length):
+        passage = list(item[at : at + length])
+        for e in reversed(edits):
+            passage[e : e + (kind != "add")] = [] if kind == "drop" else ["q"]
+        for text in ("".join(passage), decontaminate.folded(sentence(901, 9)) + " " + "".join(passage) + " " + decontaminate.folded(sentence(902, 9))):
+            best = min(best_edits(item[j : j + 80], text) for j in range(max(0, at - 5), min(len(item) - 79, at + length)))
+            found = index.regions(text)
+            assert (min(r[3] for r in found) if found else 6) == min(best, 6)
+            assert bool(found) == bool(index.regions(text, first_only=True))
