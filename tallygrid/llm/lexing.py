@@ -33,9 +33,6 @@ KINDS = ("assign", "access", "hex", "lexed")
 _ASSIGN = re.compile(ASSIGN, re.ASCII | re.IGNORECASE)
 _ACCESS = re.compile(ACCESS)
 _HEX = re.compile(r"[0-9a-f]{16,}")  # runs are maximal, so this is HEX with the short ones dropped
-# Fixed value: a text without any of these holds no sensitive name, and is not lexed.
-HINTS = ("passw", "passphrase", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "signature")
-
 # Words of target names and what they add to the score of a literal.
 SENSITIVE = {
     "password": 3, "passwd": 3, "pwd": 3, "passphrase": 3, "secret": 3, "token": 2, "apikey": 3, "api_key": 3,
@@ -43,12 +40,27 @@ SENSITIVE = {
     "bearer": 2, "signature": 1, "client_secret": 3, "encryption_key": 3,
 }
 THRESHOLD = 4
+#: A text that holds none of these once ``_``, ``.`` and ``-`` are taken out has no sensitive name, and is not lexed.
+_BARE = {w.replace("_", "") for w in SENSITIVE}
+HINTS = tuple(sorted(w for w in _BARE if not any(x != w and x in w for x in _BARE)))
 
 _LEX = re.compile(
     r"""(?P<str>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|(?P<name>[A-Za-z_][A-Za-z0-9_.-]*)|(?P<num>[0-9][A-Za-z0-9+/_=-]*)|(?P<op>:=|=>|[:=+(){}\[\],;<>])|(?P<nl>\n)"""
 )
 
 
+# The forms around a literal. An unquoted one reaches up to white space, comma, semicolon, bracket or quote.
+_BLANKS = re.compile(r"[ \t]*")
+_STRING = re.compile(r""""(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'""")
+_RUN = re.compile(r"""[^\s,;()\[\]{}<>"'`]+""")
+_PLUS = re.compile(r"[ \t]*\+")
+# ``name: type = literal``; the type may have arguments, alternatives, a reference or an optional mark
+_ARGUMENTS = r"(?:\[[^\[\]\n=]*(?:\[[^\[\]\n=]*\][^\[\]\n=]*)*\]|<[^<>\n=]*(?:<[^<>\n=]*>[^<>\n=]*)*>)*"
+_ONE_TYPE = rf"&?(?:'[a-z]+[ ])?[A-Za-z_](?:[\w.]|::)*{_ARGUMENTS}[?!]?"
+_TYPED = re.compile(rf"[ \t]*({_ONE_TYPE}(?:[ \t]*\|[ \t]*{_ONE_TYPE})*)[ \t]*=(?![=>])")
+_ELEMENT = re.compile(r"<(?:[A-Za-z_][\w.-]*:)?([A-Za-z_][\w.-]*)(?:\s[^<>]*)?(?<!/)>(?:\s*<!\[CDATA\[)?([^<]*?)(?:\]\]>\s*)?</")
+
+
 class Span(NamedTuple):
     kind: str
     start: int
@@ -100,46 +112,69 @@ def name_literal_pairs(text: str, begin: int = 0, end: int | None = None) -> lis
     ``names`` holds the literals bound so far, so ``a = "x"`` then ``password = a + "y"`` gives
     (password, "x") and (password, "y").
     """
-    tokens = [(m.lastgroup, m.group(), m.start(), m.end()) for m in _LEX.finditer(text, begin, len(text) if end is None else end)]
+    end = len(text) if end is None else end
+    tokens = [(m.lastgroup, m.group(), m.start(), m.end()) for m in _LEX.finditer(text, begin, end)]
     names: dict[str, list[Literal]] = {}
     pairs: list[tuple[str, Literal]] = []
-    i, n = 0, len(tokens)
-    while i < n - 2:
-        kind, word, start, stop = tokens[i]
+
+    def bind(target: str, bound: list[Literal]) -> None:
+        if bound:
+            names[target] = bound
+            pairs.extend((target, x) for x in bound)
+
+    for i, (kind, word, start, stop) in enumerate(tokens):
+        if word == "<":
+            if (m := _ELEMENT.match(text, start, end)) and (value := m.group(2).strip()):
+                at = m.start(2) + m.group(2).index(value)
+                bind(m.group(1), names.get(value) or [Literal(value, at, at + len(value))])
+            continue
         target = word if kind == "name" else word[1:-1] if kind == "str" and re.fullmatch(r"['\"][A-Za-z_][\w.-]*['\"]", word) else None
-        if target is None or tokens[i + 1][1] not in ("=", ":", ":=", "=>") :
-            i += 1
+        if target is None:
             continue
         # the gap between name, operator and value holds blanks only: a sentence's colon does not reach far
-        if text[stop : tokens[i + 1][2]].strip(" \t"):
-            i += 1
-            continue
-        j, bound = i + 2, []
-        while j < n:
-            kind, word, start, stop = tokens[j]
-            if kind == "str":
-                bound.append(Literal(word[1:-1], start + 1, stop - 1))
-            elif kind == "num" or kind == "name" and word not in names:
-                bound.append(Literal(word, start, stop))
-            elif kind == "name":
-                bound += names[word]
-            else:
-                break
-            more = j + 1 < n and tokens[j + 1][1] == "+"
-            adjacent = kind == "str" and j + 1 < n and tokens[j + 1][0] == "str"
-            j += 2 if more else 1
-            if not more and not adjacent:
-                break
-        if bound:
-            names[target] = bound
-            pairs += [(target, x) for x in bound]
-        i += 2 if bound else 1
+        if i + 1 < len(tokens) and tokens[i + 1][1] in ("=", ":", ":=", "=>") and not text[stop : tokens[i + 1][2]].strip(" \t"):
+            at, bound = tokens[i + 1][3], []
+            if text.startswith("==", at - 1):
+                continue  # a comparison binds nothing
+            if tokens[i + 1][1] == ":" and (m := _TYPED.match(text, at, end)):
+                # a type that looks like a secret may be one: then both are bound
+                bound = [x for x in _value(text, at, end, names) if literal_score(x.value) == 3]
+                at = m.end()
+            bind(target, bound + _value(text, at, end, names))
+        elif kind == "name" and text[max(begin, start - 2) : start] == "--" and text[stop : stop + 1] in (" ", "\t"):
+            bind(target, _value(text, stop, end, names))
     return pairs
 
 
+def _value(text: str, at: int, end: int, names: dict[str, list[Literal]]) -> list[Literal]:
+    """The literals that a value at ``at`` consists of: adjacent or added strings, names bound so far, unquoted literals."""
+    bound: list[Literal] = []
+    while True:
+        at = _BLANKS.match(text, at, end).end()
+        if quoted := _STRING.match(text, at, end):
+            bound.append(Literal(quoted.group()[1:-1], at + 1, quoted.end() - 1))
+            at = quoted.end()
+        elif run := _RUN.match(text, at, end):
+            word, stop = run.group(), run.end()
+            if word.endswith("+") and len(word) > 1 and _STRING.match(text, _BLANKS.match(text, stop, end).end(), end):
+                word, stop = word[:-1], stop - 1
+            if any(part in names for part in word.split("+")):
+                for m in re.finditer(r"[^+]+", word):
+                    bound += names.get(m.group()) or [Literal(m.group(), at + m.start(), at + m.end())]
+            else:
+                bound.append(Literal(word, at, stop))
+            at = stop
+        else:
+            return bound
+        if more := _PLUS.match(text, at, end):
+            at = more.end()
+        elif not (quoted and _STRING.match(text, _BLANKS.match(text, at, end).end(), end)):
+            return bound
+
+
 def lexed_spans(text: str, threshold: int = THRESHOLD) -> list[Span]:
     """Spans of literals whose target name and shape score ``threshold`` or more."""
-    low = text.lower()
+    low = text.lower().replace("_", "").replace(".", "").replace("-", "")
     if not any(h in low for h in HINTS):
         return []
     found = {}

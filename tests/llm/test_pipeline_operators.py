@@ -206,3 +206,21 @@ def test_leaks_agree_with_all_windows(length, edits, kind):
             found = index.regions(text)
             assert (min(r[3] for r in found) if found else 6) == min(best, 6)
             assert bool(found) == bool(index.regions(text, first_only=True))
+
+
+@pytest.mark.parametrize(
+    "text, secret",
+    [
+        ("<password>q9W8e7R6t5Y4u3</password>", "q9W8e7R6t5Y4u3"),
+        ('<ns:client_secret type="x">\n q9W8e7R6t5Y4u3\n</ns:client_secret>', "q9W8e7R6t5Y4u3"),
+        ("run --client-pwd q9W8e7R6t5Y4u3 now", "q9W8e7R6t5Y4u3"),
+        ("aws_access_key = wJa1rXUtnFEMI/K7MDENG/bPxRfiCY+EX\nnext", "wJa1rXUtnFEMI/K7MDENG/bPxRfiCY+EX"),
+        ('password: str = "q9W8e7R6t5Y4u3"', "q9W8e7R6t5Y4u3"),
+        ("const authToken: Map<string, string> | null = 'q9W8e7R6t5Y4u3';", "q9W8e7R6t5Y4u3"),
+        ('pass_phrase = "q9W8e7R6t5Y4u3"', "q9W8e7R6t5Y4u3"),
+        ('seed = "q9W8e7R6t5Y4u3"\nif seed == other:\n    client_secret = seed', "q9W8e7R6t5Y4u3"),
+    ],
+)
+def test_whole_literals_of_every_form(text, secret):
+    assert secret in [text[s.start : s.end] for s in lexing.lexed_spans(text)]
+    assert secret not in lexing.redacted(text, lexing.all_spans(text)[1])
