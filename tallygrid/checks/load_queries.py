@@ -148,7 +148,9 @@ def cost_view_backfilled(spark, sf_dir):
 def cost_view_appended(spark, sf_dir):
     target = scratch_path(spark, "view")
     cleaned = _clean(spark, sf_dir)
-    costs.append_view(spark, cleaned.filter("try_to_date(date, 'MM/dd/yyyy') < DATE '2024-01-15'"), target)
+    day, late = "try_to_date(date, 'MM/dd/yyyy')", "DATE '2024-01-10'"
+    for part in (f"{day} < DATE '2024-01-15' AND {day} <> {late}", f"{day} >= DATE '2024-01-15'", f"{day} = {late}"):
+        costs.append_view(spark, cleaned.filter(part), target)
     for _ in range(2):
         costs.append_view(spark, cleaned, target)
     return readers.read_table(spark, target).select(costs.VIEW_COLUMNS)

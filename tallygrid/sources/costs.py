@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallygrid.functions.dates import parse_date, to_day
-from tallygrid.operators.aggregates import dedupe, high_water
+from tallygrid.operators.aggregates import dedupe
 from tallygrid.operators.columns import drop_columns, safe_names, select_columns
 from tallygrid.operators.nested import parse_tags, widen_map
 from tallygrid.operators.quality import table_exists, track_schema
@@ -72,17 +72,37 @@ def backfill_view(spark: SparkSession, costs: DataFrame, target: str) -> None:
 
 
 def append_view(spark: SparkSession, costs: DataFrame, target: str, column: str = "date") -> bool:
-    """Add the rows of days after the last one in the view; a second run adds nothing.
+    """Bring the days of a load into the view; a second run of the same load changes nothing.
 
-    Days are compared as dates, also where the column holds their text. Rows whose day
-    cannot be read come with the first load only.
+    Days are compared as dates, also where the column holds their text. A day that the view lacks is
+    added, late or not; a day whose rows differ from the view's is replaced as a whole, by a rewrite of
+    the view. Rows whose day cannot be read stay, and those that the view lacks are added.
     """
     new, day = cost_view(costs), parse_date(F.col(column))
-    if table_exists(spark, target):
-        highest = high_water(read_table(spark, target).select(day.alias("day")), "day")
-        if highest is not None:
-            new = new.filter(day > F.lit(highest))
-    if new.isEmpty():
+    if not table_exists(spark, target):
+        if new.isEmpty():
+            return False
+        write_table(new, target, "append")
+        return True
+
+    view, columns = read_table(spark, target), new.columns
+    both = new.withColumn("_new", F.lit(True)).unionByName(view.withColumn("_new", F.lit(False)), allowMissingColumns=True)
+    same = F.xxhash64(*columns, *[F.col(c).isNull() for c in columns]).cast("decimal(38,0)")
+    sides = [f(F.when(F.col("_new") == side, x)).alias(n) for side, s in ((True, "new"), (False, "old")) for f, x, n in ((F.count, F.lit(1), f"n_{s}"), (F.sum, same, f"h_{s}"))]
+    differ = both.where(day.isNotNull()).groupBy(day.alias("day")).agg(*sides).where("n_new > 0 AND NOT (n_new = n_old AND h_new <=> h_old)")
+    # one row per day of the load that is new or differs
+    days = {r.day: r.n_old > 0 for r in differ.select("day", "n_old").collect()}
+    in_days = lambda wanted: day.isNotNull() & day.isin(sorted(wanted)) if wanted else F.lit(False)
+    unread = lambda side: both.where(F.col("_new") == side).where(day.isNull()).select(columns)
+    added = both.where("_new").where(in_days(days)).select(columns).unionByName(unread(True).exceptAll(unread(False)))
+    staged = scratch_path(spark, "view")
+    added.write.parquet(staged)
+    added = spark.read.parquet(staged)
+    if added.isEmpty():
         return False
-    write_table(new, target, "append")
+    replaced = {d for d, there in days.items() if there}
+    if replaced:
+        overwrite_in_place(view.where(~F.coalesce(in_days(replaced), F.lit(False))).unionByName(added, allowMissingColumns=True), target)
+    else:
+        write_table(added, target, "append")
     return True

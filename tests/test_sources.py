@@ -109,6 +109,27 @@ def test_view_over_a_year_end(spark, folder, catalog):
             spark.sql("DROP DATABASE views CASCADE")
 
 
+@pytest.mark.parametrize("catalog", [False, True])
+def test_late_and_unreadable_days_reach_the_view(spark, folder, catalog):
+    rows = lambda *days: spark.createDataFrame(days, "date string, costInBillingCurrency string").select(
+        *[F.col(c) if c in ("date", "costInBillingCurrency") else F.lit("x").alias(c) for c in costs.VIEW_COLUMNS]
+    )
+    if catalog:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS late LOCATION '{folder}/db'")
+    try:
+        view = "late.view" if catalog else f"{folder}/view"
+        held = lambda: sorted((r.date or "", r.costInBillingCurrency) for r in readers.read_table(spark, view).collect())
+        first = rows(("01/01/2024", "1"), ("01/03/2024", "3"), ("soon", "a"))
+        assert costs.append_view(spark, first, view) and not costs.append_view(spark, first, view)
+        late = rows(("01/02/2024", "2"), ("01/02/2024", "2"), ("01/03/2024", "4"), ("later", "b"), (None, "c"))
+        assert costs.append_view(spark, late, view) and not costs.append_view(spark, late, view)
+        want = [("", "c"), ("01/01/2024", "1"), ("01/02/2024", "2"), ("01/02/2024", "2"), ("01/03/2024", "4"), ("later", "b"), ("soon", "a")]
+        assert held() == want
+    finally:
+        if catalog:
+            spark.sql("DROP DATABASE late CASCADE")
+
+
 def test_incremental_files_are_read_once(spark, root, folder):
     schema = "date string, subscriptionName string, SubscriptionId string, resourceGroupName string, costInBillingCurrency string, servicePeriodStartDate string, tags string"
     run = lambda: append_new_exports(spark, root, schema, f"{folder}/out", f"{folder}/state", ["Debiteurnummer", "BusinessUnit"])
