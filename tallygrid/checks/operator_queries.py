@@ -320,9 +320,9 @@ def restricted(spark, sf_dir):
     """,
 )
 def narrowed(spark, sf_dir):
-    scores = shape(spark, sf_dir, "FeitTevredenheid").filter("Score >= 5")
-    return jo.narrow_dim(shape(spark, sf_dir, "DimProjecten"), scores, "ProjectKey").groupBy("ProjectStatus").agg(
-        F.count(F.lit(1)).alias("projects")
+    return evaluate(
+        shapes.operational(spark, sf_dir), {"projects": m.rows("DimProjecten")}, by=["DimProjecten.ProjectStatus"],
+        where=[m.compare("FeitTevredenheid.Score", ">=", 5)],
     )
 
 
@@ -334,9 +334,9 @@ def narrowed(spark, sf_dir):
     """,
 )
 def roster_restricted(spark, sf_dir):
-    full_time = shape(spark, sf_dir, "FeitFormatieBezetting").filter("FTE = 1")
-    roster = jo.restrict_by(shape(spark, sf_dir, "FeitRoosterUren"), full_time, "Medewerker")
-    return rounded(roster.groupBy("Medewerker").agg(F.sum("UrenPerDag").alias("hours")))
+    hours = {"hours": m.sum_("FeitRoosterUren.UrenPerDag")}
+    full_time = [m.eq("FeitFormatieBezetting.FTE", 1)]
+    return rounded(evaluate(shapes.operational(spark, sf_dir), hours, by=["FeitRoosterUren.Medewerker"], where=full_time, keep_empty=True))
 
 
 @query(

@@ -53,6 +53,48 @@ class _Frame:
         self.paths: dict[str, list[Relationship]] = {}
         self.by = [r for r in by if self.applies(r) and r not in head.over]
         self.filters = [p for p in filters if all(self.applies(r) for r in p.refs)]
+        self.restrictions = self._restrictions(filters)
+
+    def _restrictions(self, filters: list[Pred]) -> dict[tuple[str, Relationship], tuple[Pred, ...]]:
+        """Filters that reach this fact over a semi or both relation only, by column and relation."""
+        found: dict[tuple[str, Relationship], tuple[Pred, ...]] = {}
+        for p in filters:
+            ignored = any(split_ref(r)[0] in self.head.ignore and r not in self.head.keep for r in p.refs)
+            if ignored or all(self.path(t) is not None for t in p.tables()):
+                continue
+            over = self.model.restriction(self.fact, p.tables())
+            if over:
+                found[over] = (*found.get(over, ()), p)
+        return found
+
+    def _restricted(self, df: DataFrame) -> DataFrame:
+        """The fact's rows whose key the filtered side of each restriction holds."""
+        for (column, over), preds in self.restrictions.items():
+            key = over.target if over.semi else over.source
+            holder = split_ref(key)[0]
+            side = _Frame(self.model, [Base(holder, "rows")], [], list(preds))
+            keys = side.rows_of(split_ref(key)[1]).select(F.col("_key").alias("_held")).distinct()
+            df = df.join(keys, F.col(f"`{split_ref(column)[1]}`") == F.col("_held"), "left_semi")
+        return df
+
+    def rows_of(self, key: str) -> DataFrame:
+        """A column of the fact as ``_key``, of the rows that pass the filters."""
+        refs = {r for p in self.filters for r in p.refs}
+        joins = self._joins({split_ref(r)[0] for r in refs} - {self.fact})
+        own = {r for r in refs if split_ref(r)[0] == self.fact} | {j.source for j in joins if split_ref(j.source)[0] == self.fact}
+        df = self.model.table(self.fact)
+        df = df.select(F.col(f"`{key}`").alias("_own"), *[F.col(f"`{split_ref(r)[1]}`").alias(r) for r in sorted(own)])
+        df = self._join_plain(df, joins, refs)
+        return df.filter(_all([p.build(*[_q(r) for r in p.refs]) for p in self.filters])).select(F.col("_own").alias("_key"))
+
+    def _join_plain(self, df: DataFrame, joins: list[Relationship], refs: set[str]) -> DataFrame:
+        for step in joins:
+            target, key = split_ref(step.target)
+            wanted = {r for r in refs | {j.source for j in joins} if split_ref(r)[0] == target}
+            dim = self.model.table(target).select(F.col(f"`{key}`").alias("_key"), *[F.col(f"`{split_ref(r)[1]}`").alias(r) for r in sorted(wanted)])
+            source = F.to_date(_q(step.source)) if target in self.model.date_tables and key == "Datum" else _q(step.source)
+            df = df.join(dim, source == F.col("_key"), "left").drop("_key")
+        return df
 
     def path(self, table: str) -> list[Relationship] | None:
         if table == self.fact:
@@ -171,7 +213,7 @@ class _Frame:
             source = self._date_source(p)
             if source is not None:
                 fact_refs.add(source)
-        df = self.model.table(self.fact)
+        df = self._restricted(self.model.table(self.fact))
         df = df.select(*[F.col(f"`{split_ref(r)[1]}`").alias(r) for r in sorted(fact_refs)])
 
         spans = [self._range(*span) for span in (self.span(p) for p in self.filters) if span is not None]
@@ -355,7 +397,7 @@ def _frames(model: Model, wanted: list[Base], by: list[str], where: list[Pred])
         for b, frame in alone.items():
             paths = tuple(tuple(p) if (p := frame.path(t)) is not None else None for t in tables)
             distinct = (b.column, b.days) if b.kind == "distinct" else None
-            key = (fact, tuple(frame.by), tuple(frame.filters), paths, distinct, b.each, b.shift if dated else None)
+            key = (fact, tuple(frame.by), tuple(frame.filters), tuple(frame.restrictions.items()), paths, distinct, b.each, b.shift if dated else None)
             groups.setdefault(key, []).append(b)
     return [_Frame(model, members, by, where) for members in groups.values()]
 

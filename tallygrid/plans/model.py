@@ -76,3 +76,22 @@ class Model:
         if not found:
             return None
         return min(found, key=lambda p: (-sum(r.pair in chosen for r in p), len(p)))
+
+    def restriction(self, start: str, tables: Iterable[str]) -> tuple[str, Relationship] | None:
+        """How a filter on ``tables`` restricts ``start`` over a semi or both relation: the column that is restricted,
+        and the relation whose other side holds the filtered rows. ``start`` is the relation's own table or looks it up in one step."""
+        tables = list(tables)
+        for r in self.relationships:
+            if not r.semi and not r.both:
+                continue
+            # a semi relation restricts its source by its target; a both relation its target by its source
+            own, other = (r.source, r.target) if r.semi else (r.target, r.source)
+            holder = split_ref(other)[0]
+            if holder == start or any(t != holder and self.path(holder, t) is None for t in tables):
+                continue
+            if split_ref(own)[0] == start:
+                return own, r
+            path = self.path(start, split_ref(own)[0])
+            if path and len(path) == 1 and path[0].target == own:
+                return path[0].source, r
+        return None

@@ -134,3 +134,28 @@ def test_no_cross_joins_or_python(spark, sf_dir):
             plan = plan_of(build(spark, sf_dir))
             for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython"):
                 assert word not in plan, (name, word)
+
+
+def test_filters_on_the_other_fact_restrict(spark):
+    """Over a semi and a both relation, by a column of the other fact and by a dimension that only it looks up."""
+    from tallygrid.plans.evaluate import evaluate as run
+    from tallygrid.plans.model import Model as Tables
+    from tallygrid.plans.models import parse_links
+
+    links = parse_links("Roster.Who > Staff.Who semi\nScore.Project > Project.Id both\nHours.Project > Project.Id\nStaff.Team > Team.Id")
+    frame = lambda rows, schema: lambda: spark.createDataFrame(rows, schema)
+    model = Tables({
+        "Roster": frame([("a", 1.0), ("b", 2.0), ("c", 4.0), (None, 8.0)], "Who string, H double"),
+        "Staff": frame([("a", 1, 1), ("a", 1, 2), ("b", 2, 1), (None, 1, 1)], "Who string, Fte int, Team int"),
+        "Team": frame([(1, "x"), (2, "y")], "Id int, Name string"),
+        "Score": frame([(1, 5), (1, 9), (2, 1), (None, 7)], "Project int, S int"),
+        "Project": frame([(1,), (2,), (3,)], "Id int"),
+        "Hours": frame([(1, 1.0), (1, 2.0), (2, 4.0), (3, 8.0)], "Project int, H double"),
+    }, links)
+    value = lambda metric, *where: run(model, {"v": metric}, where=list(where)).head().v
+    assert value(m.sum_("Roster.H"), m.eq("Staff.Fte", 1)) == 1.0
+    assert value(m.sum_("Roster.H"), m.eq("Team.Name", "x")) == 3.0
+    assert value(m.sum_("Roster.H"), m.eq("Team.Name", "x"), m.eq("Staff.Fte", 2)) == 2.0
+    assert value(m.rows("Project"), m.compare("Score.S", ">=", 5)) == 1
+    assert value(m.sum_("Hours.H"), m.compare("Score.S", ">=", 5)) == 3.0
+    assert value(m.ignoring(m.sum_("Roster.H"), "Staff"), m.eq("Staff.Fte", 1)) == 15.0
