@@ -83,21 +83,35 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 def row_key(*columns: str) -> Column:
-    """A 64-bit key of a row's identity, nulls included."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in columns])
+    """A 128-bit key of a row's identity as text, nulls included."""
+    of = [F.col(f"`{c}`") for c in columns]
+    return F.concat_ws("-", F.hex(F.xxhash64(*of)), F.hex(F.xxhash64(F.lit("row"), *of)))
+
+
+def free_name(name: str, taken: Iterable[str]) -> str:
+    """``name``, or the first of ``name_``, ``name__``, ... that no column has (names differ by more than case)."""
+    held = {c.lower() for c in taken}
+    while name.lower() in held:
+        name += "_"
+    return name
 
 
 def one_row_each(docs: DataFrame, chosen: DataFrame, identity: tuple[str, ...], times: bool = False) -> DataFrame:
     """The rows of ``docs`` whose ``row_key`` of ``identity`` is in ``chosen`` (row, n: how often the key occurs), each key once.
 
-    With ``times``, each row of ``chosen`` brings a number of that name, and its row comes so often. The other
-    columns of ``chosen`` are added. Texts are shuffled once; only rows that occur more than once are compared.
+    With ``times``, each row of ``chosen`` brings a number of that name, and its row comes so often, numbered by
+    ``copy``. The other columns of ``chosen`` are added. A column of ``docs`` never changes: its columns travel in one
+    struct, and an added column whose name is taken gets underscores. Texts are shuffled once; only rows that occur more
+    than once are compared.
     """
-    mark, n = "__row_key", "__row_count"
     more = [c for c in chosen.columns if c not in ("row", "n", "times")]
-    right = chosen.select(F.col("row").alias(mark), F.col("n").alias(n), *more, *(["times"] if times else []))
-    met = docs.withColumn(mark, row_key(*identity)).repartition(mark).join(right.repartition(mark), mark)
-    out = met.where(F.col(n) == 1).unionByName(met.where(F.col(n) > 1).dropDuplicates([mark]))
+    own = docs.select(row_key(*identity).alias("mark"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    right = chosen.select(F.col("row").alias("mark"), "n", *[F.col(c).alias(f"add_{c}") for c in more], *(["times"] if times else []))
+    met = own.repartition("mark").join(right.repartition("mark"), "mark")
+    out = met.where("n = 1").unionByName(met.where("n > 1").dropDuplicates(["mark"]))
     if times:
-        out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).drop("times")
-    return out.drop(mark, n)
+        out, more = out.withColumn("add_copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))), [*more, "copy"]
+    names = [*docs.columns]
+    for c in more:
+        names.append(free_name(c, names))
+    return out.select(*[F.col(f"doc.`{c}`") for c in docs.columns], *[F.col(f"add_{c}") for c in more]).toDF(*names)

@@ -52,10 +52,10 @@ def targets(sizes: dict[str | None, int], weights: tuple[int, ...] = WEIGHTS, mo
     return target
 
 
-def sized(docs: DataFrame) -> DataFrame:
+def sized(docs: DataFrame, id_type: str = "long") -> DataFrame:
     """(doc_id, source, size): the number of words, null as none."""
     return docs.select(
-        F.col("doc_id").cast("long"), F.col("source").cast("string"), F.regexp_count(whole_text(), F.lit(WORD)).cast("long").alias("size")
+        F.col("doc_id").cast(id_type), F.col("source").cast("string"), F.regexp_count(whole_text(), F.lit(WORD)).cast("long").alias("size")
     )
 
 
@@ -142,20 +142,20 @@ def fly(units: DataFrame, buckets: int, land: bool = False) -> DataFrame:
         if flight:
             yield _columns(fields(*name, flight.land() if land else flight.held))
 
-    return map_batches(ordered, "key string, h long, doc_id long, size long, p double", rows)
+    return map_batches(ordered, f"key string, h long, doc_id {units.schema['doc_id'].dataType.simpleString()}, size long, p double", rows)
 
 
 def _columns(rows: list[tuple]) -> dict[str, list]:
     return dict(zip(("key", "h", "doc_id", "size", "p"), map(list, zip(*rows)))) if rows else {k: [] for k in ("key", "h", "doc_id", "size", "p")}
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, id_type: str = "long") -> DataFrame:
     """Per row of ``docs``: doc_id, source, size, source_size, target, taken (words, repeats counted).
 
     A null source is a source of its own, last in order. Documents without words are never
     taken (taken is 0). Repeated rows are documents of their own; an empty table gives an empty result.
     """
-    units = settle(sized(docs))
+    units = settle(sized(docs, id_type))
     plans = plan(units, weights, most)
     small = plans.count() <= BROADCAST_SOURCES
     named = units.withColumn("key", _key())
@@ -181,11 +181,12 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST)
     """The mix itself: the rows of ``docs`` as often as the mix takes them, with their number (``copy``), size, source_size and target.
 
     Documents that are not taken, and those without words, are left out. Rows with equal doc_id, text and
-    source are interchangeable: what the mix takes of them comes as copies of one.
+    source are interchangeable: what the mix takes of them comes as copies of one. Where ``docs`` has a column of
+    such a name already, the added one gets underscores.
     """
     identity = ("doc_id", "text", "source")
     units = docs.select(row_key(*identity).alias("doc_id"), "text", "source")
-    taken = mix(units, weights, most).where("size > 0").groupBy(F.col("doc_id").alias("row")).agg(
+    taken = mix(units, weights, most, "string").where("size > 0").groupBy(F.col("doc_id").alias("row")).agg(
         F.count("*").alias("n"), F.sum(F.expr("taken div size")).alias("times"),
         *[F.any_value(c).alias(f"mix_{c}") for c in ("size", "source_size", "target")],
     )

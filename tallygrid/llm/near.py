@@ -16,19 +16,11 @@ Groups. Exact copies share a fingerprint and are one entry, however many they ar
 a bucket links are found breadth-first: a fingerprint that is reached is not compared
 again, so a dense group of n fingerprints gives at most n - 1 links, never all pairs, and
 no connection is lost. Components come from alternating large-star and small-star steps.
-
-Documents that are similar rather than almost equal (``one_of_each``) are compared by their
-sets of five-word shingles. Prefix filtering finds every pair at or above the similarity: of
-each set the first shingles in one order, rare ones first, are filed, and similar sets meet in
-one of them. Each pair is confirmed on the whole sets. First all who share a leading shingle
-meet one hub there; then whoever still is in different components meets in every prefix
-shingle, so a link that fails costs no other link.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from fractions import Fraction
 
 import numpy as np
 import xxhash
@@ -37,24 +29,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallygrid.llm.common import lower_words, map_batches, one_row_each, row_key, settle, whole_text
 
 BITS, DISTANCE, SHINGLE, SEED = 64, 4, 4, 42
-#: Words of a wide fingerprint, words of its shingles, and the similarity of shingle sets from which documents are copies.
-WIDE, WIDE_SHINGLE, SIMILAR = 24, 5, 0.8
-#: One set in so many is asked for frequent shingles, and so many of these are kept; they order the prefixes.
-SAMPLED, MOST_FREQUENT = 50, 100_000
-#: So many shingles at the front of a prefix bring a set to a hub.
-HEADS = 3
 
 
 # ------------------------------------------------------------------ fingerprints
 
 
-def shingles(text: str, size: int = SHINGLE, distinct: bool = False) -> list[bytes]:
+def shingles(text: str, size: int = SHINGLE) -> list[bytes]:
     """Space-joined runs of ``size`` words; a text with fewer words is one shingle, one without words has none."""
     w = lower_words(text)
     if len(w) < size:
         return [b" ".join(w)] if w else []
-    out = list(map(b" ".join, zip(*[w[i:] for i in range(size)])))
-    return list(dict.fromkeys(out)) if distinct else out
+    return list(map(b" ".join, zip(*[w[i:] for i in range(size)])))
 
 
 def fingerprint(found: list[bytes], seed: int = SEED) -> int:
@@ -71,14 +56,15 @@ def fingerprint(found: list[bytes], seed: int = SEED) -> int:
     return int(bits.view(np.int64)[0])
 
 
-def with_fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) per row."""
+def with_fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """(doc_id, row, fp) per row; ``row`` is the row's key."""
 
     def rows(batches):
         for batch in batches:
-            yield {"doc_id": batch["doc_id"], "fp": [fingerprint(shingles(t)) for t in batch["text"]]}
+            yield {"doc_id": batch["doc_id"], "row": batch["row"], "fp": [fingerprint(shingles(t, size)) for t in batch["text"]]}
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")), "doc_id long, fp long", rows)
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key("doc_id", "text").alias("row"), whole_text().alias("text"))
+    return map_batches(source, "doc_id long, row string, fp long", rows)
 
 
 # ------------------------------------------------------------------ links
@@ -217,168 +203,41 @@ def components(pairs: DataFrame) -> DataFrame:
 
 
 def grouped(ids: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """(fp, component_id) for all different fingerprints of ``ids`` (doc_id, fp): the least doc_id they reach."""
+    """(fp, root, component_id) for all different fingerprints of ``ids`` (doc_id, fp): their component, and the least doc_id in it."""
     fps = settle(ids.groupBy("fp").agg(F.min("doc_id").alias("least")))
     found = components(settle(links(fps.select("fp"), distance)))
     rooted = fps.join(found, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = settle(rooted)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "r").repartition("r")
-    return settle(rooted.join(least, F.col("root") == F.col("r")).select("fp", "component_id"))
+    return settle(rooted.join(least, F.col("root") == F.col("r")).select("fp", "root", "component_id"))
 
 
 def hexadecimal(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def near_duplicates(docs: DataFrame, distance: int = DISTANCE, size: int = SHINGLE) -> DataFrame:
     """Per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id (least doc_id reachable).
 
     Texts without words have fingerprint 0 and link like others. Rows with a null id get the
     least id of their component, null if it has none. Repeated rows each give a row.
     """
-    ids = settle(with_fingerprints(docs))
+    ids = settle(with_fingerprints(docs, size).select("doc_id", "fp"))
     found = grouped(ids, distance).withColumnRenamed("fp", "f")
     return ids.join(found, F.col("fp") == F.col("f"), "left").select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-# ------------------------------------------------------------------ similar documents
-
-#: Odd multipliers that draw one more hash per word of a wide fingerprint from a shingle's hash.
-_MULTIPLIERS = np.array([xxhash.xxh64_intdigest(b"word", i) | 1 for i in range(256)], dtype=np.uint64)
-
-
-def wide_fingerprint(found: list[bytes], words: int = WIDE) -> list[int]:
-    """A SimHash of ``words`` 64-bit words as signed integers; zeros without shingles."""
-    if not found:
-        return [0] * words
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(s, SEED) for s in found), dtype=np.uint64, count=len(found))
-    set_in = np.zeros(words * BITS, dtype=np.int64)
-    for at in range(0, len(hashes), 1020):
-        with np.errstate(over="ignore"):
-            drawn = hashes[at : at + 1020, None] * _MULTIPLIERS[:words]
-            drawn = (drawn ^ (drawn >> np.uint64(32))) * _MULTIPLIERS[-1]
-            drawn ^= drawn >> np.uint64(29)
-        bits = np.unpackbits(drawn.view(np.uint8), axis=1, bitorder="little")
-        # eight counters to an integer; none passes 255
-        sums = np.add.reduceat(bits.view(np.uint64), np.arange(0, len(bits), 255), axis=0)
-        set_in += sums.view(np.uint8).sum(axis=0, dtype=np.int64)
-    return np.packbits(set_in * 2 > len(hashes), bitorder="little").view(np.int64).tolist()
-
-
-def shingle_set(text: str, size: int = WIDE_SHINGLE) -> list[int]:
-    """Hashes of the different shingles, in order."""
-    digest = xxhash.xxh64_intdigest
-    found = shingles(text, size, distinct=True)
-    return np.unique(np.fromiter((digest(s, SEED) for s in found), dtype=np.uint64, count=len(found)).view(np.int64)).tolist()
-
-
-def frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that a sample of the sets holds often, and how often.
-
-    They only order the prefixes, rare shingles first: every order finds the same pairs, so a sample does.
-    """
-    sample = sets.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLED)) == 0).select(F.explode("s").alias("key"))
-    often = sample.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= 4).orderBy(F.desc("n"), "key").limit(MOST_FREQUENT)
-    rows = sorted(map(tuple, often.collect()))
-    return np.array([k for k, _ in rows], dtype=np.int64), np.array([n for _, n in rows], dtype=np.int64)
-
-
-def prefixed(sets: DataFrame, similar: Fraction) -> DataFrame:
-    """(key, node, size, at): the first shingles of each set, as many as must hold one that a similar set shares.
-
-    A set of n that is similar to another shares at least similar * n of its shingles with it. Both have
-    their shingles in one order, so the first one they share is among the first n - similar * n + 1 of each.
-    """
-    shared = sets.sparkSession.sparkContext.broadcast(frequent(sets))
+def one_of_each(docs: DataFrame, distance: int = DISTANCE, size: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs`` without copies: of each component of linked fingerprints the row with the least doc_id stays.
 
-    def rows(batches):
-        often, times = shared.value
-        for batch in batches:
-            out = {k: [] for k in ("key", "node", "size", "at")}
-            for node, s in zip(batch["node"], batch["s"]):
-                s, n = np.array(s, dtype=np.int64), len(s)
-                rank = np.zeros(n, dtype=np.int64)
-                if len(often) and n:
-                    entry = np.minimum(np.searchsorted(often, s), len(often) - 1)
-                    rank = np.where(often[entry] == s, times[entry], 0)
-                most = n - -(-similar.numerator * n // similar.denominator) + 1 if n else 0
-                out["key"] += s[np.lexsort((s, rank))[:most]].tolist()
-                out["node"] += [node] * most
-                out["size"] += [n] * most
-                out["at"] += range(most)
-            yield out
-
-    filed = map_batches(sets, "key long, node long, size int, at int", rows).repartition("key")
-    met = filed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    return filed.join(met, "key")
-
-
-def _hopeful(similar: Fraction) -> Column:
-    """Whether the sets of a and b, which share a shingle at ``a.at`` and ``b.at``, can be similar if it is their first."""
-    num, den = similar.numerator, similar.denominator
-    most = F.least(F.col("a.size") - F.col("a.at"), F.col("b.size") - F.col("b.at")).cast("long")
-    return most * (num + den) >= num * (F.col("a.size") + F.col("b.size")).cast("long")
-
-
-def confirmed(pairs: DataFrame, sets: DataFrame, similar: Fraction) -> DataFrame:
-    """The (a, b) pairs whose shingle sets have a Jaccard similarity of ``similar`` or more."""
-    side = lambda n, s: sets.select(F.col("node").alias(n), F.col("s").alias(s)).repartition(n)
-    met = pairs.join(side("a", "sa"), "a").join(side("b", "sb"), "b")
-    met = met.select("a", "b", (F.size("sa") + F.size("sb")).cast("long").alias("n"), F.size(F.array_intersect("sa", "sb")).cast("long").alias("both"))
-    return met.where(F.col("both") * similar.denominator >= similar.numerator * (F.col("n") - F.col("both"))).select("a", "b")
-
-
-def hub_pairs(filed: DataFrame, similar: Fraction) -> DataFrame:
-    """(a, b): who shares one of the first shingles, each with the least node there."""
-    filed = filed.where(F.col("at") < HEADS)
-    hub = filed.groupBy("key").agg(F.min(F.struct("node", "size", "at")).alias("b")).select(F.col("key").alias("k"), F.struct("b.*").alias("b"))
-    met = filed.select("key", F.struct("node", "size", "at").alias("a")).join(hub, F.col("key") == F.col("k"))
-    return met.where("a.node > b.node").where(_hopeful(similar)).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
-
-
-def open_pairs(filed: DataFrame, roots: DataFrame, similar: Fraction) -> DataFrame:
-    """(a, b): all that share a prefix shingle and are not yet in one component.
-
-    Components meet first and their members then, so a group that is connected already makes no pairs.
+    Fingerprints and links are those of ``near_duplicates``. Texts without words are copies of each other. A null
+    doc_id stays only if its component has no other; of rows with equal doc_id and text one stays, of rows with equal
+    doc_id and different texts that of the least row key. All columns are returned as they are.
     """
-    named = filed.join(roots.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")
-    named = settle(named.select("key", F.coalesce("root", "node").alias("root"), F.struct("node", "size", "at").alias("x")))
-    there = named.select("key", "root").distinct()
-    apart = there.select("key", F.col("root").alias("ra")).join(there.select("key", F.col("root").alias("rb")), "key").where("ra < rb")
-    member = lambda r, x: named.select("key", F.col("root").alias(r), F.col("x").alias(x))
-    met = apart.join(member("ra", "a"), ["key", "ra"]).join(member("rb", "b"), ["key", "rb"]).where(_hopeful(similar))
-    return met.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
-
-
-def similar_links(sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """(a, b) nodes that connect all sets (node, s) of a Jaccard similarity of ``similar`` or more, and no others."""
-    least = Fraction(str(similar))
-    filed = settle(prefixed(sets, least))
-    first = settle(confirmed(hub_pairs(filed, least), sets, least))
-    rest = confirmed(open_pairs(filed, components(first), least), sets, least)
-    return first.unionByName(rest)
-
-
-def one_of_each(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """The rows of ``docs`` without copies: of each group of linked documents the one with the least doc_id stays.
-
-    Two documents link if their sets of five-word shingles have a Jaccard similarity of ``similar`` or more.
-    Texts without words are copies of each other. A null doc_id stays only if its group has no
-    other; of rows with equal doc_id and text one stays. All columns are returned as they are.
-    """
-
-    def rows(batches):
-        for batch in batches:
-            yield {"doc_id": batch["doc_id"], "row": batch["row"], "s": [shingle_set(t) for t in batch["text"]]}
-
-    source = docs.select(F.col("doc_id").cast("long"), row_key("doc_id", "text").alias("row"), whole_text().alias("text"))
-    ids = settle(map_batches(source, "doc_id long, row long, s array<long>", rows).withColumn("node", F.xxhash64("s")))
+    ids = settle(with_fingerprints(docs, size))
+    found = grouped(ids, distance).select(F.col("fp").alias("f"), "root")
     # the least id, nulls last; the row key breaks ties
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
-    fps = settle(ids.groupBy("node").agg(F.any_value("s").alias("s"), first))
-    roots = components(similar_links(fps.select("node", "s"), similar)).withColumnRenamed("node", "n")
-    rooted = fps.join(roots, F.col("node") == F.col("n"), "left").select("first", F.coalesce("root", "node").alias("root"))
-    stays = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"))
+    firsts = ids.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+    stays = firsts.join(found, F.col("fp") == F.col("f")).groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"))
     counts = ids.groupBy("row").agg(F.count("*").alias("n"))
     return one_row_each(docs, settle(stays.join(counts, "row")), ("doc_id", "text"))

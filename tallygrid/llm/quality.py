@@ -213,7 +213,8 @@ def filtered(docs: DataFrame, lang: str = "lang", source: str = "source") -> Dat
     # pure, but declared otherwise: the optimiser would repeat the call for every use of its result
     seen = F.udf(verdict, "_failed boolean, _x array<double>", useArrow=True).asNondeterministic()
     ready(docs.sparkSession)
-    out = docs.withColumns({"_v": seen(whole_text()), "_pair": keys["_pair"]})
+    # the caller's columns travel in one struct, so no name of theirs meets one of these
+    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), seen(whole_text()).alias("_v"), keys["_pair"].alias("_pair"))
     out = _met(out, judged_pairs(vectors), ["_pair"])
     out = out.withColumns({"_failed": F.col("_v._failed"), "_x": F.col("_v._x")}).withColumn("_d", _distance())
-    return out.where(_kept()).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return out.where(_kept()).select(*[F.col(f"_doc.`{c}`") for c in docs.columns])
