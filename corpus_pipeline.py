@@ -19,7 +19,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies and near copies."""
+    """One document of each group of copies and near copies: 4-word shingles, at most 4 differing bits."""
     return near.one_of_each(docs)
 
 
