@@ -77,6 +77,21 @@ def map_batches(
     return df.mapInArrow(run, struct)
 
 
+def map_arrow(
+    df: DataFrame, schema: str | T.StructType, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[dict]],
+) -> DataFrame:
+    """``mapInArrow`` with batches as they are; ``fn`` gives columns as arrays or lists."""
+    ready(df.sparkSession)
+    struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(struct)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in fn(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
+
+    return df.mapInArrow(run, struct)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later reads survive lost executors and do not repeat the work."""
     return cut_lineage(df)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallygrid.llm import brown, classifier, decontaminate, html_text, language, lexing, mixing, near, quality, tokens
+from tallygrid.llm import brown, classifier, decontaminate, html_text, language, lexing, mixing, near, quality, recompression, tokens
 from tallygrid.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,13 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), str(tokenizer_path()))
 
 
+def substring_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its words, how many of them repeat an earlier passage, and a digest of the others."""
+    found = recompression.repeats(table(spark, sf_dir, "documents"))
+    size = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    return found.select("doc_id", "n_words", size.alias("n_removed"), F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_brown_scores": brown_scores,
     "op2_quality_scores": quality_scores,
@@ -70,6 +77,22 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": language_id,
     "op9_page_text": page_text,
     "op10_token_counts": token_counts,
+    "op13_substring_repeats": substring_repeats,
 }
 
-ORACLES: dict[str, str] = {}
+#: Words as in the contract: runs of characters other than ASCII white space.
+_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+
+ORACLES: dict[str, str] = {
+    "op13_substring_repeats": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+s AS (SELECT doc_id, len(w) AS n, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20),
+x AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS k FROM s),
+f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS nth FROM x),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS at FROM f WHERE nth > 1),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS at FROM d),
+k AS (SELECT p.doc_id, string_agg(w[p.at], ' ' ORDER BY p.at) AS kept, count(*) AS n FROM p ANTI JOIN g ON p.doc_id = g.doc_id AND p.at = g.at GROUP BY p.doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(k.n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+""",
+}
