@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallygrid.llm import brown, classifier, decontaminate, html_text, language, lexing, mixing, near, quality, recompression, tokens
+from tallygrid.llm import brown, classifier, decontaminate, html_text, language, lexing, mixing, near, quality, recompression, search, tokens
 from tallygrid.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,10 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), str(tokenizer_path()))
 
 
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def substring_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its words, how many of them repeat an earlier passage, and a digest of the others."""
     found = recompression.repeats(table(spark, sf_dir, "documents"))
@@ -77,13 +81,29 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": language_id,
     "op9_page_text": page_text,
     "op10_token_counts": token_counts,
+    "op12_ranked_search": ranked_search,
     "op13_substring_repeats": substring_repeats,
 }
 
 #: Words as in the contract: runs of characters other than ASCII white space.
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
+#: Terms as in the contract, with A-Z in lower case.
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
 ORACLES: dict[str, str] = {
+    "op12_ranked_search": f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+c AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+q AS (SELECT item_id, t, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark) GROUP BY ALL),
+p AS (SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+f AS (SELECT t, count(*) AS df FROM p GROUP BY t),
+s AS (SELECT item_id, doc_id, sum(times * floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT
+        * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * n_docs) // n_terms)))))::BIGINT AS score
+      FROM q JOIN p USING (t) JOIN f USING (t), c GROUP BY item_id, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+""",
     "op13_substring_repeats": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 s AS (SELECT doc_id, len(w) AS n, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20),
