@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallygrid.llm import brown, classifier, decontaminate, html_text, language, lexing, mixing, near, quality, recompression, search, tokens
+from tallygrid.llm import brown, classifier, decontaminate, html_text, language, lexing, mixing, near, quality, recompression, search, spelling, tokens
 from tallygrid.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,10 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), str(tokenizer_path()))
 
 
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": language_id,
     "op9_page_text": page_text,
     "op10_token_counts": token_counts,
+    "op11_spelling_variants": spelling_variants,
     "op12_ranked_search": ranked_search,
     "op13_substring_repeats": substring_repeats,
 }
