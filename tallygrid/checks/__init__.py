@@ -2,7 +2,7 @@
 
 
 def _load() -> None:
-    from tallygrid.checks import load_queries, metric_queries, operator_queries  # noqa: F401
+    from tallygrid.checks import context_queries, load_queries, metric_queries, operator_queries  # noqa: F401
 
 
 def all_queries():

@@ -677,8 +677,8 @@ _metrics(
     """,
 )
 def _profit(spark, sf_dir):
-    model, metrics = profit_per_contract(shapes.contracts(spark, sf_dir), "Contract 1-URGENT Complete")
-    return show(model, metrics, metrics, by=["dim_datum.Jaar"])
+    metrics, where = profit_per_contract("Contract 1-URGENT Complete")
+    return show(shapes.contracts(spark, sf_dir), metrics, metrics, by=["dim_datum.Jaar"], where=where)
 
 
 _profit.metrics = ["WinstPerContract"]

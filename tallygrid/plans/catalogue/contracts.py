@@ -7,11 +7,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tallygrid.functions import blank
-from tallygrid.operators.joins import restrict_by
 from tallygrid.plans import metric as m
 from tallygrid.plans import period as t
 from tallygrid.plans.metric import Metric
-from tallygrid.plans.model import Model
 from tallygrid.plans.period import Period
 
 COST = "cost_view_exported"
@@ -32,13 +30,18 @@ def _margin_if_both(revenue, cost):
     return F.when(revenue.isNotNull() & cost.isNotNull(), blank.safe_div(revenue - cost, revenue, 0))
 
 
+def on_calendar(metric: Metric) -> Metric:
+    """Only rows dated on a day that the date table shows, whether or not it is related to the fact."""
+    return m.treat_as(metric, f"{DAYS}.Datum", COST_DAY, TERM_DAY, f"{UNBILLED}.Krow__Date__c", f"{HOURS}.Datum")
+
+
 def total_cost() -> Metric:
     unbilled = m.sum_(f"{UNBILLED}.Sum of Cost Amount")
-    return m.plus(m.plus(m.sum_(f"{COST}.costInBillingCurrency"), unbilled), m.sum_(f"{HOURS}.Kosten"))
+    return on_calendar(m.plus(m.plus(m.sum_(f"{COST}.costInBillingCurrency"), unbilled), m.sum_(f"{HOURS}.Kosten")))
 
 
 def total_revenue() -> Metric:
-    return m.plus(m.sum_(f"{TERMS}.Total Price"), m.sum_(f"{HOURS}.Opbrengsten"))
+    return on_calendar(m.plus(m.sum_(f"{TERMS}.Total Price"), m.sum_(f"{HOURS}.Opbrengsten")))
 
 
 def until(metric: Metric, as_of: dt.date) -> Metric:
@@ -107,16 +110,10 @@ def contracts(p: Period) -> dict[str, Metric]:
     }
 
 
-def profit_per_contract(model: Model, contract: str) -> tuple[Model, dict[str, Metric]]:
-    """``WinstPerContract`` for one chosen contract.
+def profit_per_contract(contract: str) -> tuple[dict[str, Metric], list[m.Pred]]:
+    """``WinstPerContract`` and the filter for one chosen contract.
 
-    The contract narrows the customers (filters flow both ways there), and those
-    customers narrow every cost table: semi-joins on customer numbers, so no
-    cost row is ever multiplied.
+    The contract narrows the customers (filters flow both ways there), and those customers narrow every cost table.
     """
-    chosen = model.table(TERMS).filter(F.col("Contact Name") == contract)
-    narrowed = {TERMS: lambda: chosen}
-    for name in (COST, HOURS, UNBILLED):
-        narrowed[name] = lambda name=name: restrict_by(model.table(name), chosen, "Debiteurnummer")
     metric = m.minus(m.sum_(f"{TERMS}.Total Price"), total_cost())
-    return model.replacing(narrowed), {"WinstPerContract": metric}
+    return {"WinstPerContract": metric}, [m.eq(f"{TERMS}.Contact Name", contract)]

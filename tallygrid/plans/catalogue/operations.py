@@ -207,7 +207,7 @@ def revenue(p: Period) -> Metrics:
         "Brutomarge  Laatste 12 maanden": t.last_12m(margin, p),
         "Brutomarge % Laatste 12 maanden": t.last_12m(margin_share, p),
         "Brutomarge Vorig Jaar": t.last_year(margin_share),
-        "Brutomarge % Vorige Maand": t.previous_month(margin_share, p.end or p.as_of),
+        "Brutomarge % Vorige Maand": t.month_before(margin_share, p.end or p.as_of),
         "Gemiddeld Uurtarief": m.avg_("FeitFactuurregels.UurTarief"),
         "OmzetPotentie": billable_potential,
         "OmzetPotentie (variant 2)": potential,
@@ -226,7 +226,7 @@ def revenue(p: Period) -> Metrics:
         "Verhouding Omzet t.o.v. Commerciële uren (variant 3)": m.ratio(
             net, m.product(rates, m.sum_("DimMedewerkers.AantalUren"))
         ),
-        "Cumulatieve Factuuromzet": t.year_to_date(billed, p.end or p.as_of),
+        "Cumulatieve Factuuromzet": t.running_ytd(billed, p.end or p.as_of),
         "FixedFee": m.sum_("FixedFee.Krow__Amount__c"),
     }
 
@@ -385,7 +385,7 @@ def budget(p: Period) -> Metrics:
         "YTD Jaardoel per medewerker (variant 2)": m.sum_("FeitBudgetten.JaardoelPerDag_FTE"),
         "OmzetVSBudget (jaardoel)": m.minus(net, goal),
         "Voortgang doel": m.ratio(net, goal),
-        "Cumulatief Budget": t.year_to_date(goal, p.end or p.as_of),
+        "Cumulatief Budget": t.running_ytd(goal, p.end or p.as_of),
         "BudgetFTE": m.sum_("FeitBudgetten.FTE"),
     }
 

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallygrid.plans.metric import Base, Metric, Pred, bases
-from tallygrid.plans.model import Model, Relationship, split_ref
+from tallygrid.plans.model import Model, Relationship, Route, split_ref
 
 LEVEL = "grouping_level"
 Span = tuple[str, dt.date | None, dt.date | None]
@@ -42,6 +43,13 @@ def _months_before(day: dt.date, months: int) -> dt.date:
     return dt.date(n // 12, n % 12 + 1, 1)
 
 
+#: Windows around the last day of a group of dates: first and last day that are read.
+WINDOWS = {
+    "year_to_date": lambda last: (F.trunc(last, "year"), last),
+    "month_before": lambda last: (F.add_months(F.trunc(last, "month"), -1), F.date_sub(F.trunc(last, "month"), 1)),
+}
+
+
 class _Frame:
     """All bases that share one fact scan, one set of joins and one grouping."""
 
@@ -53,28 +61,46 @@ class _Frame:
         self.paths: dict[str, list[Relationship]] = {}
         self.by = [r for r in by if self.applies(r) and r not in head.over]
         self.filters = [p for p in filters if all(self.applies(r) for r in p.refs)]
+        # a window replaces the choice of dates; what is chosen only tells which days each group sees
+        date = head.window[1] if head.window else None
+        self.date = date if date and date not in head.ignore and self.path(date) else None
+        self.seen = [p for p in self.filters if p.tables() == {self.date}]
+        self.filters = [p for p in self.filters if p not in self.seen]
         self.restrictions = self._restrictions(filters)
 
-    def _restrictions(self, filters: list[Pred]) -> dict[tuple[str, Relationship], tuple[Pred, ...]]:
-        """Filters that reach this fact over a semi or both relation only, by column and relation."""
-        found: dict[tuple[str, Relationship], tuple[Pred, ...]] = {}
+    def _restrictions(self, filters: list[Pred]) -> dict[Route, tuple[Pred, ...]]:
+        """Filters that reach this fact over semi and both relations only, by the way they take."""
+        found: dict[Route, tuple[Pred, ...]] = {}
         for p in filters:
             ignored = any(split_ref(r)[0] in self.head.ignore and r not in self.head.keep for r in p.refs)
             if ignored or all(self.path(t) is not None for t in p.tables()):
                 continue
-            over = self.model.restriction(self.fact, p.tables())
-            if over:
-                found[over] = (*found.get(over, ()), p)
+            route = self.model.carriers(self.fact, p.tables(), self.head.without)
+            if route:
+                found[route] = (*found.get(route, ()), p)
         return found
 
     def _restricted(self, df: DataFrame) -> DataFrame:
-        """The fact's rows whose key the filtered side of each restriction holds."""
-        for (column, over), preds in self.restrictions.items():
-            key = over.target if over.semi else over.source
-            holder = split_ref(key)[0]
-            side = _Frame(self.model, [Base(holder, "rows")], [], list(preds))
-            keys = side.rows_of(split_ref(key)[1]).select(F.col("_key").alias("_held")).distinct()
-            df = df.join(keys, F.col(f"`{split_ref(column)[1]}`") == F.col("_held"), "left_semi")
+        """The fact's rows that the filtered tables keep, one semi-join per step of the way, and those that ``treat`` keeps.
+
+        The kept side comes as plain rows: it gets an exchange of its own, so a key with very many rows is split.
+        """
+        for route, preds in self.restrictions.items():
+            here, column = route[0]
+            holder, key = split_ref(here)
+            kept = _Frame(self.model, [Base(holder, "rows")], [], list(preds)).rows_of(key)
+            for step, (table, own) in enumerate((split_ref(there) for _, there in route), 1):
+                rows = df if step == len(route) else self.model.table(table)
+                test = F.col(f"`{own}`") == F.col("_held")
+                rows = rows.join(kept.select(F.col("_key").alias("_held")), test, "left_semi")
+                if step < len(route):
+                    kept = rows.select(F.col(f"`{split_ref(route[step][0])[1]}`").alias("_key"))
+            df = rows
+        for source, target in self.head.treat:
+            table, key = split_ref(target)
+            own = F.col(f"`{split_ref(source)[1]}`")
+            own = F.to_date(own) if table in self.model.date_tables and key == "Datum" else own
+            df = df.join(self.model.table(table).select(F.col(f"`{key}`").alias("_held")), own == F.col("_held"), "left_semi")
         return df
 
     def rows_of(self, key: str) -> DataFrame:
@@ -100,7 +126,7 @@ class _Frame:
         if table == self.fact:
             return []
         if table not in self.paths:
-            self.paths[table] = self.model.path(self.fact, table, self.head.via, self.head.without)
+            self.paths[table] = self.model.path(self.fact, table, self.head.via, self.head.without, self.head.treat)
         return self.paths[table]
 
     def applies(self, ref: str) -> bool:
@@ -190,6 +216,34 @@ class _Frame:
         day = F.to_date(_q(ref))
         return F.add_months(day, shift) if shift else day
 
+    # -- windows -------------------------------------------------------------
+
+    def _readers(self, key: str, wanted: set[str]) -> DataFrame:
+        """(_key, grouping): every day's key with every group of dates that reads this day.
+
+        As long as the calendar times the days a group reads; a month is read by 12 groups of months at most. Further
+        columns are the day's own.
+        """
+        calendar = self.model.table(self.date)
+        by = [r for r in self.by if split_ref(r)[0] == self.date]
+        own = sorted(r for r in wanted if r not in by)
+        named = calendar.select(F.col("Datum").alias("_own"), *[F.col(f"`{split_ref(r)[1]}`").alias(r) for r in sorted({*by, *(r for p in self.seen for r in p.refs)})])
+        if self.seen:
+            named = named.filter(_all([p.build(*[_q(r) for r in p.refs]) for p in self.seen]))
+        groups = named.groupBy(*[_q(r) for r in by]).agg(F.max(F.to_date("_own")).alias("_last"))
+        name, _, end = self.head.window
+        if end is not None and not by and not self.seen:
+            groups = groups.select(F.lit(end).alias("_last"))
+        first, last = WINDOWS[name](F.col("_last"))
+        read = groups.select(*[_q(r) for r in by], F.explode(F.sequence(first, last)).alias("_day_read"))
+        days = calendar.select(F.to_date("Datum").alias("_own"), F.col(f"`{key}`").alias("_key"), *[F.col(f"`{split_ref(r)[1]}`").alias(r) for r in own])
+        return read.join(days, F.col("_day_read") == F.col("_own")).select("_key", *[_q(r) for r in by], *[_q(r) for r in own])
+
+    def _check_window(self) -> None:
+        clash = {r for b in self.members for p in b.where if self.needs_lookup(p) for r in p.refs} & set(self.by)
+        if self.date and any(split_ref(r)[0] == self.date for r in clash):
+            raise ValueError(f"a windowed metric cannot be filtered and grouped by {sorted(clash)} at once: the one is a row's own, the other the reader's")
+
     # -- plan ----------------------------------------------------------------
 
     def refs_needed(self) -> set[str]:
@@ -206,7 +260,8 @@ class _Frame:
 
     def build(self, names: dict[Base, str], sets: list[list[str]] | None) -> DataFrame:
         refs = self.refs_needed()
-        joins = self._joins({split_ref(r)[0] for r in refs} - {self.fact})
+        self._check_window()
+        joins = self._joins({split_ref(r)[0] for r in refs} - {self.fact} | ({self.date} if self.date else set()))
         fact_refs = {r for r in refs if split_ref(r)[0] == self.fact}
         fact_refs |= {j.source for j in joins if split_ref(j.source)[0] == self.fact}
         for p in self.filters + [p for b in self.members for p in b.where]:
@@ -244,7 +299,7 @@ class _Frame:
             df = df.filter(_any([_all(c) for c in looked_up.values()]))
 
         if self.head.each:
-            return self._sum_of_max(df, names, sets, looked_up, values)
+            return self._sum_of_max(df, names, looked_up, values)
         aggregates = [
             self._final(b, i, _all(looked_up[b]), values).alias(names[b]) for i, b in enumerate(self.members)
         ]
@@ -254,10 +309,13 @@ class _Frame:
         grouped = df.groupingSets(own_sets, *[_q(r) for r in self.by])
         return grouped.agg(F.bit_count(F.grouping_id()).alias(LEVEL), *aggregates)
 
-    def _sum_of_max(self, df, names, sets, looked_up, values) -> DataFrame:
+    @property
+    def alone(self) -> bool:
+        """Must every grouping set be evaluated by itself? A coarser set is no sum over the finer one's rows here."""
+        return bool(self.head.each or self.date)
+
+    def _sum_of_max(self, df, names, looked_up, values) -> DataFrame:
         """Highest value per inner member first, then their sum per group."""
-        if sets is not None:
-            raise ValueError("totals are not defined for a sum of highest values")
         keys, inner = [_q(r) for r in self.by], [_q(r) for r in dict.fromkeys([*self.by, self.head.each])]
         highest = df.groupBy(*inner).agg(
             *[F.max(_when(_all(looked_up[b]), values[f"p{i}"])).alias(names[b]) for i, b in enumerate(self.members)]
@@ -339,10 +397,13 @@ class _Frame:
             target, key = split_ref(step.target)
             wanted = {split_ref(r)[1] for r in refs if split_ref(r)[0] == target}
             wanted |= {split_ref(j.source)[1] for j in joins if split_ref(j.source)[0] == target}
-            dim = self.model.table(target).select(
-                F.col(f"`{key}`").alias("_key"),
-                *[F.col(f"`{c}`").alias(f"{target}.{c}") for c in sorted(wanted)],
-            )
+            if target == self.date:
+                dim = self._readers(key, {f"{target}.{c}" for c in wanted})
+            else:
+                dim = self.model.table(target).select(
+                    F.col(f"`{key}`").alias("_key"),
+                    *[F.col(f"`{c}`").alias(f"{target}.{c}") for c in sorted(wanted)],
+                )
             source = step.source
             later = used | {j.source for j in joins[at + 1 :]}
             needed = {r for r in later | {source} if r in df.columns}
@@ -351,7 +412,7 @@ class _Frame:
                 needed, source = (needed if source in later else needed - {source}) | {"_day"}, "_day"
             if needed == {source} and not self.foreign:
                 df, values = self._subtotal(df, source, values)
-            df = df.join(dim, _q(source) == F.col("_key"), "left").drop("_key", "_day")
+            df = df.join(dim, _q(source) == F.col("_key"), "inner" if target == self.date else "left").drop("_key", "_day")
         return df, values
 
     def _final(self, b: Base, i: int, test: Column | None, values: dict[str, Column]) -> Column:
@@ -397,7 +458,7 @@ def _frames(model: Model, wanted: list[Base], by: list[str], where: list[Pred])
         for b, frame in alone.items():
             paths = tuple(tuple(p) if (p := frame.path(t)) is not None else None for t in tables)
             distinct = (b.column, b.days) if b.kind == "distinct" else None
-            key = (fact, tuple(frame.by), tuple(frame.filters), tuple(frame.restrictions.items()), paths, distinct, b.each, b.shift if dated else None)
+            key = (fact, tuple(frame.by), tuple(frame.filters), tuple(frame.restrictions.items()), paths, distinct, b.each, b.shift if dated else None, b.treat, frame.date and b.window, tuple(frame.seen))
             groups.setdefault(key, []).append(b)
     return [_Frame(model, members, by, where) for members in groups.values()]
 
@@ -423,7 +484,8 @@ def evaluate(
     column names. ``totals=True`` adds a re-evaluated grand total and
     ``totals="rollup"`` every prefix of the grouping; the column
     ``grouping_level`` then counts the columns aggregated away. Members for
-    which every metric is empty are left out unless ``keep_empty``.
+    which every metric is empty are left out unless ``keep_empty``. A filter that
+    no relation carries to any fact has no effect and is reported as a warning.
     """
     by = list(by)
     wanted: list[Base] = list(dict.fromkeys(b for m in metrics.values() for b in bases(m)))
@@ -434,20 +496,26 @@ def evaluate(
     elif totals:
         sets = [by, []]
 
+    frames = _frames(model, wanted, by, list(where))
+    _report(frames, list(where))
     full, partial = [], []
-    for frame in _frames(model, wanted, by, list(where)):
+    for frame in frames:
         own = [names[b] for b in frame.members]
-        if frame.by == by:
+        if frame.by == by and not (sets and frame.alone):
             full.append((frame.build(names, sets), own))
         elif sets is not None and frame.by:
-            raise ValueError("totals are not defined for a metric that keeps part of the grouping")
+            levels = _by_set(model, frame, by, list(where), sets, names)
+            if frame.by == by:
+                full.append((levels, own))
+            else:
+                partial.append((levels, [*frame.by, LEVEL], own))
         else:
             partial.append((frame.build(names, None), frame.by, own))
 
     keys = by + ([LEVEL] if sets is not None else [])
     result = _drill_across([f for f, _ in full], keys)
     if result is None:
-        result = _members(model, by)
+        result = _grid(model, by, list(where), sets, partial)
     for df, own_by, own in partial:
         result = _attach(result, df, own_by, own)
 
@@ -475,14 +543,64 @@ def _drill_across(frames: list[DataFrame], keys: list[str]) -> DataFrame | None:
     return stacked.groupBy(*[_q(k) for k in keys]).agg(*[F.max(c).alias(c) for c in values])
 
 
-def _members(model: Model, by: list[str]) -> DataFrame:
-    tables = {split_ref(r)[0] for r in by}
+def _by_set(
+    model: Model, frame: _Frame, by: list[str], where: list[Pred], sets: list[list[str]], names: dict[Base, str]
+) -> DataFrame:
+    """The metrics of a frame for each grouping set by itself, with its level; columns that a set leaves out are empty."""
+    parts = []
+    for s in sets:
+        part = _Frame(model, frame.members, s, where)
+        columns = [_q(r) if r in part.by else F.lit(None).alias(r) for r in frame.by]
+        parts.append(part.build(names, None).select(*columns, *[names[b] for b in frame.members], F.lit(len(by) - len(s)).cast("int").alias(LEVEL)))
+    return functools.reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _report(frames: list[_Frame], where: list[Pred]) -> None:
+    """Warn of filters that no relation carries to any fact."""
+    for p in where:
+        used = any(p in f.filters or p in f.seen or any(p in ps for ps in f.restrictions.values()) for f in frames)
+        meant = any(not f.head.ignore & p.tables() for f in frames)
+        if meant and not used:
+            warnings.warn(f"no relation carries the filter {p.text} to any fact: it has no effect", stacklevel=3)
+
+
+def _grid(
+    model: Model, by: list[str], where: list[Pred], sets: list[list[str]] | None, partial: list[tuple[DataFrame, list[str], list[str]]]
+) -> DataFrame:
+    """The combinations to show where no metric uses the whole grouping: each table's visible members with each other's.
+
+    A metric that ignores a table shows with every member of it, so the answer is this product. The members of the first table
+    are rows; those of each other one come as an array, which has no more entries than the answer has rows.
+    """
     if not by:
         raise ValueError("nothing to evaluate")
-    if len(tables) != 1:
-        raise ValueError("no metric uses this whole grouping, and it spans several tables")
-    source = model.table(tables.pop())
-    return source.select(*[F.col(f"`{split_ref(r)[1]}`").alias(r) for r in by]).distinct()
+    grid = None
+    for table in dict.fromkeys(split_ref(r)[0] for r in by):
+        refs = [r for r in by if split_ref(r)[0] == table]
+        tests = [p for p in where if p.tables() == {table}]
+        needed = sorted({*refs, *(r for p in tests for r in p.refs)})
+        source = model.table(table).select(*[F.col(f"`{split_ref(r)[1]}`").alias(r) for r in needed])
+        if tests:
+            source = source.filter(_all([p.build(*[_q(r) for r in p.refs]) for p in tests]))
+        found = source.select(*[_q(r) for r in refs])
+        for df, own_by, _ in partial:  # members that only the facts have, such as the empty one
+            if set(refs) <= set(own_by):
+                rows = df.where(F.col(LEVEL) == 0) if LEVEL in own_by else df
+                found = found.unionByName(rows.select(*[_q(r) for r in refs]))
+        found = found.distinct()
+        if grid is None:
+            grid = found
+        else:
+            every = found.agg(F.collect_list(F.struct(*[_q(r) for r in refs])).alias("_every")).scalar()
+            grid = grid.withColumn("_every", every).withColumn("_one", F.explode("_every"))
+            grid = grid.select(*[_q(c) for c in grid.columns if c not in ("_every", "_one")], *[F.col(f"_one.`{r}`").alias(r) for r in refs])
+    if sets is None:
+        return grid
+    levels = []
+    for s in sets:
+        rows = grid.select(*[_q(r) for r in s]).distinct() if s else model.table(split_ref(by[0])[0]).agg(F.count("*").alias("_n"))
+        levels.append(rows.select(*[_q(r) if r in s else F.lit(None).alias(r) for r in by], F.lit(len(by) - len(s)).cast("int").alias(LEVEL)))
+    return functools.reduce(lambda a, b: a.unionByName(b), levels)
 
 
 def _attach(grid: DataFrame, df: DataFrame, own_by: list[str], own: list[str]) -> DataFrame:

@@ -141,7 +141,12 @@ class Base:
     ``ignore``  dimensions whose outer filters and grouping do not apply;
     ``keep``    exceptions to ``ignore``: references that still apply;
     ``over``    references whose grouping is dropped while their filters stay;
-    ``shift``   months by which fact dates move forward before the date join.
+    ``shift``   months by which fact dates move forward before the date join;
+    ``window``  (name, date table, last day): every group of dates reads the days of this window
+                around its last day, whatever dates are selected otherwise; where nothing
+                selects dates, around the last day named here;
+    ``treat``   (fact column, dimension column): the dimension's visible values restrict
+                the fact by this column, with or without a relationship.
     """
 
     table: str
@@ -157,6 +162,8 @@ class Base:
     keep: frozenset[str] = frozenset()
     over: frozenset[str] = frozenset()
     shift: int = 0
+    window: tuple[str, str, dt.date | None] | None = None
+    treat: tuple[tuple[str, str], ...] = ()
 
 
 @dataclass(frozen=True)
@@ -284,6 +291,20 @@ def shifted(metric: Metric, months: int) -> Metric:
     return rewrite(metric, lambda b: dataclasses.replace(b, shift=b.shift + months))
 
 
+def windowed(metric: Metric, window: str, date: str, last: dt.date | None = None) -> Metric:
+    """Read, in every group of dates, the days of a window around the group's last day (``last`` where nothing selects dates).
+
+    Where a metric replaces the filter on the date table itself, that inner choice stays.
+    """
+    return rewrite(metric, lambda b: b if date in b.ignore or b.window else dataclasses.replace(b, window=(window, date, last)))
+
+
+def treat_as(metric: Metric, values: str, *columns: str) -> Metric:
+    """Treat the visible values of a dimension column as values of the fact columns (of whichever fact is aggregated)."""
+    by_table = {c.split(".", 1)[0]: c for c in columns}
+    return rewrite(metric, lambda b: dataclasses.replace(b, treat=(*b.treat, (by_table[b.table], values))) if b.table in by_table else b)
+
+
 def bases(metric: Metric) -> list[Base]:
     if isinstance(metric, Base):
         return [metric]

@@ -33,6 +33,10 @@ class Relationship:
         return self.source, self.target
 
 
+#: Pairs of columns over which a filter goes from table to table.
+Route = tuple[tuple[str, str], ...]
+
+
 @dataclass
 class Model:
     """Tables (loaded on demand), the relationships between them, and which are date tables."""
@@ -52,13 +56,15 @@ class Model:
         return Model({**self.loaders, **loaders}, self.relationships, self.date_tables)
 
     def path(
-        self, start: str, goal: str, via: Iterable[tuple[str, str]] = (), without: Iterable[str] = ()
+        self, start: str, goal: str, via: Iterable[tuple[str, str]] = (), without: Iterable[str] = (),
+        treat: Iterable[tuple[str, str]] = (),
     ) -> list[Relationship] | None:
-        """Lookup path from a table to a dimension; roles named in ``via`` win."""
-        chosen, cut = set(via), set(without)
+        """Lookup path from a table to a dimension; roles named in ``via`` and relations made by ``treat`` win."""
+        chosen, cut = {*via, *treat}, set(without)
+        own = {r.pair for r in self.relationships}
         usable = [
             r
-            for r in self.relationships
+            for r in [*self.relationships, *(Relationship(*pair) for pair in dict.fromkeys(treat) if pair not in own)]
             if not r.semi and (r.active or r.pair in chosen) and split_ref(r.target)[0] not in cut
         ]
         found: list[list[Relationship]] = []
@@ -77,21 +83,34 @@ class Model:
             return None
         return min(found, key=lambda p: (-sum(r.pair in chosen for r in p), len(p)))
 
-    def restriction(self, start: str, tables: Iterable[str]) -> tuple[str, Relationship] | None:
-        """How a filter on ``tables`` restricts ``start`` over a semi or both relation: the column that is restricted,
-        and the relation whose other side holds the filtered rows. ``start`` is the relation's own table or looks it up in one step."""
-        tables = list(tables)
+    def carriers(self, start: str, tables: Iterable[str], without: Iterable[str] = ()) -> Route | None:
+        """The shortest way on which a filter on ``tables`` reaches ``start`` where no lookup leads to them.
+
+        Filters flow from the looked-up side of a relation to the other, and back where the relation is ``both``. The walk
+        goes breadth-first over tables and visits each once, so circles of relations end it.
+        """
+        wanted, cut = set(tables), set(without)
+        flows: dict[str, list[tuple[str, str]]] = {}
         for r in self.relationships:
-            if not r.semi and not r.both:
-                continue
-            # a semi relation restricts its source by its target; a both relation its target by its source
-            own, other = (r.source, r.target) if r.semi else (r.target, r.source)
-            holder = split_ref(other)[0]
-            if holder == start or any(t != holder and self.path(holder, t) is None for t in tables):
-                continue
-            if split_ref(own)[0] == start:
-                return own, r
-            path = self.path(start, split_ref(own)[0])
-            if path and len(path) == 1 and path[0].target == own:
-                return path[0].source, r
-        return None
+            if r.active and split_ref(r.target)[0] not in cut:
+                flows.setdefault(split_ref(r.target)[0], []).append((r.target, r.source))
+                if r.both:
+                    flows.setdefault(split_ref(r.source)[0], []).append((r.source, r.target))
+        # the filter is first told on a table that looks up all its columns: its own, if it is on one
+        reach = lambda h: all(t == h or self.path(h, t, (), cut) is not None for t in wanted)
+        ways: dict[str, list[tuple[str, str]]] = {t: [] for t in ([*wanted] if len(wanted) == 1 else flows) if t != start and reach(t)}
+        waiting = list(ways)
+        while waiting:
+            at = waiting.pop(0)
+            for here, there in flows.get(at, []):
+                table = split_ref(there)[0]
+                if table not in ways:
+                    ways[table] = [*ways[at], (here, there)]
+                    waiting.append(table)
+        if not ways.get(start):
+            return None
+        steps = ways[start]
+        # as far as plain lookups lead, the filter is told by lookups; from there on by semi-joins
+        while len(steps) > 1 and reach(split_ref(steps[0][1])[0]):
+            steps = steps[1:]
+        return tuple(steps)

@@ -83,6 +83,16 @@ def last_year(metric: m.Metric) -> m.Metric:
     return m.shifted(metric, 12)
 
 
+def running_ytd(metric: m.Metric, last: dt.date | None = None, date: str = DATE) -> m.Metric:
+    """Year to date by grouping: each group of dates reads its year from 1 January to the group's last day."""
+    return m.windowed(metric, "year_to_date", date, last)
+
+
+def month_before(metric: m.Metric, last: dt.date | None = None, date: str = DATE) -> m.Metric:
+    """Previous month by grouping: each group of dates reads the calendar month before that of its last day."""
+    return m.windowed(metric, "month_before", date, last)
+
+
 def in_dates(metric: m.Metric, start: dt.date, end: dt.date, date: str = DATE) -> m.Metric:
     """Replace the date filter by a fixed range."""
     return m.where(m.ignoring(metric, date), m.between(f"{date}.Datum", start, end))
