@@ -6,6 +6,7 @@ a region shares at least w + 1 - q * (k + 1) q-grams with the window, all within
 each other. So a document's q-grams are looked up in the benchmark's; hits are counted per item
 in overlapping bands of diagonals, every k + 1 diagonals wide twice over; where a window's
 length holds enough hits in one band, a banded alignment verifies every window around them.
+Of the equal windows of an item only the first is looked for, as the others find the same.
 
 The benchmark is the stated query set. It is indexed in blocks of ``BLOCK_CHARS`` characters,
 which bounds what a task holds; every block passes over all documents. Documents are never
@@ -26,7 +27,8 @@ Q = 12
 WINDOW, EDITS = 80, 5
 BLOCK_CHARS = 2_000_000
 WINDOWS_AT_ONCE = 512
-PIECE = 65_536
+#: Characters of a document that are looked up at a time, and most hits among them.
+PIECE, HITS = 65_536, 1_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 22
 _WORDS = re.compile(r"[^\W_]+")
@@ -64,29 +66,45 @@ def as_chars(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
 
 
-def banded_distances(own: np.ndarray, starts: np.ndarray, window: int, chars: np.ndarray, low: int, high: int) -> tuple[np.ndarray, ...]:
+def banded_distances(own: np.ndarray, starts: np.ndarray, lows: np.ndarray, window: int, chars: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
     """For every window own[j : j + window] of ``starts``: its least edits against a part of ``chars``, and that part's start and end.
 
-    The alignments stay within the diagonals (place in chars - place in own) from ``low`` to ``high``.
+    The alignment of a window stays within ``width`` diagonals (place in chars - place in own) from its entry of ``lows`` on.
     """
-    step = np.arange(high - low + 1, dtype=np.int64)
+    step = np.arange(width, dtype=np.int64)
     # beyond either end stand characters that nothing equals; one of them costs what leaving it out costs
-    at = np.clip(starts[:, None] + low + np.arange(len(step) + window)[None, :], -1, len(chars))
+    at = np.clip((starts + lows)[:, None] + np.arange(width + window)[None, :], -1, len(chars))
     inside = (at >= 0) & (at < len(chars))
     there = np.where(inside, chars[np.clip(at, 0, len(chars) - 1)], np.uint64(2**63))
     # edits times the number of diagonals, plus the diagonal of the start
-    unit = len(step)
     cost = np.tile(step, (len(starts), 1))
     for i in range(window):
-        change = cost + unit * (there[:, i : i + len(step)] != own[starts + i][:, None])
-        change[:, :-1] = np.minimum(change[:, :-1], cost[:, 1:] + unit)
-        cost = np.minimum.accumulate(change - unit * step, axis=1) + unit * step  # insertions
+        change = cost + width * (there[:, i : i + width] != own[starts + i][:, None])
+        change[:, :-1] = np.minimum(change[:, :-1], cost[:, 1:] + width)
+        cost = np.minimum.accumulate(change - width * step, axis=1) + width * step  # insertions
     last = cost.argmin(axis=1)
-    edits, first = np.divmod(cost[np.arange(len(starts)), last], unit)
-    begin, stop = starts + low + first, starts + low + window + last
+    edits, first = np.divmod(cost[np.arange(len(starts)), last], width)
+    begin, stop = starts + lows + first, starts + lows + window + last
     return edits, np.clip(begin, 0, len(chars)), np.clip(stop, 0, len(chars))
 
 
+def fresh_windows(chars: np.ndarray, window: int) -> np.ndarray:
+    """Which windows of an item have a content that no earlier one has, compared by two 64-bit codes."""
+    m = len(chars) - window + 1
+    if m <= 0:
+        return np.zeros(0, dtype=bool)
+    one, two = np.zeros(m, dtype=np.uint64), np.zeros(m, dtype=np.uint64)
+    for i in range(window):
+        part = chars[i : i + m]
+        one, two = one * _BASE + part, (two ^ (part + np.uint64(1))) * np.uint64(0xC2B2AE3D27D4EB4F)
+        two ^= two >> np.uint64(31)
+    order = np.lexsort((two, one))
+    first = np.concatenate(([True], (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])))
+    out = np.zeros(m, dtype=bool)
+    out[order[first]] = True
+    return out
+
+
 class Index:
     """q-grams of a block of items, with the places where they stand."""
 
@@ -95,10 +113,13 @@ class Index:
         self.chars = [as_chars(folded(t)) for _, t in items]
         self.windows = [min(WINDOW, len(c)) for c in self.chars]
         self.budgets = [max(0, min(EDITS, (w + 1 - 1) // Q - 1)) for w in self.windows]
-        found = [grams(c) for c in self.chars]
+        # equal windows of an item have equal results, so only the first of them and its q-grams are looked for
+        self.fresh = [fresh_windows(c, w) if len(c) >= Q else np.zeros(0, dtype=bool) for c, w in zip(self.chars, self.windows)]
+        places = [self._needed(f, w) for f, w in zip(self.fresh, self.windows)]
+        found = [grams(c)[p] for c, p in zip(self.chars, places)]
         codes = np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
         item = np.repeat(np.arange(len(found)), [len(g) for g in found])
-        place = np.concatenate([np.arange(len(g)) for g in found]) if found else np.zeros(0, dtype=np.int64)
+        place = np.concatenate(places) if found else np.zeros(0, dtype=np.int64)
         order = np.argsort(codes, kind="stable")
         self.codes, first = np.unique(codes[order], return_index=True)
         self.item, self.place = item[order], place[order]
@@ -107,14 +128,27 @@ class Index:
         self.table = np.zeros(1 << _TABLE_BITS, dtype=bool)
         self.table[(self.codes >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
 
+    @staticmethod
+    def _needed(fresh: np.ndarray, window: int) -> np.ndarray:
+        """Places of the q-grams that lie in fresh windows."""
+        if not len(fresh):
+            return np.zeros(0, dtype=np.int64)
+        edges = np.zeros(len(fresh) + window - Q + 2, dtype=np.int64)
+        edges[np.flatnonzero(fresh)] += 1
+        np.subtract.at(edges, np.flatnonzero(fresh) + window - Q + 1, 1)
+        return np.flatnonzero(np.cumsum(edges) > 0)
+
+    def _entries(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in the document, number of the code) of every shared q-gram."""
+        at = np.flatnonzero(self.table[(code >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)])
+        entry = np.searchsorted(self.codes, code[at])
+        entry[entry == len(self.codes)] = 0
+        real = self.codes[entry] == code[at] if len(at) else np.zeros(0, dtype=bool)
+        return at[real], entry[real]
+
     def hits(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place in the document, item, place in the item) of every shared q-gram."""
-        at = np.flatnonzero(self.table[(code >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)])
-        if len(at):
-            entry = np.searchsorted(self.codes, code[at])
-            entry[entry == len(self.codes)] = 0
-            real = self.codes[entry] == code[at]
-            at, entry = at[real], entry[real]
+        at, entry = self._entries(code)
         if not len(at):
             empty = np.zeros(0, dtype=np.int64)
             return empty, empty, empty
@@ -126,8 +160,7 @@ class Index:
         """(item number, start, end, edits) of verified regions in a folded text, overlapping ones merged."""
         chars = as_chars(text)
         found: list[tuple[int, int, int, int]] = []
-        for at in range(0, max(1, len(chars) - Q + 1), PIECE):
-            piece = chars[at : at + PIECE + 2 * WINDOW]
+        for at, piece in self._pieces(chars):
             for item, start, end, edits in self._piece(piece, first_only):
                 found.append((item, at + start, at + end, edits))
                 if first_only:
@@ -140,6 +173,19 @@ class Index:
             merged.append((item, start, end, edits))
         return merged
 
+    def _pieces(self, chars: np.ndarray):
+        """(start, characters): overlapping pieces that hold at most ``HITS`` hits each, or are two windows long."""
+        waiting = [(at, min(len(chars), at + PIECE + 2 * WINDOW)) for at in range(0, max(1, len(chars) - Q + 1), PIECE)][::-1]
+        while waiting:
+            start, end = waiting.pop()
+            if end - start > 6 * WINDOW:
+                _, entry = self._entries(grams(chars[start:end]))
+                if (self.ends[entry] - self.starts[entry]).sum() > HITS:
+                    middle = (start + end) // 2
+                    waiting += [(middle - WINDOW, end), (start, middle + WINDOW)]
+                    continue
+            yield start, chars[start:end]
+
     def _piece(self, chars: np.ndarray, first_only: bool):
         at, item, place = self.hits(grams(chars))
         if not len(at):
@@ -157,25 +203,32 @@ class Index:
     def _item(self, chars, number, place, diagonal, least, first_only):
         window, k, own = self.windows[number], self.budgets[number], self.chars[number]
         least = max(1, least)
-        bands = diagonal // (k + 1)
-        for band in np.unique(np.concatenate((bands, bands - 1))):
-            inside = (bands == band) | (bands == band + 1)
-            if inside.sum() < least:
-                continue
-            p = np.sort(place[inside])
-            dense = np.flatnonzero(p[least - 1 :] - p[: len(p) - least + 1] <= window - Q)
-            # every window that holds the hits of a dense stretch, wherever in the window they lie
-            opens = np.zeros(len(own) - window + 2, dtype=np.int64)
-            np.add.at(opens, np.maximum(0, p[dense + least - 1] + Q - window), 1)
-            np.add.at(opens, np.minimum(p[dense], len(own) - window) + 1, -1)
-            starts = np.flatnonzero(np.cumsum(opens)[:-1] > 0)
-            # an alignment with at most k edits leaves its hits' diagonals by at most k
-            low, high = int(band) * (k + 1) - k, (int(band) + 2) * (k + 1) - 1 + k
-            for at in range(0, len(starts), WINDOWS_AT_ONCE):
-                some = starts[at : at + WINDOWS_AT_ONCE]
-                for edits, start, end in zip(*(x.tolist() for x in banded_distances(own, some, window, chars, low, high))):
-                    if edits <= k and start < end:
-                        yield number, start, end, edits
+        order = np.argsort(diagonal, kind="stable")
+        place, band = place[order], diagonal[order] // (k + 1)
+        named = np.unique(np.concatenate((band, band - 1)))
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+        for one, a, b in zip(named.tolist(), np.searchsorted(band, named, "left").tolist(), np.searchsorted(band, named + 1, "right").tolist()):
+            if b - a >= least:
+                p = np.sort(place[a:b])
+                dense = np.flatnonzero(p[least - 1 :] - p[: len(p) - least + 1] <= window - Q)
+                # every window that holds the hits of a dense stretch, wherever in the window they lie
+                opens = np.zeros(len(own) - window + 2, dtype=np.int64)
+                np.add.at(opens, np.maximum(0, p[dense + least - 1] + Q - window), 1)
+                np.add.at(opens, np.minimum(p[dense], len(own) - window) + 1, -1)
+                starts = np.flatnonzero((np.cumsum(opens)[:-1] > 0) & self.fresh[number])
+                # an alignment with at most k edits leaves its hits' diagonals by at most k
+                held.append((starts, np.full(len(starts), one * (k + 1) - k)))
+                size += len(starts)
+            if size >= WINDOWS_AT_ONCE or one == named[-1]:
+                starts, lows = (np.concatenate([h[i] for h in held]) if held else np.zeros(0, dtype=np.int64) for i in (0, 1))
+                held, size = [], 0
+                for at in range(0, len(starts), WINDOWS_AT_ONCE):
+                    some = slice(at, at + WINDOWS_AT_ONCE)
+                    edits, start, end = banded_distances(own, starts[some], lows[some], window, chars, 2 * (k + 1) + 2 * k)
+                    good = (edits <= k) & (start < end)
+                    for region in zip(start[good].tolist(), end[good].tolist(), edits[good].tolist()):
+                        yield number, *region
                         if first_only:
                             return
 

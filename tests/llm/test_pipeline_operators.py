@@ -279,3 +279,39 @@ def test_base_spans_agree_with_the_patterns(spark):
         want[i] = (*[sum(k == kind for _, k, _ in spans) for kind in range(3)], hashlib.sha256(line.encode()).hexdigest())
     out = lexing.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert {r.doc_id: (r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in out} == want and sum(w[0] for w in want.values()) >= 3
+
+
+def test_repeated_text_takes_seconds():
+    """A long text of one phrase, or one letter, against an item of it; equal windows are verified once."""
+    import time
+
+    for phrase in ("ab ", "the quick brown fox jumps over it ", "a"):
+        item = decontaminate.folded(phrase * (10_000 // len(phrase)))
+        index = decontaminate.Index([(1, item)])
+        assert sum(index.fresh[0]) <= max(len(phrase), 80)
+        text = decontaminate.folded(sentence(903, 40)) + " " + decontaminate.folded(phrase * (64_000 // len(phrase))) + " " + decontaminate.folded(sentence(904, 40))
+        began = time.time()
+        found = index.regions(text)
+        assert time.time() - began < 20
+        assert len(found) == 1 and found[0][3] == 0 and found[0][2] - found[0][1] >= 63_000
+        assert index.regions(text, first_only=True)
+
+
+def test_equal_windows_find_what_all_windows_find(monkeypatch):
+    """Items that repeat themselves in part, with pieces of any size."""
+    part = sentence(910, 25)
+    item = decontaminate.folded(f"{part} {sentence(911, 12)} {part} {part} {sentence(912, 9)}")
+    texts = [decontaminate.folded(f"{sentence(920 + i, 30)} {edited(part, i, i % 3)} {edited(part, f'x{i}', 1)} {sentence(940 + i, 15)}") for i in range(6)]
+    index = decontaminate.Index([(1, item)])
+    assert sum(index.fresh[0]) < len(index.fresh[0])
+    with monkeypatch.context() as patch:
+        patch.setattr(decontaminate, "fresh_windows", lambda chars, window: [True] * max(0, len(chars) - window + 1))
+        whole = decontaminate.Index([(1, item)])
+        whole.fresh = [__import__("numpy").array(f, dtype=bool) for f in whole.fresh]
+    for text in texts:
+        want = whole.regions(text)
+        assert index.regions(text) == want
+        monkeypatch.setattr(decontaminate, "HITS", 40)
+        got = index.regions(text)
+        assert [(r[0], r[3]) for r in got] == [(r[0], r[3]) for r in want]
+        monkeypatch.setattr(decontaminate, "HITS", 1_000_000)
