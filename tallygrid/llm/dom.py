@@ -11,9 +11,10 @@ import numpy as np
 BLOCK = set(
     "html body article main section div nav header footer aside form fieldset address blockquote figure figcaption details summary dialog "
     "p h1 h2 h3 h4 h5 h6 hgroup ul ol li dl dt dd table caption thead tbody tfoot tr td th pre hr select option textarea button label center "
-    "menu search head".split()
+    "menu search head datalist".split()
 )
-SILENT = set("script style title template noscript svg math iframe object audio video canvas datalist".split())
+#: What is no text of the page. All else is, such as formulas or what stands in for scripts and media: the trees judge it.
+SILENT = set("script style title template iframe noembed noframes".split())
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 #: An opening tag ends the nearest open one of these, as far as the second set reaches.
 ENDS = {
@@ -27,7 +28,7 @@ _SCOPE = set("td th table button html body caption".split())
 TAGS = {
     "heading": "h1 h2 h3 h4 h5 h6 hgroup", "p": "p", "list": "ul ol menu dl", "item": "li dt dd", "table": "table tr td th tbody thead tfoot caption",
     "quote": "blockquote pre figure figcaption", "box": "div section center details summary", "main": "article main", "nav": "nav search",
-    "header": "header", "footer": "footer address", "aside": "aside dialog", "form": "form fieldset select option textarea button label", "root": "html body head",
+    "header": "header", "footer": "footer address", "aside": "aside dialog", "form": "form fieldset select option textarea button label datalist", "root": "html body head",
 }
 HINTS = {
     "main": "content article post entry story body text main page blog news prose",
@@ -55,8 +56,11 @@ class Tree(HTMLParser):
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.tag, self.parent, self.hints, self.text, self.link, self.marked = ["html"], [-1], [0], [""], [0], [False]
-        self.open, self.silent, self.links, self.pieces, self.linked = [0], 0, 0, [], 0
-        self.silent_tag = ""
+        self.open, self.links, self.pieces, self.linked = [0], 0, [], 0
+        #: Places in ``open`` per tag, so that the nearest open one is found at once.
+        self.places: dict[str, list[int]] = {}
+        #: The silent element that is open, and how often each tag is open inside it.
+        self.silent, self.inside = "", {}
         self.feed(html)
         self.close()
         self._flush()
@@ -73,22 +77,26 @@ class Tree(HTMLParser):
             column.append(value)
         return len(self.tag) - 1
 
+    def _nearest(self, tags: set[str]) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
     def _end_nearest(self, tags: set[str], scope: set[str]) -> None:
-        for k in range(len(self.open) - 1, 0, -1):
-            tag = self.tag[self.open[k]]
-            if tag in tags:
-                self._flush()
-                del self.open[k:]
-                return
-            if tag in scope:
-                return
+        """Closes the nearest open element of ``tags``, unless one of ``scope`` is nearer."""
+        at = self._nearest(tags)
+        if not at or self._nearest(scope - tags) > at:
+            return
+        self._flush()
+        for node in reversed(self.open[at:]):
+            self.places[self.tag[node]].pop()
+        del self.open[at:]
 
     def handle_starttag(self, tag, attrs):
         if self.silent:
-            self.silent += tag == self.silent_tag
+            if tag not in VOID:
+                self.inside[tag] = self.inside.get(tag, 0) + 1
             return
         if tag in SILENT:
-            self.silent, self.silent_tag = 1, tag
+            self.silent, self.inside = tag, {tag: 1}
             return
         if tag == "a":
             self.links += 1
@@ -114,6 +122,7 @@ class Tree(HTMLParser):
                         hints |= 1 << bit
             marked |= name == "data-keep"
         self.links = 0  # a block ends any link that was left open around it
+        self.places.setdefault(tag, []).append(len(self.open))
         self.open.append(self._node(tag, hints, "", 0, marked))
 
     def handle_startendtag(self, tag, attrs):
@@ -124,8 +133,14 @@ class Tree(HTMLParser):
 
     def handle_endtag(self, tag):
         if self.silent:
-            self.silent -= tag == self.silent_tag
-            return
+            if self.inside.get(tag):
+                self.inside[tag] -= 1
+                if tag == self.silent and not self.inside[tag]:
+                    self.silent = ""
+                return
+            if not self.places.get(tag):
+                return
+            self.silent = ""  # its parent ends, so it was never closed
         if tag == "a":
             self.links = max(0, self.links - 1)
         elif tag in BLOCK and tag not in ("html", "body"):

@@ -166,3 +166,30 @@ def test_main_text_of_pages(spark):
     assert right >= 36
     assert (got[100].text, got[100].n_chars, got[101].text) == ("", 0, "")
     assert all(r.n_chars == len(r.text) for r in got.values()) and len(got) == len(made) + len(odd)
+
+
+def test_no_text_is_lost_in_silent_elements():
+    """Only scripts, styles and the like are silent; one that is never closed ends with its parent."""
+    from tallygrid.llm import dom
+
+    def runs(html):
+        return [t for t in dom.Tree(html).text if t]
+
+    assert runs("<article><p>a</p><noscript><p>b</p><p>c</p></article>") == ["a", "b", "c"]
+    assert runs("<p>x <math><mi>E</mi></math> y</p>") == ["x E y"]
+    assert runs("<p>a<script>var b = '<p>c</p>';</script> d<style>p {}</style></p>") == ["a d"]
+    assert runs("<article><div><template><p>a</p></div><p>b</p></article>") == ["b"]
+    assert runs("<div><template><div>a</div><template>b</template></template>c</div>") == ["c"]
+    assert runs("<p>a <svg><text>b</text></svg><object>c</object><video>d</video> <iframe><p>e</p></iframe>f</p>") == ["a bcd f"]
+
+
+def test_depth_costs_no_more_than_length():
+    import time
+
+    from tallygrid.llm import dom
+
+    for html in ("<div>" * 100_000 + "x" + "</div>" * 100_000, "<div><span>" * 100_000 + "x", "<ul><li>" * 50_000 + "x", "<table><tr><td>" * 30_000 + "x", "<p>" * 100_000 + "x"):
+        began = time.time()
+        tree = dom.Tree(html)
+        dom.decode(tree, dom.features(tree)[:, 0] * 0 + 1)
+        assert time.time() - began < 15 and "x" in tree.text
