@@ -137,7 +137,7 @@ def index(docs: DataFrame, path: str) -> str:
                 df.update(tf.keys())
                 if len(known) > HELD:
                     known.clear()
-                for t in tf.keys() - known.keys():
+                for t in set(tf).difference(known):
                     known[t] = xxhash.xxh3_64_intdigest(t)
                 hashes = np.fromiter(map(known.__getitem__, tf), dtype=np.uint64, count=len(tf))
                 counts = np.fromiter(tf.values(), dtype=np.int64, count=len(tf))
