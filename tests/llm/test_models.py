@@ -67,6 +67,72 @@ def test_class_probabilities_sum_to_one(documents):
     assert abs((10**model.transition).sum(axis=1) - 1).max() < 1e-9
 
 
+def brute_score(rows, model):
+    """log10 of every text, word by word, from counts and the model's classes."""
+    counts = Counter(t for r in rows if crc(r.doc_id, 7) != 2 for t in tokens_of(r.text))
+    unit = lambda t: model.units.of_word(t.encode())
+    tokens, types, pairs = Counter(), Counter(), Counter()
+    for t, c in counts.items():
+        tokens[model.classes[unit(t)]] += c
+        types[model.classes[unit(t)]] += 1
+    for r in rows:
+        if crc(r.doc_id, 7) != 2:
+            line = [brown.CLASSES, *[model.classes[unit(t)] for t in tokens_of(r.text)]]
+            pairs.update(zip(line, line[1:]))
+    size, total = brown.CLASSES + 1, sum(pairs.values())
+    into, out = Counter(), Counter()
+    for (a, b), n in pairs.items():
+        out[a] += n
+        into[b] += n
+    for r in rows:
+        at, score = brown.CLASSES, 0.0
+        for t in tokens_of(r.text):
+            c = model.classes[unit(t)]
+            move = (pairs[at, c] + brown.SMOOTH * (into[c] + 1) / (total + size)) / (out[at] + brown.SMOOTH)
+            score += math.log10(move * (counts[t] + 1) / (tokens[c] + types[c] + 1))
+            at = c
+        yield str(r.doc_id), round(score, 3)
+
+
+def test_scores_agree_with_brute_force(odd, documents, monkeypatch):
+    held = []
+    made = brown.Model.__init__
+    monkeypatch.setattr(brown.Model, "__init__", lambda self, *a: held.append(self) or made(self, *a))
+    for frame in (odd, documents.where("doc_id < 60")):
+        got = brown.score(frame, remainder(F.col("doc_id"), 7) == 2).collect()
+        want = sorted(brute_score(frame.collect(), held[-1]))
+        mine = sorted((str(r.doc_id), round(r.score, 3)) for r in got)
+        assert len(mine) == len(want) and all(a[0] == b[0] and abs(a[1] - b[1]) < 0.01 + 1e-6 * abs(b[1]) for a, b in zip(mine, want))
+
+
+def test_every_word_above_the_floor_is_clustered(documents):
+    """All of them in a class by exchange, and no single move is left that would bring much."""
+    import numpy as np
+
+    counts = brown.word_counts(documents)
+    head = brown.head_of(counts)
+    total = counts.agg(F.sum("c")).head()[0]
+    units = brown.Units(head, total)
+    assert units.own == counts.where((F.col("c") >= brown.floor_of(total)) & (F.col("word") != F.lit(brown.END))).count() > 100
+    table = brown.neighbours(brown.bigrams(documents, documents.sparkSession.sparkContext.broadcast(units))).cache()
+    g, m = brown.exchange(table, units.size)
+    start = np.arange(units.size) % brown.CLASSES
+    start[-1] = brown.CLASSES
+    assert np.allclose(m, brown.class_pairs(table, g)) and m.sum() == total
+    assert brown.information(m) > brown.information(brown.class_pairs(table, start))
+    rows = [(r.unit, *(np.frombuffer(r[k], dtype=np.int64) for k in ("after", "after_n", "before", "before_n"))) for r in table.collect() if r.unit < units.size - 1]
+    again, counts_again = g.copy(), m.copy()
+    brown.moved(rows, again, counts_again)
+    before, after = brown.information(m), brown.information(counts_again)
+    assert after >= before and (after - before) < 0.02 * abs(before)
+
+
+def test_long_words_count_like_others(spark):
+    frame = spark.createDataFrame([(i, "x" * 5000 + " y " + "z" * 64) for i in range(20)], "doc_id long, text string")
+    got = brown.score(frame, F.lit(False)).collect()
+    assert {(r.n_tokens, r.n_known, round(r.base_score, 6)) for r in got} == {(4, 4, round(4 * math.log10(21 / 85), 6))}
+
+
 def test_scores_of_empty_tables(odd):
     nothing = odd.where("false")
     assert brown.score(nothing, F.lit(False)).count() == 0
