@@ -9,8 +9,10 @@ A text is rejected if its Mahalanobis distance is beyond the chi-square quantile
 Scale: a step is one aggregation over the small vector table. Rows are added up per
 pool and distance bin before the shuffle (a few hundred rows per pool and task,
 whatever the pool's size), so the inner share is exact to a bin's width and a pool
-with a third of all rows costs no more than others. Pools of fewer than ``POOL_ROWS``
-rows join the other small pools of their language, then those of all languages.
+with a third of all rows costs no more than others. A language and all rows together are pools
+as well: the estimates of a pair are drawn towards its language's, these towards those of all rows,
+and these towards ``SPREAD``, each as if the wider pool were ``PRIOR_ROWS`` rows more. So every text has a
+verdict, and the more rows a pool has, the more it rests on its own.
 """
 
 from __future__ import annotations
@@ -33,7 +35,8 @@ VECTOR = ("log_word_length", "symbols", "loud", "upper", "stops", "variety")
 COVERED, ALPHA = 0.75, 1e-9
 #: Concentration steps; distances settle after three or four.
 STEPS = 4
-POOL_ROWS = 200
+#: Rows that the wider pool counts for in the estimates of a pool, and the spread of every statistic where nothing is known.
+PRIOR_ROWS, SPREAD = 200, 0.15
 #: Added to every variance: a statistic that is zero in nearly all texts must not reject the first that has it once.
 FLOOR = 0.02**2
 BINS_PER_DOUBLING = 16
@@ -114,16 +117,6 @@ def _keys(lang: Column, source: Column) -> dict[str, Column]:
     }
 
 
-def pools(vectors: DataFrame, least: int = POOL_ROWS) -> DataFrame:
-    """The pool of every pair: its own, or its language's rest, or the rest of all, where rows are too few; else none."""
-    pairs = settle(vectors.where("NOT _failed").groupBy("_pair", "_one").agg(F.count("*").alias("n")))
-    rest = settle(pairs.where(F.col("n") < least).groupBy("_one").agg(F.sum("n").alias("rest")))
-    left = rest.where(F.col("rest") < least).agg(F.sum("rest")).head()[0] or 0
-    pool = F.when(F.col("n") >= least, F.col("_pair")).when(F.col("rest") >= least, F.concat(F.lit("rest "), F.col("_one")))
-    last = F.lit("rest") if left >= least else F.lit(None).cast("string")
-    return settle(_met(pairs, rest, ["_one"]).select("_pair", F.coalesce(pool, last).alias("_pool")))
-
-
 def _distance() -> Column:
     """Squared Mahalanobis distance of ``_x`` from the pool's ``_mu`` under its ``_inv`` (upper triangle)."""
     d = [F.col("_x")[i] - F.col("_mu")[i] for i in range(_P)]
@@ -153,27 +146,67 @@ def _estimate(bins: pd.DataFrame) -> pd.DataFrame:
     cov = np.zeros((_P, _P))
     for i, j in _PAIRS:
         cov[i, j] = cov[j, i] = bins[f"p{i}_{j}"].to_numpy()[:inside].sum() / total - mu[i] * mu[j]
-    inv = np.linalg.inv(cov * CONSISTENT + FLOOR * np.eye(_P))
-    return pd.DataFrame({"_pool": [bins["_pool"].iloc[0]], "_mu": [mu.tolist()], "_inv": [[float(inv[i, j]) for i, j in _PAIRS]]})
+    cov = cov * CONSISTENT + FLOOR * np.eye(_P)
+    return pd.DataFrame({"_pool": [bins["_pool"].iloc[0]], "_n": [int(n.sum())], "_mu": [mu.tolist()], "_cov": [_flat(cov)], "_inv": [_flat(np.linalg.inv(cov))]})
+
+
+def _flat(matrix: np.ndarray) -> list[float]:
+    """The upper triangle."""
+    return [float(matrix[i, j]) for i, j in _PAIRS]
+
+
+def _square(flat: list[float]) -> np.ndarray:
+    out = np.zeros((_P, _P))
+    for (i, j), v in zip(_PAIRS, flat):
+        out[i, j] = out[j, i] = v
+    return out
 
 
 def estimates(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
-    """Centre and inverse covariance per pool, from all vectors that pass the base rules."""
-    regular = vectors.where("NOT _failed AND _pool IS NOT NULL").select("_pool", "_x")
+    """(_pool, _n, _mu, _cov): rows, centre and covariance per pair, per language, and of all, from the vectors that pass the base rules."""
+    pools = F.array(F.col("_pair"), F.concat(F.lit("language "), F.col("_one")), F.lit("all"))
+    regular = settle(vectors.where("NOT _failed").select(F.explode(pools).alias("_pool"), "_x"))
     current = settle(_start(regular))
     sums = [F.count("*").alias("n"), *[F.sum(F.col("_x")[i]).alias(f"s{i}") for i in range(_P)]]
     sums += [F.sum(F.col("_x")[i] * F.col("_x")[j]).alias(f"p{i}_{j}") for i, j in _PAIRS]
     for _ in range(steps):
         near = F.floor(F.log2(_distance() + F.lit(2.0**-8)) * BINS_PER_DOUBLING).cast("int")
-        bins = _met(regular, current, ["_pool"]).withColumn("_bin", near).groupBy("_pool", "_bin").agg(*sums)
-        current = settle(bins.groupBy("_pool").applyInPandas(_estimate, "_pool string, _mu array<double>, _inv array<double>"))
-    return current
+        bins = _met(regular, current.select("_pool", "_mu", "_inv"), ["_pool"]).withColumn("_bin", near).groupBy("_pool", "_bin").agg(*sums)
+        current = settle(bins.groupBy("_pool").applyInPandas(_estimate, "_pool string, _n long, _mu array<double>, _cov array<double>, _inv array<double>"))
+    return current.select("_pool", "_n", "_mu", "_cov")
+
+
+def drawn(n: int, mu: np.ndarray, cov: np.ndarray, wider_mu: np.ndarray, wider_cov: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Centre and covariance of a pool's rows together with ``PRIOR_ROWS`` rows of the wider pool."""
+    own = n / (n + PRIOR_ROWS)
+    apart = mu - wider_mu
+    return own * mu + (1 - own) * wider_mu, own * cov + (1 - own) * wider_cov + own * (1 - own) * np.outer(apart, apart)
 
 
 def judged_pairs(vectors: DataFrame) -> DataFrame:
-    """Estimates for every pair of language and source, from its pool."""
-    of = pools(vectors)
-    return settle(_met(of, estimates(_met(vectors, of, ["_pair"])), ["_pool"]).select("_pair", "_mu", "_inv"))
+    """Centre and inverse covariance for every pair of language and source, drawn towards the wider pools'."""
+    found = estimates(vectors)
+    every = found.where(F.col("_pool") == "all").head()
+    nothing = vectors.sparkSession.createDataFrame([], "_pair string, _mu array<double>, _inv array<double>")
+    if every is None:
+        return nothing
+    own = settle(vectors.where("NOT _failed").select("_pair", "_one").distinct())
+    of = lambda k: found.select(F.col("_pool").alias(f"pool{k}"), *[F.col(f"_{c}").alias(f"{c}{k}") for c in ("n", "mu", "cov")])
+    met = own.join(of(0), F.col("_pair") == F.col("pool0")).join(of(1), F.concat(F.lit("language "), F.col("_one")) == F.col("pool1"))
+    top = drawn(every["_n"], np.array(every["_mu"]), _square(every["_cov"]), np.array(every["_mu"]), SPREAD**2 * np.eye(_P))
+
+    def rows(batches):
+        for batch in batches:
+            out = {"_pair": batch["_pair"], "_mu": [], "_inv": []}
+            for n0, mu0, cov0, n1, mu1, cov1 in zip(*(batch[f"{c}{k}"] for k in (0, 1) for c in ("n", "mu", "cov"))):
+                wider = drawn(n1, np.array(mu1), _square(cov1), *top)
+                mu, cov = drawn(n0, np.array(mu0), _square(cov0), *wider)
+                out["_mu"].append(mu.tolist())
+                out["_inv"].append(_flat(np.linalg.inv(cov)))
+            yield out
+
+    columns = [f"{c}{k}" for k in (0, 1) for c in ("n", "mu", "cov")]
+    return settle(map_batches(met.select("_pair", *columns), nothing.schema, rows))
 
 
 def _kept() -> Column:
@@ -183,8 +216,8 @@ def _kept() -> Column:
 def rules(docs: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
     """Per row: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, distance.
 
-    Null languages and sources are pools like others. Without enough rows for any pool there is
-    no verdict beyond the base rules: the text is kept, its distance null. Repeated rows count as
+    Null languages and sources are pools like others. Every text that passes the base rules has a distance and so a
+    verdict, however few rows there are; one that fails them may have none. Repeated rows count as
     often as they occur; an empty table gives an empty result.
     """
     named = docs.select(F.col("doc_id").cast("long"), "text", *[c.alias(k) for k, c in _keys(F.col(lang), F.col(source)).items()])

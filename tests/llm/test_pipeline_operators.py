@@ -315,3 +315,52 @@ def test_equal_windows_find_what_all_windows_find(monkeypatch):
         got = index.regions(text)
         assert [(r[0], r[3]) for r in got] == [(r[0], r[3]) for r in want]
         monkeypatch.setattr(decontaminate, "HITS", 1_000_000)
+
+
+def brute_estimate(x):
+    """Concentration steps on all rows of a pool, sorted by their distance."""
+    import numpy as np
+
+    p = x.shape[1]
+    low, mu, high = np.percentile(x, [25, 50, 75], axis=0, method="inverted_cdf")
+    inv = np.diag(1 / (((high - low) / 1.349) ** 2 + quality.FLOOR))
+    for _ in range(quality.STEPS):
+        d = np.einsum("ij,jk,ik->i", x - mu, inv, x - mu)
+        inner = x[np.argsort(d, kind="stable")[: int(np.ceil(quality.COVERED * len(x)))]]
+        mu = inner.mean(axis=0)
+        cov = ((inner - mu).T @ (inner - mu) / len(inner)) * quality.CONSISTENT + quality.FLOOR * np.eye(p)
+        inv = np.linalg.inv(cov)
+    return len(x), mu, cov
+
+
+def test_verdicts_agree_with_brute_force(spark):
+    """Pools of 600, 60 and 4 rows, with outliers in each; every text that passes the base rules has a distance."""
+    import numpy as np
+
+    texts = []
+    for i in range(664):
+        words = sentence(7000 + i, 60 + i % 90).split()
+        if i % 83 == 5:
+            words = [w.upper() + "#$|" for w in words]
+        texts.append((i, " ".join(w + ("." if k % (7 + i % 5) == 0 else "") for k, w in enumerate(words)), "en" if i < 660 else "fr", "big" if i < 600 else "small" if i < 660 else "tiny"))
+    frame = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality.rules(frame).collect()}
+    x = {i: np.array([stats.ratios(stats.counts(t), stats.shape(t))[quality.RATIO_AT[k]] for k in quality.VECTOR]) for i, t, _, _ in texts}
+    pool = lambda test: brute_estimate(np.array([x[i] for i, _, lang, source in texts if test(lang, source)]))
+    n, mu, cov = pool(lambda *a: True)
+    top = quality.drawn(n, mu, cov, mu, quality.SPREAD**2 * np.eye(len(mu)))
+    near, wrong = 0, 0
+    for lang, source in {(t[2], t[3]) for t in texts}:
+        wider = quality.drawn(*pool(lambda a, b: a == lang), *top)
+        mu, cov = quality.drawn(*pool(lambda a, b: (a, b) == (lang, source)), *wider)
+        for i in (t[0] for t in texts if t[2:] == (lang, source)):
+            d = float((x[i] - mu) @ np.linalg.inv(cov) @ (x[i] - mu))
+            assert got[i].distance is not None and not got[i].base_failed
+            near += abs(d - quality.CUT) < 0.15 * quality.CUT  # bins may decide otherwise there
+            wrong += (d <= quality.CUT) != got[i].kept and abs(d - quality.CUT) >= 0.15 * quality.CUT
+    assert not wrong and near < 10 and 5 <= sum(not r.kept for r in got.values()) <= 12
+
+
+def test_two_texts_have_verdicts(spark):
+    frame = spark.createDataFrame([(1, sentence(1, 90), "en", "a"), (2, sentence(2, 80), None, None)], "doc_id long, text string, lang string, source string")
+    assert [(r.kept, r.distance is not None) for r in quality.rules(frame).collect()] == [(True, True)] * 2
