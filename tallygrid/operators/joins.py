@@ -1,14 +1,17 @@
 """Lookups and restrictions.
 
 No broadcast hints: sizes are checked at run time by adaptive execution, which
-turns a small side into a broadcast and splits skewed partitions otherwise.
+turns a small side into a broadcast and splits skewed partitions otherwise. It splits
+a hot key only where both sides come straight from an exchange. A side that has just been
+reduced to one row per key has none left, so such joins also compare a hash of the key
+(``on_key``): the reduced side is then dealt out once more, small as it is, and the hot key of the other is split.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallygrid.operators.columns import quoted
 
@@ -19,6 +22,30 @@ def _pairs(on: str | Sequence[str] | dict[str, str]) -> dict[str, str]:
     return dict(on) if isinstance(on, dict) else {c: c for c in on}
 
 
+def _comparable(left: T.DataType, right: T.DataType) -> str | None:
+    """The type in which equal keys have equal hashes; none where an implicit cast decides what is equal."""
+    if left == right:
+        return left.simpleString()
+    return "bigint" if isinstance(left, T.IntegralType) and isinstance(right, T.IntegralType) else None
+
+
+def on_key(left: DataFrame, right: DataFrame, pairs: dict[str, str], how: str, step: int = 0) -> DataFrame:
+    """Equi-join with a right side that was reduced by the same keys; a hot key of the left side can be split.
+
+    ``pairs`` names the key columns, which differ between the sides; those of the right side go. Joins that
+    follow each other over the same key number their ``step``, so that the hashes differ.
+    """
+    test = [quoted(a) == quoted(b) for a, b in pairs.items()]
+    types = [_comparable(left.schema[a].dataType, right.schema[b].dataType) for a, b in pairs.items()]
+    drop = [b for b in pairs.values() if b in right.columns]
+    if all(types):
+        right = right.withColumn("_hash", F.xxhash64(F.lit(step), *[quoted(b).cast(t) for b, t in zip(pairs.values(), types)]))
+        test.append(F.xxhash64(F.lit(step), *[quoted(a).cast(t) for a, t in zip(pairs, types)]) == F.col("_hash"))
+        drop.append("_hash")
+    joined = left.join(right, test, how)
+    return joined if how == "left_semi" else joined.drop(*drop)
+
+
 def lookup(fact: DataFrame, dim: DataFrame, on, columns: Sequence[str]) -> DataFrame:
     """Add columns of a dimension; orphans keep their row with empty values."""
     pairs = _pairs(on)
@@ -37,8 +64,9 @@ def with_dim(fact: DataFrame, dim: DataFrame, on, columns: Sequence[str]) -> Dat
 def lookup_keys(df: DataFrame, dim: DataFrame, on, key: str) -> DataFrame:
     """Surrogate-key lookup; the dimension is reduced to one key per business key."""
     pairs = _pairs(on)
-    one = dim.groupBy(*[quoted(k) for k in pairs.values()]).agg(F.min(quoted(key)).alias(key))
-    return lookup(df, one, pairs, [key])
+    named = [quoted(k).alias(f"_k{i}") for i, k in enumerate(pairs.values())]
+    one = dim.groupBy(*named).agg(F.min(quoted(key)).alias(key))
+    return on_key(df, one, {s: f"_k{i}" for i, s in enumerate(pairs)}, "left")
 
 
 def join_expand(a: DataFrame, b: DataFrame, on, columns: Sequence[str]) -> DataFrame:
@@ -50,8 +78,7 @@ def restrict_by(df: DataFrame, values: DataFrame, on) -> DataFrame:
     """Keep rows whose key occurs in another table (virtual relationship)."""
     pairs = _pairs(on)
     right = values.select(*[quoted(k).alias(f"_k{i}") for i, k in enumerate(pairs.values())])
-    test = [quoted(s) == F.col(f"_k{i}") for i, s in enumerate(pairs)]
-    return df.join(right.distinct(), test, "left_semi")
+    return on_key(df, right.distinct(), {s: f"_k{i}" for i, s in enumerate(pairs)}, "left_semi")
 
 
 def narrow_dim(dim: DataFrame, fact: DataFrame, on) -> DataFrame:
@@ -75,4 +102,4 @@ def with_dim_by_text(fact: DataFrame, dim: DataFrame, fact_text: Column, dim_tex
     right = dim.groupBy(text_key(dim_text).alias("_text")).agg(
         *[F.min(quoted(c)).alias(c) for c in columns]
     )
-    return fact.join(right, text_key(fact_text) == F.col("_text"), "left").drop("_text")
+    return on_key(fact.withColumn("_own_text", text_key(fact_text)), right, {"_own_text": "_text"}, "left").drop("_own_text")

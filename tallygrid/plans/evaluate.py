@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallygrid.operators.joins import on_key
 from tallygrid.plans.metric import Base, Metric, Pred, bases
 from tallygrid.plans.model import Model, Relationship, Route, split_ref
 
@@ -83,7 +84,7 @@ class _Frame:
     def _restricted(self, df: DataFrame) -> DataFrame:
         """The fact's rows that the filtered tables keep, one semi-join per step of the way, and those that ``treat`` keeps.
 
-        The kept side comes as plain rows: it gets an exchange of its own, so a key with very many rows is split.
+        A key with very many rows is split (``on_key``), also where the next step goes over the same key.
         """
         for route, preds in self.restrictions.items():
             here, column = route[0]
@@ -91,8 +92,7 @@ class _Frame:
             kept = _Frame(self.model, [Base(holder, "rows")], [], list(preds)).rows_of(key)
             for step, (table, own) in enumerate((split_ref(there) for _, there in route), 1):
                 rows = df if step == len(route) else self.model.table(table)
-                test = F.col(f"`{own}`") == F.col("_held")
-                rows = rows.join(kept.select(F.col("_key").alias("_held")), test, "left_semi")
+                rows = on_key(rows, kept.select(F.col("_key").alias("_held")), {own: "_held"}, "left_semi", step)
                 if step < len(route):
                     kept = rows.select(F.col(f"`{split_ref(route[step][0])[1]}`").alias("_key"))
             df = rows
