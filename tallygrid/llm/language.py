@@ -110,7 +110,8 @@ def profiles(rows: DataFrame, k: int = PROFILE) -> DataFrame:
     source = rows.select(F.col("lang").cast("string"), letters_only(whole_text()).alias("text"))
     total = map_batches(source, "lang string, code long, n long", count).groupBy("lang", "code").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
-    return total.withColumn("rank", rank - 1).where(F.col("rank") < k)
+    # the limit stands on the row number itself, so every task cuts its own n-grams before they meet
+    return total.withColumn("rank", rank).where(F.col("rank") <= k).withColumn("rank", F.col("rank") - 1)
 
 
 class Compared:
