@@ -937,16 +937,51 @@ def date_dimension(spark, sf_dir):
     )
 
 
+_MONTHS = "['januari', 'februari', 'maart', 'april', 'mei', 'juni', 'juli', 'augustus', 'september', 'oktober', 'november', 'december']"
+_MONTHS_SHORT = "['jan', 'feb', 'mrt', 'apr', 'mei', 'jun', 'jul', 'aug', 'sep', 'okt', 'nov', 'dec']"
+_DAYS = "['zondag', 'maandag', 'dinsdag', 'woensdag', 'donderdag', 'vrijdag', 'zaterdag']"
+_LABELS = {
+    "WeekDagNaam": f"{_DAYS}[dayofweek(d) + 1]", "WeekDagNaamKort": f"{_DAYS}[dayofweek(d) + 1][1:2]",
+    "WeekNummer": "CAST(floor((dayofyear(d) + dayofweek(make_date(year(d), 1, 1)) - 1) / 7) AS BIGINT) + 1", "ISOJaar": "isoyear(d)",
+    "MaandNaam": f"{_MONTHS}[month(d)]", "MaandNaamKort": f"{_MONTHS_SHORT}[month(d)]", "KwartaalNaam": "'Q' || quarter(d)",
+    "JaarWeekNaam": "year(d) || '-w' || weekofyear(d)", "JaarWeekNaamKort": "'w' || weekofyear(d) || '-' || strftime(d, '%y')",
+    "WeekNaamKort": "'w' || weekofyear(d)", "WeekNaamLang": "'week ' || weekofyear(d)", "HuidigWeekNr": "weekofyear(n)",
+    "VorigeWeekLang": "year(n - 7) || '-w' || weekofyear(n - 7)", "MaandJaar": f"{_MONTHS_SHORT}[month(d)] || ' ' || strftime(d, '%y')",
+    "EersteDagVanJaar": "make_date(year(d), 1, 1)", "RelatiefWeekNr": "CAST(((n - CAST(dayofweek(n) AS INT)) - (d - CAST(dayofweek(d) AS INT))) / 7 AS BIGINT)",
+    "RelatiefDagNr": "n - d", "WeekdagNrRelatief": "CASE WHEN dayofweek(d) <= dayofweek(n) THEN dayofweek(d) + dayofweek(n) + 3 ELSE dayofweek(d) - dayofweek(n) END",
+    "IsVerleden": "CAST(d < n AS BIGINT)", "IsHuidigeMaand": "CAST(month(d) = month(n) AS BIGINT)", "BoekjaarNr": "year(d) + CASE WHEN month(d) >= 5 THEN 1 ELSE 0 END",
+    "BoekmaandNr": "(month(d) + 7) % 12 + 1", "BoekmaandNaamKort": f"{_MONTHS_SHORT}[month(d)]", "BoekmaandNaamLang": f"{_MONTHS}[month(d)]",
+    "Iteratie": "s || '-' || (s + 1)", "JaarIteratie": "year(d) || '/' || s || '-' || (s + 1)", "IteratieStartWeek": "s", "IteratieEindWeek": "s + 1",
+    "VolgendeIteratie": "(s + 2) || '-' || (s + 3)", "VorigeIteratie": "(s - 2) || '-' || (s - 1)",
+}
+
+
+@query(
+    "date_dimension_labels",
+    f"""
+    WITH b AS (SELECT make_date(year(min(o_orderdate)), 1, 1) AS a, make_date(year(max(o_orderdate)), 12, 31) AS z FROM orders),
+    y AS (SELECT CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(z AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d FROM b),
+    x AS (SELECT d, DATE '1998-06-15' AS n, weekofyear(d) - CASE WHEN weekofyear(d) % 2 = 0 THEN 1 ELSE 0 END AS s FROM y)
+    SELECT d AS "Datum", {", ".join(f'{e} AS "{c}"' for c, e in _LABELS.items())} FROM x
+    """,
+)
+def date_dimension_labels(spark, sf_dir):
+    """The columns that ``date_dimension`` leaves out: labels, fiscal names, iterations, distances from today."""
+    days = dates.calendar_for(read(spark, sf_dir, "orders"), "o_orderdate")
+    return dates.date_attributes(days, AS_OF).select("Datum", *_LABELS)
+
+
 @query(
     "generated_calendar_levels",
     """
     WITH b AS (SELECT make_date(year(min(ts)), 1, 1) AS a, make_date(year(max(ts)), 12, 31) AS z FROM events),
     x AS (SELECT CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(z AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d FROM b)
-    SELECT d AS "Datum", year(d) AS "Year", month(d) AS "MonthNo", quarter(d) AS "QuarterNo", 'Qtr ' || quarter(d) AS "Quarter", day(d) AS "Day" FROM x
+    SELECT d AS "Datum", year(d) AS "Year", month(d) AS "MonthNo", quarter(d) AS "QuarterNo", 'Qtr ' || quarter(d) AS "Quarter", day(d) AS "Day",
+           """ + _MONTHS + """[month(d)] AS "Month" FROM x
     """,
 )
 def calendar_levels(spark, sf_dir):
-    return dates.calendar_levels(dates.calendar_for(read(spark, sf_dir, "events"), "ts")).drop("Month")
+    return dates.calendar_levels(dates.calendar_for(read(spark, sf_dir, "events"), "ts"))
 
 
 @query(

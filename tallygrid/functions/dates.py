@@ -197,6 +197,8 @@ def date_attributes(days: DataFrame, as_of: dt.date | str) -> DataFrame:
     start_week = iteration_start(d)
     span = lambda a: F.concat_ws("-", a.cast("string"), (a + 1).cast("string"))
     fiscal = fiscal_year(d)
+    text = lambda c: c.cast("string")
+    last_week = F.date_sub(now, 7)
     attributes = days.select(
         d,
         date_number(d).alias("DatumKey"),
@@ -221,6 +223,12 @@ def date_attributes(days: DataFrame, as_of: dt.date | str) -> DataFrame:
         F.concat_ws("-", year.cast("string"), F.concat(F.lit("w"), week.cast("string"))).alias(
             "JaarWeekNaam"
         ),
+        F.concat(F.lit("w"), text(week), F.lit("-"), F.date_format(d, "yy")).alias("JaarWeekNaamKort"),
+        F.concat(F.lit("w"), text(week)).alias("WeekNaamKort"),
+        F.concat(F.lit("week "), text(week)).alias("WeekNaamLang"),
+        this_week.alias("HuidigWeekNr"),
+        # the calendar year with the ISO week, as for every day's own label
+        F.concat(text(F.year(last_week)), F.lit("-w"), text(F.weekofyear(last_week))).alias("VorigeWeekLang"),
         month_label(d).alias("MaandJaar"),
         F.trunc(d, "month").alias("EersteDagVanMaand"),
         F.last_day(d).alias("LaatsteDagVanMaand"),
@@ -250,6 +258,8 @@ def date_attributes(days: DataFrame, as_of: dt.date | str) -> DataFrame:
         fiscal.alias("BoekjaarNr"),
         F.concat_ws("-", (fiscal - 1).cast("string"), fiscal.cast("string")).alias("BoekjaarNaam"),
         fiscal_month(d).alias("BoekmaandNr"),
+        label(month, MONTHS_SHORT).alias("BoekmaandNaamKort"),
+        label(month, MONTHS).alias("BoekmaandNaamLang"),
         span(start_week).alias("Iteratie"),
         F.concat_ws("/", year.cast("string"), span(start_week)).alias("JaarIteratie"),
         start_week.alias("IteratieStartWeek"),
