@@ -18,6 +18,7 @@ from tallygrid.operators import quality as qu
 from tallygrid.plans import builders
 from tallygrid.session import scratch_path
 from tallygrid.sources import costs, readers, writers
+from tallygrid.sources.day_view import DayView
 
 LOADED_AT = "2024-02-01T06:00:00"
 FIRST, LAST = dt.date(2023, 11, 1), dt.date(2024, 2, 29)
@@ -127,6 +128,13 @@ def _clean(spark, sf_dir: str):
     )
 
 
+def _staged(df):
+    """The frame as a written table, so that several loads of it do not parse the export again."""
+    path = scratch_path(df.sparkSession, "cleaned")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 @query(
     "cost_view_backfilled",
     f"""
@@ -141,6 +149,41 @@ def cost_view_backfilled(spark, sf_dir):
     return readers.read_table(spark, target).select(costs.VIEW_COLUMNS)
 
 
+@query(
+    "cost_days_backfilled",
+    f"""
+    SELECT * FROM ({_VIEW}) QUALIFY row_number() OVER (PARTITION BY date, "subscriptionName", "SubscriptionId", "resourceGroupName",
+        "costInBillingCurrency" ORDER BY "servicePeriodStartDate" DESC, "Debiteurnummer" DESC) = 1
+    """,
+)
+def cost_days_backfilled(spark, sf_dir):
+    """The view kept by day: a first load without some units, then a reload of everything, merged day by day."""
+    root, cleaned = scratch_path(spark, "days"), _staged(_clean(spark, sf_dir))
+    for part in (cleaned.filter("BusinessUnit <> 'view'"), cleaned, cleaned):
+        costs.backfill_days(spark, part, root)
+    return DayView(spark, root).read().select(costs.VIEW_COLUMNS)
+
+
+@query(
+    "cost_days_appended",
+    f"""
+    WITH v AS ({_VIEW})
+    SELECT CAST(strptime(date, '%m/%d/%Y') AS DATE) AS day, count(*) AS rows, round(sum("costInBillingCurrency"), 4) AS cost,
+           count(*) AS stored FROM v GROUP BY 1
+    """,
+)
+def cost_days_appended(spark, sf_dir):
+    """Loads by day in any order, each twice; a part of every day first, so that whole days replace them. Rows of each day as the view and its newest version tell them."""
+    root, cleaned = scratch_path(spark, "days"), _staged(_clean(spark, sf_dir))
+    halves = F.expr("dayofmonth(try_to_date(date, 'MM/dd/yyyy')) % 2 = 0")
+    for part in (cleaned.filter(~halves & (F.col("BusinessUnit") <> "view")), cleaned.filter(halves), cleaned, cleaned):
+        costs.append_days(spark, part, root)
+    view = DayView(spark, root)
+    held = view.read().groupBy(F.expr("to_date(date, 'MM/dd/yyyy')").alias("day")).agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.sum("costInBillingCurrency"), 4).alias("cost"))
+    return held.join(view.manifest().select("day", F.col("rows").alias("stored")), "day")
+
+
 @query(
     "cost_view_appended",
     _VIEW,

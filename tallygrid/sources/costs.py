@@ -13,6 +13,7 @@ from tallygrid.operators.nested import parse_tags, widen_map
 from tallygrid.operators.quality import table_exists, track_schema
 from tallygrid.operators.sets import merge_backfill
 from tallygrid.session import scratch_path
+from tallygrid.sources.day_view import DayView
 from tallygrid.sources.readers import read_months, read_table
 from tallygrid.sources.writers import overwrite_in_place, replace_partition, write_table
 
@@ -62,6 +63,16 @@ def cost_view(costs: DataFrame) -> DataFrame:
     return select_columns(costs, VIEW_COLUMNS)
 
 
+def append_days(spark: SparkSession, costs: DataFrame, root: str) -> bool:
+    """Bring the days of a load into the view kept by day at ``root``: only days that are new or differ are written."""
+    return DayView(spark, root).append(cost_view(costs))
+
+
+def backfill_days(spark: SparkSession, costs: DataFrame, root: str) -> bool:
+    """Merge a reload into the view kept by day: one row per key, the new one if both exist; other days are not opened."""
+    return DayView(spark, root).merge(cost_view(costs), VIEW_KEYS)
+
+
 def backfill_view(spark: SparkSession, costs: DataFrame, target: str) -> None:
     """Merge a full reload into the view: one row per key, the new one if both exist."""
     new = cost_view(costs)
