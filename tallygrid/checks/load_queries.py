@@ -176,7 +176,7 @@ def cost_days_appended(spark, sf_dir):
     """Loads by day in any order, each twice; a part of every day first, so that whole days replace them. Rows of each day as the view and its newest version tell them."""
     root, cleaned = scratch_path(spark, "days"), _staged(_clean(spark, sf_dir))
     halves = F.expr("dayofmonth(try_to_date(date, 'MM/dd/yyyy')) % 2 = 0")
-    for part in (cleaned.filter(~halves & (F.col("BusinessUnit") <> "view")), cleaned.filter(halves), cleaned, cleaned):
+    for part in (cleaned.filter(~halves & (F.col("BusinessUnit") != "view")), cleaned.filter(halves), cleaned, cleaned):
         costs.append_days(spark, part, root)
     view = DayView(spark, root)
     held = view.read().groupBy(F.expr("to_date(date, 'MM/dd/yyyy')").alias("day")).agg(

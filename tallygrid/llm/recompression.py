@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
@@ -48,6 +49,8 @@ CHAIN = 4
 BROADCAST_IDS = 100_000
 #: Words whose hashes a task remembers.
 REMEMBERED = 400_000
+#: Compressed bytes of text that a task works on at a time (or one text): some 200,000 words, at 200 to 300 bytes each.
+PIECE = 300_000
 
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 _FAR = np.int64(1 << 60)
@@ -70,22 +73,23 @@ def joined(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
 
 
 class Words:
-    """128-bit hashes of words as two arrays; remembers those of frequent words."""
+    """128-bit hashes of words as two arrays; remembers those it has seen, up to ``REMEMBERED``."""
 
     def __init__(self):
-        self.known: dict[bytes, tuple[int, int]] = {}
+        self.place: dict[bytes, int] = {}
+        self.hashes = np.zeros((0, 2), dtype=np.uint64)
 
     def lanes(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        for w in set(tokens).difference(known):
-            d = xxhash.xxh3_128_intdigest(w)
-            known[w] = (d & 0xFFFFFFFFFFFFFFFF, d >> 64)
-        index = dict(zip(dict.fromkeys(tokens), itertools.count()))
-        table = np.array([known[w] for w in index], dtype=np.uint64).reshape(-1, 2)
-        at = np.fromiter(map(index.__getitem__, tokens), dtype=np.int64, count=len(tokens))
-        return table[at, 0], table[at, 1]
+        fresh = set(tokens).difference(self.place)
+        if len(self.place) + len(fresh) > REMEMBERED and self.place:
+            self.__init__()
+            fresh = set(tokens)
+        if fresh:
+            self.place.update(zip(fresh, itertools.count(len(self.place))))
+            digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, fresh)), dtype=np.uint64).reshape(-1, 2)
+            self.hashes = np.concatenate((self.hashes, digests))
+        at = np.fromiter(map(self.place.__getitem__, tokens), dtype=np.int64, count=len(tokens))
+        return self.hashes[at, 0], self.hashes[at, 1]
 
 
 class Level:
@@ -200,8 +204,29 @@ def anchors(name: np.ndarray, part: np.ndarray, window: int = WINDOW, rounds: in
 #: What a row says: an occurrence to be met by name, windows that are repeats, windows that are open.
 MEET, REPEAT, OPEN = 0, 1, 2
 REF = ("none", "doc_id", "h", "at")
-ROW = "kind byte, name long, c1 long, c2 long, several boolean, none byte, doc_id long, h long, at int, more int"
-COLUMNS = ("kind", "name", "c1", "c2", "several", *REF, "more")
+#: ``pack`` holds at, more, several and kind (31, 29, 1 and 2 bits), so that rows sort by place and travel small.
+ROW = "name long, c1 long, c2 long, none byte, doc_id long, h long, pack long"
+TOLD = "kind byte, none byte, doc_id long, h long, at int, more int"
+
+
+def packed_places(at: np.ndarray, more: np.ndarray, several: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    return at.astype(np.int64) << 32 | more.astype(np.int64) << 3 | several.astype(np.int64) << 2 | kind
+
+
+def unpacked(pack: np.ndarray) -> dict[str, np.ndarray]:
+    return {"at": (pack >> 32).astype(np.int32), "more": ((pack & 0xFFFFFFFF) >> 3).astype(np.int32), "several": (pack >> 2 & 1).astype(bool), "kind": (pack & 3).astype(np.int8)}
+
+
+def pieces(batches: Iterator[pa.RecordBatch], most: int = PIECE) -> Iterator[pa.RecordBatch]:
+    """The batches, cut where they hold more than ``most`` bytes of compressed text."""
+    for batch in batches:
+        sizes = np.cumsum(pa.compute.binary_length(batch.column("z")).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(sizes):
+            before = sizes[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(sizes, before + most, "right")))
+            yield batch.slice(at, end - at)
+            at = end
 
 
 class Texts:
@@ -249,15 +274,14 @@ def settled(texts: Texts, start: np.ndarray, more: np.ndarray, name, c1, c2, exa
     n = (int(meet.sum()), len(s), int(open_.sum()))
     spread = mixed(starts[n[0] :].astype(np.uint64) + texts.ids[part[n[0] :]].view(np.uint64))  # these need no meeting, so they go anywhere
     blank = np.zeros(n[1] + n[2], dtype=np.uint64)
+    kinds = np.repeat(np.array([MEET, REPEAT, OPEN], dtype=np.int64), n)
+    flags = np.concatenate((several[meet] & (not exact), np.zeros(n[1] + n[2], dtype=bool)))
     return {
-        "kind": np.repeat(np.array([MEET, REPEAT, OPEN], dtype=np.int8), n),
         "name": np.concatenate((name[meet], spread)).view(np.int64),
         "c1": np.concatenate((c1[meet], blank)).view(np.int64),
         "c2": np.concatenate((c2[meet], blank)).view(np.int64),
-        "several": np.concatenate((several[meet] & (not exact), np.zeros(n[1] + n[2], dtype=bool))),
         "none": texts.none[part], "doc_id": texts.ids[part], "h": texts.hs[part],
-        "at": (starts - texts.first[part]).astype(np.int32),
-        "more": np.concatenate((more[meet], e - s, more[open_])).astype(np.int32),
+        "pack": packed_places(starts - texts.first[part], np.concatenate((more[meet], e - s, more[open_])), flags, kinds),
     }
 
 
@@ -293,12 +317,13 @@ def met(rows: DataFrame) -> DataFrame:
 
     Rows come sorted by name, surroundings and place; of a name that goes on in the next batch one row is remembered.
     """
-    ordered = rows.repartition("name").sortWithinPartitions("name", "c1", "c2", *REF)
+    ordered = rows.repartition("name").sortWithinPartitions("name", "c1", "c2", "none", "doc_id", "h", "pack")
 
     def tell(batches: Iterator[pa.RecordBatch]):
         held = None
         for batch in batches:
-            x = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in COLUMNS}
+            x = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in ("name", "c1", "c2", "none", "doc_id", "h", "pack")}
+            x |= unpacked(x.pop("pack"))
             aside = x["kind"] != MEET
             out = [{k: x[k][aside] for k in ("kind", *REF, "more")}]
             x = {k: v[~aside] for k, v in x.items()}
@@ -324,7 +349,7 @@ def met(rows: DataFrame) -> DataFrame:
                 held["several"] = one
             yield {k: np.concatenate([o[k] for o in out]) for k in out[0]}
 
-    return map_arrow(ordered, "kind byte, none byte, doc_id long, h long, at int, more int", tell)
+    return map_arrow(ordered, TOLD, tell)
 
 
 # ------------------------------------------------------------------ operator
@@ -346,7 +371,7 @@ def packed(docs: DataFrame) -> DataFrame:
     """Keyed rows with their text compressed, so that it is shuffled at a third of its size."""
 
     def rows(batches: Iterator[pa.RecordBatch]):
-        pack = zstandard.ZstdCompressor(level=1).compress
+        pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             texts = batch.column("text")
             yield {k: batch.column(k) for k in ("none", "doc_id", "h")} | {"z": [pack(texts[i].as_py().encode("utf-8", "surrogatepass")) for i in range(len(texts))]}
@@ -368,18 +393,18 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def first_look(batches: Iterator[pa.RecordBatch]):
         cache = Words()
-        for batch in batches:
+        for batch in pieces(batches):
             yield occurrences(Texts(batch, cache), window)
 
     def second_look(batches: Iterator[pa.RecordBatch]):
         cache = Words()
-        for batch in batches:
+        for batch in pieces(batches):
             texts, ranges = Texts(batch, cache), batch.column("ranges")
             yield windows(texts, [[(r["at"], r["more"]) for r in ranges[int(i)].as_py()] for i in texts.rows], window)
 
     def cut(batches: Iterator[pa.RecordBatch]):
         unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
+        for batch in pieces(batches):
             out = {"doc_id": [], "n_words": [], "removed": [], "kept": []}
             for none, doc_id, z, ranges in zip(*(batch.column(k).to_pylist() for k in ("none", "doc_id", "z", "ranges"))):
                 tokens = unpack(z).split()
