@@ -23,6 +23,7 @@ from tallygrid.plans import period as t
 from tallygrid.plans.catalogue import operations as ops
 from tallygrid.plans.catalogue.sprint import sprint_old
 from tallygrid.plans.cumulative import evaluate_ytd
+from tallygrid.session import scratch_path
 from tallygrid.plans.evaluate import evaluate
 from tallygrid.plans.period import Period
 from tallygrid.sources.readers import literal_table
@@ -143,6 +144,26 @@ def tags_widened(spark, sf_dir):
     return ne.widen_map(ne.parse_tags(raw, "tags"), "tags").drop("tags")
 
 
+_OPEN_TAGS = (
+    "'{\"Debiteurnummer\": \"' || user_id || '\", \"Business Unit\": \"' || event_type || '\", \"meter ' || event_id || '\": \"' || event_type || '\"}'"
+)
+
+
+@query(
+    "tags_open_ended",
+    """
+    SELECT event_id, CAST(user_id AS VARCHAR) AS Debiteurnummer, event_type AS Business_Unit, 'meter ' || event_id AS key, event_type AS value
+    FROM events
+    """,
+)
+def tags_open_ended(spark, sf_dir):
+    """As many keys as rows: those that most rows hold become columns, the others rows of a long table."""
+    raw = read(spark, sf_dir, "events").select("event_id", F.expr(_OPEN_TAGS).alias("tags"))
+    tags = ne.parse_tags(raw, "tags")
+    wide, rest = ne.split_map(tags, "tags", ne.update_keys(tags, "tags", scratch_path(spark, "keys"), 0.5), ["event_id"])
+    return wide.join(rest, "event_id")
+
+
 @query(
     "tag_values_by_key",
     """

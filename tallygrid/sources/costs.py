@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallygrid.functions.dates import parse_date, to_day
 from tallygrid.operators.aggregates import dedupe
 from tallygrid.operators.columns import drop_columns, safe_names, select_columns
-from tallygrid.operators.nested import parse_tags, widen_map
+from tallygrid.operators.nested import parse_tags, split_map, update_keys, widen_map
 from tallygrid.operators.quality import table_exists, track_schema
 from tallygrid.operators.sets import merge_backfill
 from tallygrid.session import scratch_path
@@ -58,6 +58,30 @@ def load_costs(
     return version
 
 
+def load_costs_open(
+    spark: SparkSession, root: str, target: str, dictionary: str, start: dt.date | str, end: dt.date | str,
+    captured_at: dt.datetime | str, share: float = 0.01,
+) -> int:
+    """As ``load_costs``, for tags whose keys are open-ended; returns the schema version.
+
+    Tags that ``share`` of the rows or more hold become columns. All others go to ``<target>_tags`` as rows (parsed_date,
+    row_id, key, value), by day as the costs are. ``<target>_keys`` remembers every key, so a column stays one.
+    """
+    first, last = to_day(start), to_day(end)
+    raw = read_months(spark, root, first, last)
+    version = track_schema(raw, dictionary, last.isoformat(), captured_at)
+    rows = raw.withColumn("parsed_date", parse_date(F.col("date"))).filter(F.col("parsed_date").between(F.lit(first), F.lit(last)))
+    rows = parse_tags(rows, "tags", "tags_json").withColumn("row_id", F.monotonically_increasing_id())
+    staged = scratch_path(spark, "costs")
+    rows.write.parquet(staged)  # the row numbers are fixed from here on
+    rows = spark.read.parquet(staged)
+    wide, rest = split_map(rows, "tags_json", update_keys(rows, "tags_json", f"{target}_keys", share), ["parsed_date", "row_id"])
+    days = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
+    replace_partition(drop_columns(safe_names(wide, unique=True), HIDDEN), target, "parsed_date", days)
+    replace_partition(rest, f"{target}_tags", "parsed_date", days)
+    return version
+
+
 def cost_view(costs: DataFrame) -> DataFrame:
     """The eight columns that reports use."""
     return select_columns(costs, VIEW_COLUMNS)

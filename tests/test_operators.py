@@ -103,6 +103,22 @@ def test_tags_widen_and_rebuild(spark):
     assert ne.widen_map(df, "t", [], rest="others").where("size(others) = 2").count() == 2
 
 
+def test_a_million_keys_need_no_column(spark, folder):
+    """200,000 rows of five keys that no other row has, and one that all have; the next load makes one more frequent."""
+    keys = [x for k in range(5) for x in (F.concat(F.lit(f"k{k} "), "id"), F.lit(f"v{k}"))]
+    many = spark.range(200_000).select("id", F.create_map(*keys, F.lit("unit"), F.lit("u")).alias("m"))
+    assert ne.update_keys(many, "m", f"{folder}/keys", 0.01) == ["unit"]
+    assert spark.read.parquet(f"{folder}/keys").count() == 1_000_001
+    wide, rest = ne.split_map(many, "m", ["unit"], ["id"])
+    assert wide.columns == ["id", "unit"] and wide.where("unit = 'u'").count() == 200_000
+    assert rest.count() == 1_000_000 and rest.where("id = 7").orderBy("key").collect()[2][1:] == ("k2 7", "v2")
+    few = spark.createDataFrame([(1, {"k0 7": "x"}), (2, None), (3, {"hidden-link: z": "1"})], "id long, m map<string,string>")
+    assert ne.update_keys(few, "m", f"{folder}/keys", 0.3) == ["k0 7", "unit"]
+    wide, rest = ne.split_map(few, "m", ["k0 7", "unit"], ["id"])
+    assert [tuple(r) for r in wide.orderBy("id").collect()] == [(1, "x", None), (2, None, None), (3, None, None)]
+    assert [tuple(r) for r in rest.collect()] == [(3, "hidden-link: z", "1")]
+
+
 def test_any_number_of_tags(spark, folder):
     many = spark.range(6000).select(F.create_map(F.concat(F.lit("k"), "id"), F.lit("x")).alias("m"))
     assert len(ne.map_key_set(many, "m")) == 6000

@@ -66,6 +66,21 @@ def test_load_is_idempotent_and_covers_the_range(spark, root, folder):
     assert load(spark, root, folder, "2024-01-30", "2024-01-31") == {("2024-01-31", "3", "8"), ("2024-02-01", "4", "7")}
 
 
+@pytest.mark.parametrize("share", [0.9, 1.1])
+def test_load_with_open_ended_tags(spark, root, folder, share):
+    """Tags of few rows (with a share above 1: all) are rows of their own; a rerun changes nothing; no tag is lost."""
+    for _ in range(2):
+        costs.load_costs_open(spark, root, f"{folder}/costs", f"{folder}/dictionary", "2024-01-30", "2024-02-01", "t", share=share)
+        table, wide = readers.read_table(spark, f"{folder}/costs"), {r.key for r in spark.read.parquet(f"{folder}/costs_keys").where("wide").collect()}
+        held = {(str(r.parsed_date), r.costInBillingCurrency, r.row_id) for r in table.collect()}
+        assert {x[:2] for x in held} == {("2024-01-30", "1.5"), ("2024-01-31", "2"), ("2024-02-01", "4")} and ("Debiteurnummer" in wide) == (share < 1)
+        if share < 1:
+            assert {r.Debiteurnummer for r in table.collect()} == {"7"}
+        else:
+            tags = readers.read_table(spark, f"{folder}/costs_tags").where("key = 'Debiteurnummer'").collect()
+            assert {(str(r.parsed_date), r.row_id) for r in tags} == {(x[0], x[2]) for x in held} and {r.value for r in tags} == {"7"}
+
+
 def test_replacing_refuses_other_days(spark, folder):
     df = spark.createDataFrame([(dt.date(2024, 1, 1), 1)], "d date, v int")
     with pytest.raises(ValueError):
