@@ -692,6 +692,34 @@ def cumulative_by_day(spark, sf_dir):
     return rounded(wi.cumulative_ytd(dense, "v", "day", ["PracticeKey"]).select("PracticeKey", "day", "v", "ytd"))
 
 
+@query(
+    "running_revenue_where_it_changes",
+    """
+    WITH d AS (SELECT CAST(Factuurdatum AS DATE) AS day, KlantKey, sum(Subtotaal) AS v FROM "FeitFacturen" GROUP BY ALL)
+    SELECT KlantKey, day, round(sum(v) OVER y, 4) AS ytd, coalesce(lead(day) OVER y - 1, make_date(year(day), 12, 31)) AS valid_to
+    FROM d WINDOW y AS (PARTITION BY KlantKey, year(day) ORDER BY day)
+    """,
+)
+def running_where_it_changes(spark, sf_dir):
+    return rounded(wi.running_points(shape(spark, sf_dir, "FeitFacturen").withColumnRenamed("Factuurdatum", "day"), "Subtotaal", "day", ["KlantKey"]))
+
+
+@query(
+    "running_revenue_on_asked_days",
+    """
+    WITH a AS (SELECT DISTINCT o_custkey AS KlantKey, CAST(l_shipdate AS DATE) AS day FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+    d AS (SELECT CAST(Factuurdatum AS DATE) AS day, KlantKey, sum(Subtotaal) AS v FROM "FeitFacturen" GROUP BY ALL)
+    SELECT a.KlantKey, a.day, round(sum(d.v), 4) AS ytd FROM a LEFT JOIN d ON d.KlantKey = a.KlantKey AND year(d.day) = year(a.day) AND d.day <= a.day GROUP BY ALL
+    """,
+)
+def running_on_asked_days(spark, sf_dir):
+    """Each customer's revenue of the year so far on the days of its shipments."""
+    points = wi.running_points(shape(spark, sf_dir, "FeitFacturen").withColumnRenamed("Factuurdatum", "day"), "Subtotaal", "day", ["KlantKey"])
+    lines, orders = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders")
+    asked = lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(F.col("o_custkey").alias("KlantKey"), F.to_date("l_shipdate").alias("day")).distinct()
+    return rounded(wi.running_on(points, asked, "day", ["KlantKey"]))
+
+
 @query(
     "cumulative_revenue_and_budget_by_month",
     """

@@ -39,6 +39,33 @@ def cumulative_ytd(df: DataFrame, value: str, date: str, keys: Sequence[str] = (
     return df.withColumn(name, F.sum(value).over(frame))
 
 
+def running_points(df: DataFrame, value: str, date: str, keys: Sequence[str] = (), name: str = "ytd") -> DataFrame:
+    """Running totals from 1 January where they change: (keys, date, name, valid_to), one row per key and day with rows.
+
+    A total holds from its date to ``valid_to``, the day before the next change or the end of the year. So the result is
+    never longer than the rows, however long the calendar is and however many keys there are.
+    """
+    daily = df.groupBy(*keys, F.to_date(date).alias(date)).agg(F.sum(value).alias("_sum"))
+    year = Window.partitionBy(*keys, F.year(date)).orderBy(date)
+    last = F.date_sub(F.add_months(F.trunc(date, "year"), 12), 1)
+    return daily.select(
+        *keys, date, F.sum("_sum").over(year.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(name),
+        F.coalesce(F.date_sub(F.lead(date).over(year), 1), last).alias("valid_to"),
+    )
+
+
+def running_on(points: DataFrame, asked: DataFrame, date: str, keys: Sequence[str] = (), name: str = "ytd") -> DataFrame:
+    """The running totals of ``points`` on the days that are asked for: ``asked`` (keys, date) with the total that holds there.
+
+    Points and questions of a key and year are read side by side in the order of days, so nothing is paired: the work is
+    that of sorting both. A day before the first change of its year has no total.
+    """
+    on = [*[F.col(k) for k in keys], F.col(date)]
+    both = points.select(*on, F.lit(0).alias("_asked"), F.col(name)).unionByName(asked.select(*on[:-1], F.to_date(date).alias(date), F.lit(1).alias("_asked"), F.lit(None).alias(name)))
+    so_far = Window.partitionBy(*keys, F.year(date)).orderBy(date, "_asked").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return both.withColumn(name, F.last(name, ignorenulls=True).over(so_far)).where("_asked = 1").drop("_asked")
+
+
 def sort(df: DataFrame, columns: Sequence[str | Column]) -> DataFrame:
     return df.orderBy(*columns)
 

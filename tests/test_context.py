@@ -186,3 +186,30 @@ def test_values_treated_as_a_key(small):
         assert sum(r.v for r in chosen) == by_year[2023]
     both = evaluate(small, {"v": V, "w": treated, "d": m.minus(V, treated)}).first()
     assert both.d == both.v - both.w > 0
+
+
+def test_year_to_date_of_any_metric_by_month(small):
+    """Averages and distinct counts are those of the year so far, not sums of months; twelve rows a year."""
+    from tallygrid.plans.cumulative import evaluate_ytd
+
+    got = {(r.Jaar, r.MaandNummer): (r.v, r.who, r.avg and round(r.avg, 9)) for r in evaluate_ytd(small, {"v": V, "who": WHO, "avg": AVG}).collect()}
+    want = brute("ytd", lambda d: (d.year, d.month), of)
+    assert len(got) == 36 and {k: v for k, v in got.items() if v[0] is not None} == want
+
+
+def test_running_points_are_no_more_than_the_rows(spark):
+    from tallygrid.operators import windows as wi
+
+    r = random.Random(4)
+    data = [(r.randrange(5), dt.date(2020, 1, 1) + dt.timedelta(days=r.randrange(1500)), float(r.randrange(9))) for _ in range(300)]
+    frame = spark.createDataFrame(data, "k int, day date, v double")
+    points = wi.running_points(frame, "v", "day", ["k"])
+    assert points.count() <= 300
+    asked = [(k, dt.date(2020, 1, 1) + dt.timedelta(days=d)) for k in range(6) for d in range(0, 1500, 50)]
+    got = {(x.k, x.day): x.ytd for x in wi.running_on(points, spark.createDataFrame(asked, "k int, day date"), "day", ["k"]).collect()}
+    held = {(x.k, x.day): (x.ytd, x.valid_to) for x in points.collect()}
+    for k, day in asked:
+        so_far = [v for a, d, v in data if a == k and d.year == day.year and d <= day]
+        assert got[k, day] == (sum(so_far) if so_far else None)
+        ranges = [t for (a, d), (t, to) in held.items() if a == k and d <= day <= to]
+        assert ranges == ([sum(so_far)] if so_far else [])
