@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallygrid.checks import shapes
 from tallygrid.checks.registry import query, rounded
 from tallygrid.checks.shapes import read, shape
-from tallygrid.operators import columns as co
+from tallygrid.operators import columns as co, nested as ne
 from tallygrid.operators import quality as qu
 from tallygrid.plans import builders
 from tallygrid.session import scratch_path
@@ -21,7 +21,6 @@ from tallygrid.sources import costs, readers, writers
 from tallygrid.sources.day_view import DayView
 
 LOADED_AT = "2024-02-01T06:00:00"
-FIRST, LAST = dt.date(2023, 11, 1), dt.date(2024, 2, 29)
 
 # error events form an export of their own: one month earlier and with one more column
 _EXPORT = {
@@ -49,6 +48,13 @@ def land_costs(spark, sf_dir: str) -> str:
     return root
 
 
+def span(spark, sf_dir: str) -> tuple[dt.date, dt.date]:
+    """First and last day of the exports, from the data."""
+    day = F.expr(_DAY)
+    first, last = read(spark, sf_dir, "events").agg(F.min(day), F.max(day)).first()
+    return (first, last) if first else (dt.date(2024, 1, 1), dt.date(2024, 1, 1))
+
+
 _DAY_SQL = "CASE WHEN event_type = 'error' THEN CAST(ts AS DATE) - 31 ELSE CAST(ts AS DATE) END"
 
 
@@ -72,22 +78,37 @@ def csv_export_reread(spark, sf_dir):
     """,
 )
 def export_months(spark, sf_dir):
-    rows = readers.read_months(spark, land_costs(spark, sf_dir), FIRST, LAST)
+    rows = readers.read_months(spark, land_costs(spark, sf_dir), *span(spark, sf_dir))
     kind = F.regexp_extract("FileName", r"\.([a-z]+)$", 1).alias("kind")
     return rows.groupBy("ExportId", "ExportName", "MonthFolder", kind).agg(
         F.count(F.lit(1)).alias("rows"), F.count("meterName").alias("meters")
     )
 
 
+@query(
+    "months_without_files",
+    "SELECT CAST(NULL AS VARCHAR) AS date FROM events WHERE CAST(ts AS DATE) < DATE '1990-01-01'",
+)
+def months_without_files(spark, sf_dir):
+    """A range before the first export gives an empty frame with the least schema."""
+    return readers.read_months(spark, land_costs(spark, sf_dir), "1989-01-01", "1989-03-31")
+
+
 @query(
     "schema_drift_between_months",
-    "SELECT 'metername' AS name, 'string' AS old_type, CAST(NULL AS VARCHAR) AS new_type, 'removed' AS change "
-    "FROM events HAVING count(*) FILTER (WHERE event_type = 'error') > 0 AND count(*) FILTER (WHERE event_type <> 'error') > 0",
+    """
+    WITH e AS (SELECT count(*) FILTER (WHERE event_type = 'error') AS errors, count(*) AS n FROM events),
+    d AS (SELECT * FROM (VALUES ('metername', 'string', NULL, 'removed'), ('costinbillingcurrency', 'string', 'double', 'changed'),
+          ('billing period', NULL, 'date', 'added')) t(name, old_type, new_type, change))
+    SELECT name, old_type, new_type, change FROM d, e WHERE n > 0 AND (change <> 'removed' OR errors > 0)
+    """,
 )
 def schema_drift(spark, sf_dir):
+    """The exports before and after: one column gone, one of another type (a name in other case is the same), one new."""
     root, dictionary = land_costs(spark, sf_dir), scratch_path(spark, "dictionary")
-    before = readers.read_months(spark, root, "2023-12-01", "2023-12-31", lineage=False)
-    after = readers.read_months(spark, root, "2024-01-01", "2024-01-31", lineage=False)
+    before = readers.read_months(spark, root, *span(spark, sf_dir), lineage=False)
+    after = before.drop("meterName").withColumn("COSTINBILLINGCURRENCY", F.col("costInBillingCurrency").cast("double"))
+    after = after.withColumn("Billing Period", F.expr("trunc(try_to_date(date, 'MM/dd/yyyy'), 'month')"))
     qu.track_schema(before, dictionary, "2023-12-31", LOADED_AT)
     qu.track_schema(after, dictionary, "2024-01-31", LOADED_AT)
     versions = spark.read.parquet(dictionary)
@@ -106,7 +127,7 @@ _LOADED = f"""
 def costs_loaded_twice(spark, sf_dir):
     root, target, dictionary = land_costs(spark, sf_dir), scratch_path(spark, "costs"), scratch_path(spark, "dictionary")
     for _ in range(2):
-        costs.load_costs(spark, root, target, dictionary, FIRST, LAST, LOADED_AT)
+        costs.load_costs(spark, root, target, dictionary, *span(spark, sf_dir), LOADED_AT)
     return readers.read_table(spark, target).select(
         "parsed_date", "event_id", "SubscriptionId", "resourceGroupName", "Debiteurnummer", "BusinessUnit", "meterName",
         F.col("costInBillingCurrency").cast("double").alias("cost"),
@@ -122,7 +143,7 @@ _VIEW = f"""
 
 
 def _clean(spark, sf_dir: str):
-    raw = readers.read_months(spark, land_costs(spark, sf_dir), FIRST, LAST)
+    raw = readers.read_months(spark, land_costs(spark, sf_dir), *span(spark, sf_dir))
     return costs.clean_costs(raw, ["Debiteurnummer", "BusinessUnit"]).withColumn(
         "costInBillingCurrency", F.col("costInBillingCurrency").cast("double")
     )
@@ -191,8 +212,10 @@ def cost_days_appended(spark, sf_dir):
 def cost_view_appended(spark, sf_dir):
     target = scratch_path(spark, "view")
     cleaned = _clean(spark, sf_dir)
-    day, late = "try_to_date(date, 'MM/dd/yyyy')", "DATE '2024-01-10'"
-    for part in (f"{day} < DATE '2024-01-15' AND {day} <> {late}", f"{day} >= DATE '2024-01-15'", f"{day} = {late}"):
+    first, last = span(spark, sf_dir)
+    middle, third = first + (last - first) // 2, first + (last - first) // 3
+    day, late, half = "try_to_date(date, 'MM/dd/yyyy')", f"DATE '{third}'", f"DATE '{middle}'"
+    for part in (f"{day} < {half} AND {day} <> {late}", f"{day} >= {half}", f"{day} = {late}"):
         costs.append_view(spark, cleaned.filter(part), target)
     for _ in range(2):
         costs.append_view(spark, cleaned, target)
@@ -221,19 +244,22 @@ def table_appended(spark, sf_dir):
 @query(
     "days_replaced_once_more",
     """
-    SELECT CAST(ts AS DATE) AS day, event_id, value FROM events
-    WHERE CAST(ts AS DATE) NOT IN (DATE '2024-01-10', DATE '2024-01-12')
-       OR (CAST(ts AS DATE) = DATE '2024-01-10' AND event_type = 'view')
+    WITH f AS (SELECT min(CAST(ts AS DATE)) + 9 AS a FROM events)
+    SELECT CAST(ts AS DATE) AS day, event_id, value FROM events, f
+    WHERE CAST(ts AS DATE) NOT IN (a, a + 2) OR (CAST(ts AS DATE) = a AND event_type = 'view')
     """,
 )
 def days_replaced(spark, sf_dir):
+    """All days first; then, twice, one day with fewer rows and one without any."""
     target = scratch_path(spark, "days")
     events = read(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), "event_id", "value", "event_type")
-    days = [dt.date(2024, 1, 1) + dt.timedelta(days=n) for n in range(31)]
+    first, last = events.agg(F.min("day"), F.max("day")).first()
+    days = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
     writers.replace_partition(events.drop("event_type"), target, "day", days)
-    again = events.filter("day = DATE '2024-01-10' AND event_type = 'view'").drop("event_type")
+    a = first + dt.timedelta(days=9)
+    again = events.filter((F.col("day") == F.lit(a)) & (F.col("event_type") == "view")).drop("event_type")
     for _ in range(2):
-        writers.replace_partition(again, target, "day", ["2024-01-10", "2024-01-12"])
+        writers.replace_partition(again, target, "day", [a, a + dt.timedelta(days=2)])
     return readers.read_table(spark, target)
 
 
@@ -342,6 +368,22 @@ def sprint_issues(spark, sf_dir):
     return co.rename(co.select_columns(issues, list(names)), names)
 
 
+@query(
+    "teams_counted_with_missing_lists",
+    """
+    SELECT 'PRJ-' || role AS project, sum(CASE role WHEN 'user' THEN 2 WHEN 'assistant' THEN 1 ELSE 0 END)::BIGINT AS teams,
+           count(*) FILTER (WHERE role NOT IN ('user', 'assistant')) AS without FROM conversations GROUP BY 1
+    """,
+)
+def teams_with_missing_lists(spark, sf_dir):
+    """Issues whose list of teams is missing have none, instead of an unknown number."""
+    pages = readers.pages_to_rows(readers.read_issue_json(spark, land_issues(spark, sf_dir)))
+    teams = F.col("issue.fields.customfield_10067")
+    listed = ne.default_if_missing(teams, F.array().cast(pages.select(teams).schema[0].dataType))
+    return pages.groupBy(F.col("issue.fields.project.key").alias("project")).agg(
+        F.sum(F.size(listed).cast("long")).alias("teams"), F.count(F.when(teams.isNull(), 1)).alias("without"))
+
+
 @query("statuses_of_issues", f"SELECT DISTINCT {_STATUS} AS \"Status\" FROM conversations WHERE role <> 'system'")
 def statuses_of_issues(spark, sf_dir):
     return builders.build_dim_status(readers.read_issue_json(spark, land_issues(spark, sf_dir)))

@@ -117,6 +117,18 @@ def type_mismatches(spark, sf_dir):
     return co.type_errors(df, {"code": "int"}, ["o_orderkey"])
 
 
+@query(
+    "names_made_safe",
+    f"""
+    SELECT o_orderkey AS "Order_Key", o_totalprice AS "_Total_Price_EUR_", o_orderstatus AS "__status__", o_orderpriority AS "{'x' * 120}" FROM orders
+    """,
+)
+def names_made_safe(spark, sf_dir):
+    """Blanks at the edges go, runs of other characters become one underscore, long names are cut."""
+    names = {"o_orderkey": "Order - Key", "o_totalprice": " (Total Price, EUR) ", "o_orderstatus": "__status__", "o_orderpriority": "x" * 150}
+    return co.safe_names(co.rename(read(spark, sf_dir, "orders").select(*names), names))
+
+
 @query("rows_numbered", "SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS \"Index\" FROM events")
 def rows_numbered(spark, sf_dir):
     return nu.with_index(read(spark, sf_dir, "events").select("event_id", "ts"), ["ts", "event_id"]).drop("ts")
