@@ -13,7 +13,8 @@ Scale: a flight runs through one bucket of a source, in order, and holds three d
 wider buckets, and at last in one per source: a source with a third of all rows is ``BUCKETS``
 flights, not one, and no step sees more than ``2 * FAN`` rows of a source after the first.
 Numbers that look random come from the bucket's name, so reruns agree, however Spark deals
-the rows out.
+the rows out. The targets follow from a level that is found by sums over the sources; no list of sources
+reaches the driver.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import random
 from pyspark.sql import DataFrame, functions as F
 
 from tallygrid.llm.common import WORD, map_batches, one_row_each, row_key, settle, whole_text
+from tallygrid.operators.numbering import with_index
 
 # The weights of sources, by code point, repeating; the most that a source is taken.
 WEIGHTS = (1, 2, 3)
@@ -34,24 +36,6 @@ BROADCAST_SOURCES = 10_000
 _EPS = 1e-9
 
 
-def targets(sizes: dict[str | None, int], weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> dict[str | None, float]:
-    """Words per source: all words shared by weight, at most ``most`` times a source's own, the excess shared again."""
-    order = sorted(sizes, key=lambda s: (s is None, s or ""))
-    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
-    target: dict[str | None, float] = {}
-    free, left = list(order), float(sum(sizes.values()))
-    while free:
-        total = sum(weight[s] for s in free)
-        full = [s for s in free if left * weight[s] / total > most * sizes[s]]
-        if not full:
-            return target | {s: left * weight[s] / total for s in free}
-        for s in full:
-            target[s] = float(most * sizes[s])
-        left -= sum(target[s] for s in full)
-        free = [s for s in free if s not in target]
-    return target
-
-
 def sized(docs: DataFrame, id_type: str = "long") -> DataFrame:
     """(doc_id, source, size): the number of words, null as none."""
     return docs.select(
@@ -60,18 +44,30 @@ def sized(docs: DataFrame, id_type: str = "long") -> DataFrame:
 
 
 def plan(units: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """(key, source_size, target, copies, p) per source; ``key`` is the source as text that a null has too."""
-    spark = units.sparkSession
-    totals = units.groupBy("source").agg(F.sum("size").alias("n"))
-    sizes = {r.source: r.n for r in totals.collect()}
-    rows = []
-    for source, target in targets(sizes, weights, most).items():
-        size = sizes[source]
-        ratio = min(target / size, most) if size else 0.0
-        copies = int(ratio + _EPS)
-        p = ratio - copies
-        rows.append((source, size, target, copies, p if p > _EPS else 0.0))
-    return spark.createDataFrame(rows, "source string, source_size long, target double, copies int, p double").withColumn("key", _key()).drop("source")
+    """(key, source_size, target, copies, p) per source; ``key`` is the source as text that a null has too.
+
+    All words are shared by weight; a source that would get more than ``most`` times its own stops there, and the
+    excess is shared again. So a target is the source's weight times one level, or its limit if that is less. The level
+    rises until no further source stops; only sums reach the driver, however many sources there are.
+    """
+    sources = units.groupBy("source").agg(F.sum("size").alias("source_size"))
+    ordered = with_index(sources.withColumn("none", F.col("source").isNull()), ["none", "source"], "place", 0)
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
+    weighed = settle(ordered.select("source", "source_size", weight.cast("long").alias("weight"), (F.col("source_size") * most).alias("limit")))
+    total = weighed.agg(F.sum("source_size")).head()[0] or 0
+    level, before = 0.0, -1
+    while True:
+        stops = F.col("limit") < F.lit(level) * F.col("weight")
+        n, stopped, free = weighed.agg(F.count(F.when(stops, 1)), F.sum(F.when(stops, F.col("limit"))), F.sum(F.when(~stops, F.col("weight")))).head()
+        if n == before or not free:
+            break
+        level, before = (total - (stopped or 0)) / free, n
+    target = F.least(F.col("limit").cast("double"), F.lit(level) * F.col("weight"))
+    ratio = F.when(F.col("source_size") > 0, F.least(target / F.col("source_size"), F.lit(float(most)))).otherwise(0.0)
+    copies = F.floor(ratio + _EPS)
+    p = ratio - copies
+    return weighed.select(
+        _key().alias("key"), "source_size", target.alias("target"), copies.cast("int").alias("copies"), F.when(p > _EPS, p).otherwise(0.0).alias("p"))
 
 
 def _key():

@@ -116,19 +116,40 @@ def test_quality_scores_agree_with_brute_force(spark):
 # ------------------------------------------------------------------ operator 3
 
 
-@pytest.mark.parametrize("seed", range(8))
-def test_targets_are_the_water_level(seed):
+def water_level(sizes):
     """A level that every source's target reaches by its weight, unless three times its size is less; found by halving."""
-    r = np.random.default_rng(seed)
-    sizes = {s: int(n) for s, n in zip(["b", "a", None, "c", "é", "Z", "d"], r.integers(0, [10, 1000, 5000, 20, 300, 100_000, 7], 7))}
     order = sorted((s for s in sizes if s is not None), key=lambda s: s.encode("utf-32-be")) + [None]
     weight = {s: (1, 2, 3)[i % 3] for i, s in enumerate(order)}
-    got = mixing.targets(sizes, mixing.WEIGHTS, mixing.MOST)
     low, high, total = 0.0, 10.0 * sum(sizes.values()) + 1, sum(sizes.values())
     for _ in range(200):
         level = (low + high) / 2
         low, high = (level, high) if sum(min(level * weight[s], 3 * sizes[s]) for s in sizes) < total else (low, level)
-    assert got == pytest.approx({s: min(low * weight[s], 3 * sizes[s]) for s in sizes}, abs=1e-3)
+    return {s: min(low * weight[s], 3 * sizes[s]) for s in sizes}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_targets_are_the_water_level(spark, seed):
+    r = np.random.default_rng(seed)
+    names = ["b", "a", None, "c", "é", "Z", "d", "𝄞", "\uffee", ""][: 10 - seed]
+    sizes = {s: int(n) for s, n in zip(names, r.integers(0, [10, 1000, 5000, 20, 300, 100_000, 7, 40, 900, 1][: len(names)], len(names)))}
+    units = spark.createDataFrame([(i, s, n // 2) for i, (s, n) in enumerate(sizes.items())] + [(i, s, n - n // 2) for i, (s, n) in enumerate(sizes.items())], "doc_id long, source string, size long")
+    got = {r.key: r for r in mixing.plan(units).collect()}
+    want = water_level(sizes)
+    key = lambda s: "{}" if s is None else None
+    by_size = {r.key: (r.source_size, r.target) for r in got.values()}
+    assert len(by_size) == len(sizes)
+    for s, t in want.items():
+        found = by_size[key(s)] if s is None else next(v for k, v in by_size.items() if __import__("json").loads(k).get("source") == s and k != "{}")
+        assert found == (sizes[s], pytest.approx(t, abs=1e-3))
+    for r in got.values():
+        assert 0 <= r.p < 1 and (r.copies + r.p) * r.source_size == pytest.approx(r.target, abs=1e-3)
+
+
+def test_many_sources(spark):
+    """Two thousand sources; their targets add up to all words."""
+    units = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 2000).alias("source"), (F.col("id") % 97 + (F.col("id") % 2000 == 7).cast("long") * 9000).alias("size"))
+    total, planned, n = mixing.plan(units).agg(F.sum("source_size"), F.sum("target"), F.count("*")).head()
+    assert n == 2000 and planned == pytest.approx(total, rel=1e-9)
 
 
 def test_mix_targets_and_sizes_of_a_table(spark, documents):
@@ -136,10 +157,11 @@ def test_mix_targets_and_sizes_of_a_table(spark, documents):
     sizes = defaultdict(int)
     for r in documents.collect():
         sizes[r.source] += len(regex.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
-    target = mixing.targets(sizes)
+    sizes.setdefault(None, 0)
+    target = water_level(sizes)
     taken = defaultdict(int)
     for r in got:
-        assert r.source_size == sizes[r.source] and abs(r.target - target[r.source]) < 1e-6 and r.taken <= 3 * r.size
+        assert r.source_size == sizes[r.source] and abs(r.target - target[r.source]) < 1e-3 and r.taken <= 3 * r.size
         taken[r.source] += r.taken
     largest = max(r.size for r in got)
     assert all(abs(taken[s] - target[s]) <= largest for s in sizes) and abs(sum(target.values()) - sum(sizes.values())) < 1e-3
