@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+# Fixed value: the columns of the stored schema dictionary.
 DICTIONARY = "ColumnName string, DataType string, Nullable boolean, RunDate string, CapturedAt string, Version int"
 
 
