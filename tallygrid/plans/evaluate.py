@@ -8,6 +8,7 @@ brought together, so no fact is ever joined to another one.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import functools
 import warnings
@@ -16,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallygrid.operators.joins import on_key
-from tallygrid.plans.metric import Base, Metric, Pred, bases
+from tallygrid.plans.metric import Base, Metric, Pred, bases, between, rewrite
 from tallygrid.plans.model import Model, Relationship, Route, split_ref
 
 LEVEL = "grouping_level"
@@ -51,6 +52,28 @@ WINDOWS = {
 }
 
 
+def _window_days(name: str, last: dt.date) -> tuple[dt.date, dt.date]:
+    """The days of a window around a day that is known beforehand."""
+    if name == "year_to_date":
+        return last.replace(month=1, day=1), last
+    before = last.replace(day=1) - dt.timedelta(days=1)
+    return before.replace(day=1), before
+
+
+def _settled(metric: Metric, by: list[str], where: list[Pred]) -> Metric:
+    """A window around a named day, where nothing selects dates, is a plain range of days: it shares scans with other metrics."""
+
+    def settle(b: Base) -> Base:
+        if b.window is None or b.window[2] is None:
+            return b
+        name, date, last = b.window
+        if date in b.ignore or any(split_ref(r)[0] == date for r in [*by, *(r for p in where for r in p.refs)]):
+            return b
+        return dataclasses.replace(b, window=None, ignore=b.ignore | {date}, where=(*b.where, between(f"{date}.Datum", *_window_days(name, last))))
+
+    return rewrite(metric, settle)
+
+
 class _Frame:
     """All bases that share one fact scan, one set of joins and one grouping."""
 
@@ -81,7 +104,7 @@ class _Frame:
                 found[route] = (*found.get(route, ()), p)
         return found
 
-    def _restricted(self, df: DataFrame) -> DataFrame:
+    def _restricted(self, df: DataFrame, joins: Sequence[Relationship] = ()) -> DataFrame:
         """The fact's rows that the filtered tables keep, one semi-join per step of the way, and those that ``treat`` keeps.
 
         A key with very many rows is split (``on_key``), also where the next step goes over the same key.
@@ -97,6 +120,8 @@ class _Frame:
                     kept = rows.select(F.col(f"`{split_ref(route[step][0])[1]}`").alias("_key"))
             df = rows
         for source, target in self.head.treat:
+            if any(j.pair == (source, target) for j in joins):
+                continue  # that lookup drops the rows itself
             table, key = split_ref(target)
             own = F.col(f"`{split_ref(source)[1]}`")
             own = F.to_date(own) if table in self.model.date_tables and key == "Datum" else own
@@ -268,7 +293,7 @@ class _Frame:
             source = self._date_source(p)
             if source is not None:
                 fact_refs.add(source)
-        df = self._restricted(self.model.table(self.fact))
+        df = self._restricted(self.model.table(self.fact), joins)
         df = df.select(*[F.col(f"`{split_ref(r)[1]}`").alias(r) for r in sorted(fact_refs)])
 
         spans = [self._range(*span) for span in (self.span(p) for p in self.filters) if span is not None]
@@ -412,7 +437,7 @@ class _Frame:
                 needed, source = (needed if source in later else needed - {source}) | {"_day"}, "_day"
             if needed == {source} and not self.foreign:
                 df, values = self._subtotal(df, source, values)
-            df = df.join(dim, _q(source) == F.col("_key"), "inner" if target == self.date else "left").drop("_key", "_day")
+            df = df.join(dim, _q(source) == F.col("_key"), "inner" if target == self.date or step.pair in self.head.treat else "left").drop("_key", "_day")
         return df, values
 
     def _final(self, b: Base, i: int, test: Column | None, values: dict[str, Column]) -> Column:
@@ -488,6 +513,7 @@ def evaluate(
     no relation carries to any fact has no effect and is reported as a warning.
     """
     by = list(by)
+    metrics = {n: _settled(x, by, list(where)) for n, x in metrics.items()}
     wanted: list[Base] = list(dict.fromkeys(b for m in metrics.values() for b in bases(m)))
     names = {b: f"_m{i}" for i, b in enumerate(wanted)}
     sets = None

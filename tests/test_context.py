@@ -85,8 +85,14 @@ def test_windows_see_the_selected_days(small):
 
 def test_window_without_selection_ends_on_the_named_day(small):
     day = dt.date(2023, 4, 5)
-    want = sum(x[2] for x in rows_of() if x[0] and dt.date(2023, 1, 1) <= x[0] <= day)
-    assert evaluate(small, {"v": t.running_ytd(V, day)}).first().v == want
+    dated = [x for x in rows_of() if x[0]]
+    want = sum(x[2] for x in dated if dt.date(2023, 1, 1) <= x[0] <= day)
+    march = sum(x[2] for x in dated if (x[0].year, x[0].month) == (2023, 3))
+    df = evaluate(small, {"y": t.running_ytd(V, day), "b": t.month_before(V, day), "v": V})
+    assert tuple(df.first()) == (want, march, sum(x[2] for x in rows_of()))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1  # one scan for all three
+    named = {r.name: r.y for r in evaluate(small, {"y": t.running_ytd(V, day)}, by=["D.name"]).collect()}
+    assert sum(named.values()) == want
 
 
 def test_an_inner_choice_of_dates_stays(small):
