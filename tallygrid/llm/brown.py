@@ -24,13 +24,13 @@ smoothed towards the class frequencies. Both sum to 1, so perplexities compare.
 
 from __future__ import annotations
 
+import copy
 import hashlib
 import zlib
 from collections import Counter
 from itertools import repeat
 
 import numpy as np
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallygrid.llm.common import lower_words, map_batches, settle, whole_text
@@ -311,42 +311,206 @@ def exchange(table: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
         turn += 1
 
 
+def placed(rows: DataFrame, units, g: np.ndarray, m: np.ndarray) -> DataFrame:
+    """(word, c, cls): every training word that is no unit of its own, each in a class of its own choosing.
+
+    Tasks count the classes next to each such word, as the exchange left them (a word without a unit counts by its
+    ending's); Spark adds them up by word. Each word then goes where ``moved`` would put it, out of its ending's class,
+    against the class-by-class counts of the exchange; words are placed at the same time, none seeing the others' moves.
+    """
+    context = rows.sparkSession.sparkContext
+    state = context.broadcast((units, g, m))
+
+    def count(batches):
+        u, g, _ = state.value
+        held = Counter()
+
+        def flush():
+            items = list(held.items())
+            for at in range(0, len(items), 50_000):
+                part = items[at : at + 50_000]
+                yield {"word": [k[0] for k, _ in part], "side": [k[1] for k, _ in part], "cls": [k[2] for k, _ in part], "n": [n for _, n in part]}
+            held.clear()
+
+        for batch in batches:
+            for text in batch["text"]:
+                tokens = keys(text)
+                place, unit = u.of(tokens)
+                line = np.concatenate(([CLASSES], g[unit], [CLASSES]))
+                for i in np.flatnonzero((place < 0) | (place >= u.own)):
+                    w = tokens[i]
+                    if i + 1 < len(tokens) and tokens[i + 1] == w:
+                        held[(w, 2, 0)] += 1
+                    else:
+                        held[(w, 0, int(line[i + 2]))] += 1
+                    if i == 0 or tokens[i - 1] != w:
+                        held[(w, 1, int(line[i]))] += 1
+            if len(held) > HELD:
+                yield from flush()
+        yield from flush()
+
+    def best(batches):
+        u, g, m = state.value
+        left, right = m.sum(axis=1), m.sum(axis=0)
+        size = CLASSES + 1
+        for batch in batches:
+            words, sides = batch["word"], batch["sides"]
+            k = len(words)
+            s, p, same = np.zeros((k, size)), np.zeros((k, size)), np.zeros(k)
+            for i, entries in enumerate(sides):
+                for e in entries:
+                    if e["side"] == 2:
+                        same[i] += e["n"]
+                    else:
+                        (s, p)[e["side"]][i, e["cls"]] += e["n"]
+            a = g[[u.own + ending(w) for w in words]] if k else np.zeros(0, dtype=np.int64)
+            cls = np.empty(k, dtype=np.int64)
+            for x in range(0, k, 256):
+                cls[x : x + 256] = _best(m, left, right, s[x : x + 256], p[x : x + 256], same[x : x + 256], a[x : x + 256])
+            c = (s.sum(axis=1) + same).astype(np.int64)
+            yield {"word": words, "c": c, "cls": cls}
+
+    found = map_batches(rows.select(whole_text().alias("text")), "word binary, side int, cls int, n long", count)
+    found = found.groupBy("word", "side", "cls").agg(F.sum("n").alias("n"))
+    sides = found.groupBy("word").agg(F.collect_list(F.struct("side", "cls", "n")).alias("sides"))
+    return map_batches(sides, "word binary, c long, cls int", best)
+
+
+def _best(m, left, right, s, p, same, a) -> np.ndarray:
+    """The class of most gain for each word (rows of ``s``, ``p``, ``same``, ``a``), as ``moved`` finds it for one unit."""
+    k, at = len(a), np.arange(len(a))
+    leaves, enters = s.sum(axis=1) + same, p.sum(axis=1) + same
+    mm = np.repeat(m[None], k, axis=0)
+    mm[at, a, :] -= s
+    mm[at, :, a] -= p
+    mm[at, a, a] -= same
+    lf, rt = np.repeat(left[None], k, axis=0), np.repeat(right[None], k, axis=0)
+    lf[at, a] -= leaves
+    rt[at, a] -= enters
+    d = np.diagonal(mm, axis1=1, axis2=2)
+    rows = _f(mm + s[:, None, :]) - _f(mm)
+    columns = _f(mm + p[:, :, None]) - _f(mm)
+    gain = rows.sum(axis=2) - np.diagonal(rows, axis1=1, axis2=2) + columns.sum(axis=1) - np.diagonal(columns, axis1=1, axis2=2)
+    gain += _f(d + s + p + same[:, None]) - _f(d)
+    gain -= _f(lf + leaves[:, None]) - _f(lf) + _f(rt + enters[:, None]) - _f(rt)
+    b = np.argmax(gain[:, :CLASSES], axis=1)
+    stay = gain[at, b] <= gain[at, a] + 1e-6
+    return np.where(stay, a, b)
+
+
+def with_rows(rows: DataFrame) -> DataFrame:
+    """The rows with a whole text and a number of their own, kept, so that later reads meet the same numbers."""
+    return settle(rows.withColumn("text", whole_text()).withColumn("row", F.monotonically_increasing_id()))
+
+
+def filled(rows: DataFrame, units, rest: DataFrame) -> DataFrame:
+    """``rows`` (row, text, ...) with ``rest_at``: (pos, cls, c) of each of its words outside the head that was trained on.
+
+    Words outside the head meet their class and count by a shuffle join on the word, then come back to their row by its number.
+    """
+
+    def emit(batches):
+        u = units.value
+        for batch in batches:
+            out = {"row": [], "pos": [], "word": []}
+            for row, text in zip(batch["row"], batch["text"]):
+                tokens = keys(text)
+                place = np.fromiter(map(u.place.get, tokens, repeat(-1)), dtype=np.int64, count=len(tokens))
+                for i in np.flatnonzero(place < 0):
+                    out["row"].append(row)
+                    out["pos"].append(int(i))
+                    out["word"].append(tokens[i])
+            yield out
+
+    outside = map_batches(rows.select("row", "text"), "row long, pos int, word binary", emit)
+    met = outside.join(rest.select("word", "c", "cls"), "word")
+    found = met.groupBy("row").agg(F.collect_list(F.struct("pos", "cls", "c")).alias("rest_at"))
+    return rows.join(found, "row", "left")
+
+
 class Model:
-    """What a task needs to score: head counts, classes, log transitions, log class totals."""
+    """What a task needs to score: head counts, classes, log transitions, log class totals.
+
+    Units of their own were clustered by exchange; every other word of the head has a unit and class of its own after them
+    (``units.unit`` from ``units.size`` on); words outside the head keep theirs in ``rest``, a table, met by a join.
+    """
 
     def __init__(self, head, counts: DataFrame, rows: DataFrame):
         context = rows.sparkSession.sparkContext
-        self.units = Units(head, counts.agg(F.coalesce(F.sum("c"), F.lit(0))).head()[0])
-        table = settle(neighbours(bigrams(rows, context.broadcast(self.units))))
-        self.classes, pairs = exchange(table, self.units.size)
+        if "row" not in rows.columns:
+            rows = with_rows(rows)
+        exchanged = Units(head, counts.agg(F.coalesce(F.sum("c"), F.lit(0))).head()[0])
+        table = settle(neighbours(bigrams(rows, context.broadcast(exchanged))))
+        g, pairs = exchange(table, exchanged.size)
+        placed_words = settle(placed(rows, exchanged, g, pairs))
+        least = head[-1][1] if head else None
+        own_class = {}
+        if least is not None and len(head) > exchanged.own:
+            for r in placed_words.where(F.col("c") >= least).select("word", "cls").collect():  # head words only
+                own_class[bytes(r.word)] = r.cls
+        self.units = copy.copy(exchanged)
+        below = [w for w, _ in head[exchanged.own :]]
+        if below:
+            self.units.unit = exchanged.unit.copy()
+            self.units.unit[exchanged.own :] = exchanged.size + np.arange(len(below))
+        fallback = lambda w: int(g[exchanged.own + ending(w)])  # noqa: E731  (a head word without training neighbours)
+        self.classes = np.concatenate([g, np.array([own_class.get(w, fallback(w)) for w in below], dtype=np.int64)])
+        self.rest = placed_words if least is None else placed_words.where(F.col("c") < least)
+        pairs = self._pairs(rows, context)
         size = CLASSES + 1
         share = (pairs.sum(axis=0) + 1) / (pairs.sum() + size)
         self.transition = np.log10((pairs + SMOOTH * share) / (pairs.sum(axis=1, keepdims=True) + SMOOTH))
-        tokens, types = self._totals(counts, context)
+        tokens, types = self._totals(head, counts)
         self.class_total = np.log10(tokens + types + 1)
         self.count = np.log10(np.array([c for _, c in head], dtype=float) + 1)
         self.end_count = 0.0
         for r in counts.where(F.col("word") == F.lit(END)).collect():
             self.end_count = float(np.log10(r.c + 1))
 
-    def _totals(self, counts: DataFrame, context) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens and types per class."""
-        units = context.broadcast(self.units)
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "rest"}
+
+    def classes_of(self, tokens: list[bytes], rest_at) -> tuple[np.ndarray, np.ndarray]:
+        """Per token: place in the head (-1: not there) and class; words outside the head take theirs from ``rest_at``."""
+        place, unit = self.units.of(tokens)
+        classes = self.classes[unit]
+        for e in rest_at or ():
+            classes[e["pos"]] = e["cls"]
+        return place, classes
+
+    def _pairs(self, rows: DataFrame, context) -> np.ndarray:
+        """Class-by-class counts of neighbouring words, each word in its own class, added up by Spark."""
+        shared = context.broadcast(self)
 
         def add(batches):
-            u = units.value
-            tokens, types = np.zeros(u.size, dtype=np.int64), np.zeros(u.size, dtype=np.int64)
+            model = shared.value
+            m = np.zeros((CLASSES + 1, CLASSES + 1), dtype=np.int64)
             for batch in batches:
-                at = np.fromiter(map(u.of_word, batch["word"]), dtype=np.int64, count=len(batch["word"]))
-                np.add.at(tokens, at, np.array(batch["c"], dtype=np.int64))
-                np.add.at(types, at, 1)
-            yield {"unit": np.arange(u.size), "tokens": tokens, "types": types}
-
-        found = map_batches(counts.select("word", "c"), "unit int, tokens long, types long", add)
+                for text, rest_at in zip(batch["text"], batch["rest_at"]):
+                    _, classes = model.classes_of(keys(text), rest_at)
+                    line = np.concatenate(([CLASSES], classes, [CLASSES]))
+                    np.add.at(m, (line[:-1], line[1:]), 1)
+            yield {"cell": np.arange(m.size), "n": m.ravel()}
+
+        found = map_batches(filled(rows, context.broadcast(self.units), self.rest).select("text", "rest_at"), "cell int, n long", add)
+        out = np.zeros((CLASSES + 1) ** 2)
+        for r in found.groupBy("cell").agg(F.sum("n")).collect():
+            out[r[0]] = r[1]
+        return out.reshape(CLASSES + 1, CLASSES + 1)
+
+    def _totals(self, head, counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens and types per class: the head's here, the others' added up by Spark."""
         tokens, types = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
-        for r in found.groupBy("unit").agg(F.sum("tokens"), F.sum("types")).collect():
-            tokens[self.classes[r[0]]] += r[1]
-            types[self.classes[r[0]]] += r[2]
+        for w, c in head:
+            k = self.classes[self.units.of_word(w)]
+            tokens[k] += c
+            types[k] += 1
+        for r in counts.where(F.col("word") == F.lit(END)).collect():
+            tokens[CLASSES] += r.c
+            types[CLASSES] += 1
+        for r in self.rest.groupBy("cls").agg(F.sum("c"), F.count("*")).collect():
+            tokens[r[0]] += r[1]
+            types[r[0]] += r[2]
         return tokens, types
 
 
@@ -356,58 +520,37 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     Learns from the rows that are not held out. Null and empty texts are one END token. With
     nothing to learn from, counts are 0. Repeated rows each count and each give a row.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("held_out"))
+    rows = with_rows(docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("held_out")))
     train = rows.where("NOT held_out")
     counts = settle(word_counts(train))
     total, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).head()
     head = head_of(counts)
     model = Model(head, counts, train)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast(model)
     norm = float(np.log10(total + kinds + 1))
 
-    def partial(batches):
+    def scored(batches):
         m = shared.value
-        u, end = m.units, CLASSES
-        row = TaskContext.get().partitionId() << 36
         has_end = int(m.end_count > 0)
         for batch in batches:
-            out = {k: [] for k in ("row", "word", "times", "doc_id", "held_out", "n_tokens", "n_known", "base", "score")}
-            for doc_id, held, text in zip(batch["doc_id"], batch["held_out"], batch["text"]):
+            out = {k: [] for k in ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")}
+            for doc_id, held, text, rest_at in zip(batch["doc_id"], batch["held_out"], batch["text"], batch["rest_at"]):
                 tokens = keys(text)
-                place, unit = u.of(tokens)
-                classes = np.concatenate(([end], m.classes[unit], [end]))
+                place, classes = m.classes_of(tokens, rest_at)
+                line = np.concatenate(([CLASSES], classes, [CLASSES]))
                 known = place >= 0
-                counted = float(m.count[place[known]].sum()) + m.end_count
-                out["row"].append(row)
-                out["word"].append(b" %d" % row)
-                out["times"].append(0)
+                counted = float(m.count[place[known]].sum()) + m.end_count + sum(float(np.log10(e["c"] + 1)) for e in rest_at or ())
+                n_known = int(known.sum()) + has_end + len(rest_at or ())
                 out["doc_id"].append(doc_id)
                 out["held_out"].append(held)
                 out["n_tokens"].append(len(tokens) + 1)
-                out["n_known"].append(int(known.sum()) + has_end)
-                out["base"].append(counted - (len(tokens) + 1) * norm)
-                moves = m.transition[classes[:-1], classes[1:]].sum() - m.class_total[classes[1:]].sum()
+                out["n_known"].append(n_known)
+                out["base_score"].append(counted - (len(tokens) + 1) * norm)
+                moves = m.transition[line[:-1], line[1:]].sum() - m.class_total[line[1:]].sum()
                 out["score"].append(counted + float(moves))
-                rest = Counter(tokens[i] for i in np.flatnonzero(~known))
-                out["row"] += [row] * len(rest)
-                out["word"] += rest.keys()
-                out["times"] += rest.values()
-                for k in ("doc_id", "held_out", "n_tokens", "n_known", "base", "score"):
-                    out[k] += [None] * len(rest)
-                row += 1
             yield out
 
-    schema = "row long, word binary, times int, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
-    parts = map_batches(rows.withColumn("text", whole_text()), schema, partial)
-    # only words outside the head can meet a count here; a text's own line has a key of its own that meets none
-    least = head[-1][1] if head else None
-    rare = counts if least is None else counts.where(F.col("c") < least)
-    met = parts.join(rare.withColumnRenamed("word", "w"), F.col("word") == F.col("w"), "left")
-    rest = F.sum(F.when(F.col("c").isNotNull(), F.col("times") * F.log10(F.col("c") + 1)).otherwise(0.0))
-    known = F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0))
-    firsts = [F.max(k).alias(k) for k in ("doc_id", "held_out", "n_tokens", "n_known", "base", "score")]
-    total_of = met.groupBy("row").agg(*firsts, rest.alias("rest"), known.alias("more"))
-    return total_of.select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.col("more")).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.col("rest")).alias("base_score"), (F.col("score") + F.col("rest")).alias("score"),
-    )
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    found = map_batches(filled(rows, context.broadcast(model.units), model.rest), schema, scored)
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
