@@ -371,27 +371,47 @@ def placed(rows: DataFrame, units, g: np.ndarray, m: np.ndarray) -> DataFrame:
             yield {"word": words, "c": c, "cls": cls}
 
     found = map_batches(rows.select(whole_text().alias("text")), "word binary, side int, cls int, n long", count)
-    found = found.groupBy("word", "side", "cls").agg(F.sum("n").alias("n"))
     sides = found.groupBy("word").agg(F.collect_list(F.struct("side", "cls", "n")).alias("sides"))
     return map_batches(sides, "word binary, c long, cls int", best)
 
 
 def _best(m, left, right, s, p, same, a) -> np.ndarray:
-    """The class of most gain for each word (rows of ``s``, ``p``, ``same``, ``a``), as ``moved`` finds it for one unit."""
+    """The class of most gain for each word (rows of ``s``, ``p``, ``same``, ``a``), as ``moved`` finds it for one unit.
+
+    Only the classes a word meets enter its sums, so a word costs its neighbours' classes times the classes.
+    """
     k, at = len(a), np.arange(len(a))
     leaves, enters = s.sum(axis=1) + same, p.sum(axis=1) + same
-    mm = np.repeat(m[None], k, axis=0)
-    mm[at, a, :] -= s
-    mm[at, :, a] -= p
-    mm[at, a, a] -= same
     lf, rt = np.repeat(left[None], k, axis=0), np.repeat(right[None], k, axis=0)
     lf[at, a] -= leaves
     rt[at, a] -= enters
-    d = np.diagonal(mm, axis1=1, axis2=2)
-    rows = _f(mm + s[:, None, :]) - _f(mm)
-    columns = _f(mm + p[:, :, None]) - _f(mm)
-    gain = rows.sum(axis=2) - np.diagonal(rows, axis1=1, axis2=2) + columns.sum(axis=1) - np.diagonal(columns, axis1=1, axis2=2)
-    gain += _f(d + s + p + same[:, None]) - _f(d)
+
+    def met(v):
+        """Columns of ``v`` that are not 0, padded: (class, value), k x most."""
+        most = max(1, int((v > 0).sum(axis=1).max(initial=0)))
+        j = np.argsort(v <= 0, axis=1, kind="stable")[:, :most]
+        return j, np.take_along_axis(v, j, axis=1)
+
+    # after: m'[b, j] for the classes j that follow the word, laid out (word, j, b)
+    j, sv = met(s)
+    after = m.T[j].copy()
+    after[at[:, None], np.arange(j.shape[1])[None], a[:, None]] -= sv
+    own = j == a[:, None]
+    after -= own[:, :, None] * p[:, None, :]
+    after[at[:, None], np.arange(j.shape[1])[None], a[:, None]] -= own * same[:, None]
+    rows = _f(after + sv[:, :, None]) - _f(after)
+    rows[j[:, :, None] == np.arange(CLASSES + 1)[None, None]] = 0
+    # before: m'[i, b] for the classes i that lead to the word, laid out (word, i, b)
+    i, pv = met(p)
+    before = m[i].copy()
+    own = i == a[:, None]
+    before -= own[:, :, None] * s[:, None, :]
+    before[at[:, None], np.arange(i.shape[1])[None], a[:, None]] -= own * same[:, None] + pv
+    columns = _f(before + pv[:, :, None]) - _f(before)
+    columns[i[:, :, None] == np.arange(CLASSES + 1)[None, None]] = 0
+    d = np.repeat(np.diagonal(m)[None], k, axis=0)
+    d[at, a] -= s[at, a] + p[at, a] + same
+    gain = rows.sum(axis=1) + columns.sum(axis=1) + _f(d + s + p + same[:, None]) - _f(d)
     gain -= _f(lf + leaves[:, None]) - _f(lf) + _f(rt + enters[:, None]) - _f(rt)
     b = np.argmax(gain[:, :CLASSES], axis=1)
     stay = gain[at, b] <= gain[at, a] + 1e-6
