@@ -423,14 +423,17 @@ def with_rows(rows: DataFrame) -> DataFrame:
     return settle(rows.withColumn("text", whole_text()).withColumn("row", F.monotonically_increasing_id()))
 
 
-def filled(rows: DataFrame, units, rest: DataFrame) -> DataFrame:
-    """``rows`` (row, text, ...) with ``rest_at``: (pos, cls, c) of each of its words outside the head that was trained on.
+def filled(rows: DataFrame, model, rest: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per row of ``rows`` (row, text, ``keep`` ...): ``keep``, n_words, head (sum of the head's log counts of its words), n_head
+    (its words in the head), line (each word's class, one byte a word) and ``rest_at``: (pos, cls, c) of each of its words outside
+    the head that was trained on.
 
-    Words outside the head meet their class and count by a shuffle join on the word, then come back to their row by its number.
+    Texts stay where they lie: a row leaves its task as its line, and words outside the head meet their class and count by a
+    shuffle join on the word, then come back to their row's line by its number.
     """
 
     def emit(batches):
-        u = units.value
+        u = model.value.units
         for batch in batches:
             out = {"row": [], "pos": [], "word": []}
             for row, text in zip(batch["row"], batch["text"]):
@@ -442,10 +445,37 @@ def filled(rows: DataFrame, units, rest: DataFrame) -> DataFrame:
                     out["word"].append(tokens[i])
             yield out
 
+    def lines(batches):
+        m = model.value
+        for batch in batches:
+            out = {k: [] for k in ("row", *keep, "n_words", "head", "n_head", "line")}
+            for at, text in enumerate(batch["text"]):
+                tokens = keys(text)
+                place, unit = m.units.of(tokens)
+                known = place >= 0
+                for k in ("row", *keep):
+                    out[k].append(batch[k][at])
+                out["n_words"].append(len(tokens))
+                out["head"].append(float(m.count[place[known]].sum()))
+                out["n_head"].append(int(known.sum()))
+                out["line"].append(m.classes[unit].astype(np.uint8).tobytes())
+            yield out
+
+    types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    schema = ", ".join([f"{k} {types[k]}" for k in ("row", *keep)] + ["n_words long", "head double", "n_head long", "line binary"])
+    own = map_batches(rows.select("row", "text", *keep), schema, lines)
     outside = map_batches(rows.select("row", "text"), "row long, pos int, word binary", emit)
     met = outside.join(rest.select("word", "c", "cls"), "word")
     found = met.groupBy("row").agg(F.collect_list(F.struct("pos", "cls", "c")).alias("rest_at"))
-    return rows.join(found, "row", "left")
+    return own.join(found, "row", "left")
+
+
+def line_of(line: bytes, rest_at) -> np.ndarray:
+    """A row's classes from its ``filled`` line and ``rest_at``, between two ENDs."""
+    classes = np.frombuffer(line, dtype=np.uint8).astype(np.int64)
+    for e in rest_at or ():
+        classes[e["pos"]] = e["cls"]
+    return np.concatenate(([CLASSES], classes, [CLASSES]))
 
 
 class Model:
@@ -476,13 +506,13 @@ class Model:
         fallback = lambda w: int(g[exchanged.own + ending(w)])  # noqa: E731  (a head word without training neighbours)
         self.classes = np.concatenate([g, np.array([own_class.get(w, fallback(w)) for w in below], dtype=np.int64)])
         self.rest = placed_words if least is None else placed_words.where(F.col("c") < least)
+        self.count = np.log10(np.array([c for _, c in head], dtype=float) + 1)
         pairs = self._pairs(rows, context)
         size = CLASSES + 1
         share = (pairs.sum(axis=0) + 1) / (pairs.sum() + size)
         self.transition = np.log10((pairs + SMOOTH * share) / (pairs.sum(axis=1, keepdims=True) + SMOOTH))
         tokens, types = self._totals(head, counts)
         self.class_total = np.log10(tokens + types + 1)
-        self.count = np.log10(np.array([c for _, c in head], dtype=float) + 1)
         self.end_count = 0.0
         for r in counts.where(F.col("word") == F.lit(END)).collect():
             self.end_count = float(np.log10(r.c + 1))
@@ -503,16 +533,14 @@ class Model:
         shared = context.broadcast(self)
 
         def add(batches):
-            model = shared.value
             m = np.zeros((CLASSES + 1, CLASSES + 1), dtype=np.int64)
             for batch in batches:
-                for text, rest_at in zip(batch["text"], batch["rest_at"]):
-                    _, classes = model.classes_of(keys(text), rest_at)
-                    line = np.concatenate(([CLASSES], classes, [CLASSES]))
+                for line, rest_at in zip(batch["line"], batch["rest_at"]):
+                    line = line_of(line, rest_at)
                     np.add.at(m, (line[:-1], line[1:]), 1)
             yield {"cell": np.arange(m.size), "n": m.ravel()}
 
-        found = map_batches(filled(rows, context.broadcast(self.units), self.rest).select("text", "rest_at"), "cell int, n long", add)
+        found = map_batches(filled(rows, shared, self.rest).select("line", "rest_at"), "cell int, n long", add)
         out = np.zeros((CLASSES + 1) ** 2)
         for r in found.groupBy("cell").agg(F.sum("n")).collect():
             out[r[0]] = r[1]
@@ -555,22 +583,20 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
         has_end = int(m.end_count > 0)
         for batch in batches:
             out = {k: [] for k in ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")}
-            for doc_id, held, text, rest_at in zip(batch["doc_id"], batch["held_out"], batch["text"], batch["rest_at"]):
-                tokens = keys(text)
-                place, classes = m.classes_of(tokens, rest_at)
-                line = np.concatenate(([CLASSES], classes, [CLASSES]))
-                known = place >= 0
-                counted = float(m.count[place[known]].sum()) + m.end_count + sum(float(np.log10(e["c"] + 1)) for e in rest_at or ())
-                n_known = int(known.sum()) + has_end + len(rest_at or ())
+            cells = zip(*(batch[k] for k in ("doc_id", "held_out", "n_words", "head", "n_head", "line", "rest_at")))
+            for doc_id, held, n_words, head, n_head, line, rest_at in cells:
+                line = line_of(line, rest_at)
+                counted = head + m.end_count + sum(float(np.log10(e["c"] + 1)) for e in rest_at or ())
+                n_known = n_head + has_end + len(rest_at or ())
                 out["doc_id"].append(doc_id)
                 out["held_out"].append(held)
-                out["n_tokens"].append(len(tokens) + 1)
+                out["n_tokens"].append(n_words + 1)
                 out["n_known"].append(n_known)
-                out["base_score"].append(counted - (len(tokens) + 1) * norm)
+                out["base_score"].append(counted - (n_words + 1) * norm)
                 moves = m.transition[line[:-1], line[1:]].sum() - m.class_total[line[1:]].sum()
                 out["score"].append(counted + float(moves))
             yield out
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    found = map_batches(filled(rows, context.broadcast(model.units), model.rest), schema, scored)
+    found = map_batches(filled(rows, shared, model.rest, ("doc_id", "held_out")), schema, scored)
     return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
